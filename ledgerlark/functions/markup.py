@@ -5,6 +5,11 @@ row's own string with regular expressions and higher-order functions.  No
 token leaves the row before it has become a table, a link or a post: markup
 extraction needs no shuffle and no Python worker at any scale.
 
+The nested parts are Spark SQL text (``*_sql``, each taking and giving SQL
+expressions), which the parser turns into one expression at once; the public
+functions apply them to columns.  Each text names its lambda variables itself,
+so texts nest freely.
+
 Every pattern scans forward with character classes or a lazy dot.  None repeats
 an alternation over page-sized text, which Java would run by recursion.
 """
@@ -16,7 +21,7 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerlark.functions.text import strip, valid_title
+from ledgerlark.functions.text import WHITESPACE
 
 # Elements that never have content.
 VOID_TAGS = (
@@ -38,6 +43,149 @@ TABLE_OPEN = r"(?is)^<table[\s/>]"
 SEPARATOR = "<wbr>"
 
 
+
+def quoted(value: str) -> str:
+    """SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def let_sql(value: str, var: str, body: str) -> str:
+    """``body`` with ``var`` standing for a value that is computed once."""
+    return f"get(transform(array({value}), {var} -> {body}), 0)"
+
+
+def applied(col: Column, var: str, sql: str) -> Column:
+    """A SQL text over one variable, applied to a column."""
+    return F.get(F.call_function("transform", F.array(col), F.expr(f"{var} -> {sql}")), 0)
+
+
+def mapped(arr: Column, var: str, sql: str) -> Column:
+    """A SQL text over one variable, applied to each element of an array."""
+    return F.call_function("transform", arr, F.expr(f"{var} -> {sql}"))
+
+
+# --- texts ----------------------------------------------------------------------------------
+
+
+def matches_sql(x: str, pattern: str, group: int = 0) -> str:
+    return f"regexp_extract_all({x}, {quoted(pattern)}, {group})"
+
+
+def _named_sql() -> str:
+    """Map from the standard library's list, frequent names first; folded into a literal."""
+    frequent = ["amp;", "lt;", "gt;", "quot;", "nbsp;", "copy;", "middot;"]
+    names = frequent + [n for n in html5 if n.endswith(";") and n not in frequent]
+    pairs = "\x01".join(f"&{n}\x02{html5[n]}" for n in names)
+    return f"str_to_map({quoted(pairs)}, {quoted(chr(1))}, {quoted(chr(2))})"
+
+
+_NAMED = _named_sql()
+
+
+def decode_sql(x: str) -> str:
+    """Numeric and named character references; unknown ones stay.  ``x`` is used several times."""
+    hexed = f"nullif(regexp_extract(dp, {quoted('^&#[xX]([0-9A-Fa-f]{1,6});$')}, 1), '')"
+    plain = f"nullif(regexp_extract(dp, {quoted('^&#([0-9]{1,7});$')}, 1), '')"
+    code = f"cast(coalesce(conv({hexed}, 16, 10), {plain}) as int)"
+    char = (
+        "IF(dn BETWEEN 1 AND 55295 OR dn BETWEEN 57344 AND 1114111, "
+        "decode(unhex(lpad(hex(dn), 8, '0')), 'UTF-32'), dp)"
+    )
+    piece = (
+        f"CASE WHEN startswith(dp, '&#') THEN {let_sql(code, 'dn', char)} "
+        f"WHEN startswith(dp, '&') AND length(dp) > 1 THEN coalesce(try_element_at({_NAMED}, dp), dp) ELSE dp END"
+    )
+    pieces = matches_sql(x, r"&#?[A-Za-z0-9]+;|[^&]+|&")
+    return f"IF(contains({x}, '&'), array_join(transform({pieces}, dp -> {piece}), ''), {x})"
+
+
+def node_text_sql(x: str) -> str:
+    """Each text node of visible markup stripped, then joined without a separator."""
+    text = f"btrim({decode_sql('nt')}, {quoted(WHITESPACE)})"
+    return f"array_join(transform(split({x}, {quoted(f'(?is){TAG}')}), nt -> {text}), '')"
+
+
+def open_tag_sql(x: str) -> str:
+    return f"regexp_extract({x}, {quoted(f'(?is)^{TAG}')}, 0)"
+
+
+def attribute_sql(x: str, name: str) -> str:
+    """Value of an attribute of an opening tag; null when it is absent."""
+    shape = r"""(?is)([^\s"'<>/=]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    at = f"cast(array_position(transform({matches_sql('av', shape, 1)}, an -> lower(an)), {quoted(name)}) as int)"
+    raw = let_sql(x, "av", let_sql(at, "ai", f"IF(ai > 0, get({matches_sql('av', shape, 2)}, ai - 1), NULL)"))
+    bare = "regexp_replace({}, {}, '$2')".format(raw, quoted(r"""(?s)^(["'])(.*)\1$"""))
+    return let_sql(bare, "ad", decode_sql("ad"))
+
+
+def class_list_sql(x: str) -> str:
+    """Classes in order; empty array when there are none."""
+    names = "split(coalesce({}, ''), {})".format(attribute_sql(x, "class"), quoted(r"\s+"))
+    return f"filter({names}, ck -> ck <> '')"
+
+
+def links_sql(x: str) -> str:
+    """``array<struct<href, text>>``; href is null for an anchor without one."""
+    link = f"named_struct('href', {attribute_sql(open_tag_sql('la'), 'href')}, 'text', {node_text_sql('la')})"
+    return f"transform({matches_sql(x, LINK)}, la -> {link})"
+
+
+def cells_sql(x: str) -> str:
+    """``array<struct<text, links>>`` of one row."""
+    cell = f"named_struct('text', {node_text_sql('ce')}, 'links', {links_sql('ce')})"
+    return f"transform({matches_sql(x, CELL)}, ce -> {cell})"
+
+
+def usable_sql(x: str) -> str:
+    """The text if it can be a title, else null."""
+    return let_sql(x, "ut", "IF(length(ut) BETWEEN 1 AND 99 AND NOT ut rlike '^[0-9]+$', ut, NULL)")
+
+
+def headings_sql(marks: str) -> str:
+    """``array<struct<at, level, text>>`` of the headings among the marks."""
+    numbered = f"transform({marks}, (hm, hi) -> named_struct('at', hi, 'm', hm))"
+    heads = f"filter({numbered}, hf -> hf.m rlike {quoted(f'(?is)^{HEADING}$')})"
+    head = f"named_struct('at', hd.at, 'level', cast(substring(hd.m, 3, 1) as int), 'text', {node_text_sql('hd.m')})"
+    return f"transform({heads}, hd -> {head})"
+
+
+def table_marks_sql(marks: str) -> str:
+    """Mark positions of the opening table tags."""
+    numbered = f"transform({marks}, (tm, ti) -> IF(tm rlike {quoted(TABLE_OPEN)}, ti, NULL))"
+    return f"array_compact({numbered})"
+
+
+def nearest_sql(headings: str, before: str, level: int) -> str:
+    """Text of the last heading of one level before a mark."""
+    found = f"filter({headings}, nh -> nh.level = {level} AND nh.at < {before})"
+    return let_sql(found, "nf", "get(nf, size(nf) - 1).text")
+
+
+def heading_title_sql(headings: str, before: str) -> str:
+    """First level whose nearest preceding heading is a usable title."""
+    return "coalesce(" + ", ".join(usable_sql(nearest_sql(headings, before, n)) for n in range(1, 7)) + ")"
+
+
+def caption_sql(body: str) -> str:
+    shape = r"(?is)<caption(?=[\s/>])[^>]*>(.*?)</caption\s*>"
+    text = node_text_sql(f"regexp_extract({body}, {quoted(shape)}, 1)")
+    return let_sql(text, "ct", "IF(length(ct) BETWEEN 1 AND 99, ct, NULL)")
+
+
+def enclosing_title_sql(headings: str, around: str) -> str:
+    """First usable heading, title-like class or id of the enclosing elements, innermost first."""
+    levels = [usable_sql(f"get(filter(eh, el -> el.level = {n}), 0).text") for n in range(1, 7)]
+    inside = f"filter({headings}, ei -> ei.at > ee.lo AND ei.at < ee.hi)"
+    heading = let_sql(inside, "eh", f"coalesce({', '.join(levels)})")
+    titled = f"filter({class_list_sql('ee.head')}, ec -> contains(lower(ec), 'title') AND length(ec) < 50)"
+    ident = let_sql(attribute_sql("ee.head", "id"), "ed", "IF(contains(lower(ed), 'title'), ed, NULL)")
+    each = f"transform({around}, ee -> coalesce({heading}, get({titled}, 0), {ident}))"
+    return f"get(array_compact({each}), 0)"
+
+
+# --- column forms ---------------------------------------------------------------------------
+
+
 def all_matches(col: Column, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(col, F.lit(pattern), group)
 
@@ -74,63 +222,23 @@ def open_tag(fragment: Column) -> Column:
 
 
 def attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute of an opening tag; null when it is absent."""
-    shape = r"""(?is)([^\s"'<>/=]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-    names = F.transform(all_matches(tag, shape, 1), F.lower)
-    values = all_matches(tag, shape, 2)
-    at = F.array_position(names, name).cast("int")
-    raw = F.when(at > 0, F.get(values, at - 1))
-    return decode_entities(F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2"))
+    return applied(tag, "x", attribute_sql("x", name))
 
 
 def class_list(tag: Column) -> Column:
-    """Classes in order; empty array when there are none."""
-    value = F.coalesce(attribute(tag, "class"), F.lit(""))
-    return F.filter(F.split(value, r"\s+"), lambda c: c != "")
+    return applied(tag, "x", class_list_sql("x"))
 
 
 def decode_entities(col: Column) -> Column:
-    """Numeric and named character references; unknown ones stay as they are."""
-    pieces = all_matches(col, r"&#?[A-Za-z0-9]+;|[^&]+|&")
-    decoded = F.array_join(F.transform(pieces, _decode_piece), "")
-    return F.when(col.contains("&"), decoded).otherwise(col)
-
-
-def _decode_piece(piece: Column) -> Column:
-    code = F.coalesce(
-        F.conv(F.nullif(F.regexp_extract(piece, r"^&#[xX]([0-9A-Fa-f]{1,6});$", 1), F.lit("")), 16, 10),
-        F.nullif(F.regexp_extract(piece, r"^&#([0-9]{1,7});$", 1), F.lit("")),
-    ).cast("int")
-    known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    return (
-        F.when(piece.startswith("&#"), F.when(known, char).otherwise(piece))
-        .when(piece.startswith("&") & (F.length(piece) > 1), F.coalesce(F.try_element_at(_named(), piece), piece))
-        .otherwise(piece)
-    )
-
-
-def _named() -> Column:
-    """Literal map from the standard library's list, frequent names first."""
-    frequent = ["amp;", "lt;", "gt;", "quot;", "nbsp;", "copy;", "middot;"]
-    names = frequent + [n for n in html5 if n.endswith(";") and n not in frequent]
-    keys = F.array(*[F.lit("&" + n) for n in names])
-    values = F.array(*[F.lit(html5[n]) for n in names])
-    return F.map_from_arrays(keys, values)
+    return applied(col, "x", decode_sql("x"))
 
 
 def node_text(fragment: Column) -> Column:
-    """Each text node stripped, then joined without a separator."""
-    nodes = F.split(visible(fragment), f"(?is){TAG}")
-    return F.array_join(F.transform(nodes, lambda t: strip(decode_entities(t))), "")
+    return applied(fragment, "x", node_text_sql("x"))
 
 
 def link_array(fragment: Column) -> Column:
-    """``array<struct<href, text>>``; href is null for an anchor without one."""
-    return F.transform(
-        all_matches(fragment, LINK),
-        lambda a: F.struct(attribute(open_tag(a), "href").alias("href"), node_text(a).alias("text")),
-    )
+    return applied(fragment, "x", links_sql("x"))
 
 
 def first_inner(html: Column, tag: str) -> Column:
@@ -147,7 +255,8 @@ def page_title(html: Column, stripped: bool) -> Column:
 
 def meta_description(html: Column) -> Column:
     metas = all_matches(visible(html), r"(?is)<meta\b[^>]*>")
-    found = F.filter(metas, lambda m: attribute(m, "name") == "description")
+    named = f"md -> {attribute_sql('md', 'name')} = 'description'"
+    found = F.call_function("filter", metas, F.expr(named))
     return F.coalesce(attribute(F.get(found, 0), "content"), F.lit(""))
 
 
@@ -161,8 +270,8 @@ def count_tags(html: Column, tag: str) -> Column:
 
 
 def table_pieces(html: Column) -> Column:
-    """The visible page cut before every ``<table`` and after every ``</table>``."""
-    closed = F.regexp_replace(visible(html), r"(?i)</table\s*>", "</table>")
+    """Visible markup cut before every ``<table`` and after every ``</table>``."""
+    closed = F.regexp_replace(html, r"(?i)</table\s*>", "</table>")
     return F.split(closed, r"(?i)(?=<table[\s/>])|(?<=</table>)")
 
 
@@ -173,15 +282,14 @@ def table_array(pieces: str) -> Column:
     belong to the nested table only.  Pages without nesting (every opening piece
     also closes) skip the fold that finds the owners.
     """
-    p = F.col(pieces)
-    plain = F.filter(p, _opens)
-    nested = F.exists(p, lambda x: _opens(x) & ~x.endswith("</table>"))
-    owners = F.expr(f"""
+    opens = f"rlike {quoted(TABLE_OPEN)}"
+    nested = f"exists({pieces}, x -> x {opens} AND NOT endswith(x, '</table>'))"
+    owners = f"""
         aggregate(
           {pieces},
           named_struct('n', 0, 'open', cast(array() as array<int>), 'owner', cast(array() as array<int>)),
           (acc, x) -> CASE
-            WHEN x rlike '(?i)^<table[\\\\s/>]' THEN named_struct(
+            WHEN x {opens} THEN named_struct(
               'n', acc.n + 1,
               'open', IF(x LIKE '%</table>', acc.open, concat(acc.open, array(acc.n + 1))),
               'owner', concat(acc.owner, array(acc.n + 1)))
@@ -191,20 +299,12 @@ def table_array(pieces: str) -> Column:
                          slice(acc.open, 1, size(acc.open) - 1), acc.open),
               'owner', concat(acc.owner, array(IF(size(acc.open) > 0, element_at(acc.open, -1), 0))))
           END,
-          acc -> acc.owner)""")
-    owned = F.transform(
-        F.sequence(F.lit(1), F.array_max(owners)),
-        lambda k: F.array_join(F.filter(p, lambda x, i: F.get(owners, i) == k), ""),
-    )
-    bodies = F.when(F.size(plain) == 0, F.array().cast("array<string>")).when(nested, owned).otherwise(plain)
-    return F.transform(
-        bodies,
-        lambda b: F.struct(open_tag(b).alias("tag"), b.alias("body")),
-    )
-
-
-def _opens(piece: Column) -> Column:
-    return piece.rlike(TABLE_OPEN)
+          acc -> acc.owner)"""
+    mine = f"array_join(filter({pieces}, (x, i) -> get(ow, i) = tk), '')"
+    owned = let_sql(owners, "ow", f"transform(sequence(1, array_max(ow)), tk -> {mine})")
+    plain = f"filter({pieces}, x -> x {opens})"
+    bodies = f"IF(exists({pieces}, x -> x {opens}), IF({nested}, {owned}, {plain}), cast(array() as array<string>))"
+    return F.expr(f"transform({bodies}, tb -> named_struct('tag', {open_tag_sql('tb')}, 'body', tb))")
 
 
 def row_array(body: Column) -> Column:
@@ -213,11 +313,12 @@ def row_array(body: Column) -> Column:
 
 
 def cell_array(row: Column) -> Column:
-    """``array<struct<text, links>>`` of one row."""
-    return F.transform(
-        all_matches(row, CELL),
-        lambda c: F.struct(node_text(c).alias("text"), link_array(c).alias("links")),
-    )
+    return applied(row, "x", cells_sql("x"))
+
+
+def cell_rows(body: Column) -> Column:
+    """The cells of every row of a table."""
+    return mapped(row_array(body), "x", cells_sql("x"))
 
 
 def cell_text(cell: Column) -> Column:
@@ -230,43 +331,11 @@ def cell_text(cell: Column) -> Column:
 
 
 def mark_array(html: Column) -> Column:
-    """Headings (whole) and all other tags, in document order."""
-    return all_matches(visible(html), f"(?is){HEADING}|{TAG}")
-
-
-def heading_array(marks: Column) -> Column:
-    """``array<struct<at, level, text>>`` of the headings among the marks."""
-    numbered = F.transform(marks, lambda m, i: F.struct(i.alias("at"), m.alias("m")))
-    heads = F.filter(numbered, lambda h: h["m"].rlike(f"(?is)^{HEADING}$"))
-    return F.transform(
-        heads,
-        lambda h: F.struct(
-            h["at"].alias("at"),
-            F.substring(h["m"], 3, 1).cast("int").alias("level"),
-            node_text(h["m"]).alias("text"),
-        ),
-    )
-
-
-def table_mark_array(marks: Column) -> Column:
-    """Mark positions of the opening table tags."""
-    numbered = F.transform(marks, lambda m, i: F.struct(i.alias("at"), m.alias("m")))
-    return F.transform(F.filter(numbered, lambda t: _opens(t["m"])), lambda t: t["at"])
-
-
-def nearest_heading(headings: Column, before: Column, level: int) -> Column:
-    """Text of the last heading of one level before a mark."""
-    found = F.filter(headings, lambda h: (h["level"] == level) & (h["at"] < before))
-    return F.get(found, F.size(found) - 1)["text"]
-
-
-def heading_title(headings: Column, before: Column) -> Column:
-    """First level whose nearest preceding heading is a usable title."""
-    texts = [nearest_heading(headings, before, level) for level in range(1, 7)]
-    return F.coalesce(*[F.when(valid_title(t), t) for t in texts])
+    """Headings (whole) and all other tags of visible markup, in document order."""
+    return all_matches(html, f"(?is){HEADING}|{TAG}")
 
 
-def enclosing_array(marks: str) -> Column:
+def enclosing_sql(marks: str) -> str:
     """Per table, its three innermost enclosing elements with their extent.
 
     ``array<array<struct<lo, hi, head>>>``.  One pass over the tags with a stack:
@@ -276,7 +345,7 @@ def enclosing_array(marks: str) -> Column:
     """
     voids = ", ".join(f"'{t}'" for t in VOID_TAGS)
     last3 = "slice(acc.open, greatest(size(acc.open) - 2, 1), 3)"
-    return F.expr(f"""
+    return f"""
         aggregate(
           transform({marks}, (t, i) -> named_struct(
             't', t, 'i', i, 'name', lower(regexp_extract(t, '^</?([A-Za-z][^\\\\s/>]*)', 1)))),
@@ -315,24 +384,4 @@ def enclosing_array(marks: str) -> Column:
           acc -> transform(acc.tables, around -> transform(around, e -> named_struct(
             'lo', e.lo,
             'hi', coalesce(get(filter(acc.extent, x -> x.lo = e.lo), 0).hi, 2147483647),
-            'head', e.head))))""")
-
-
-def enclosing_title(headings: Column, around: Column) -> Column:
-    """First usable heading, title-like class or id of the enclosing elements, innermost first."""
-
-    def first_of_level(inside: Column, level: int) -> Column:
-        return F.get(F.filter(inside, lambda h: h["level"] == level), 0)["text"]
-
-    def of_one(e: Column) -> Column:
-        inside = F.filter(headings, lambda h: (h["at"] > e["lo"]) & (h["at"] < e["hi"]))
-        texts = [first_of_level(inside, level) for level in range(1, 7)]
-        classes = F.filter(class_list(e["head"]), lambda c: F.lower(c).contains("title") & (F.length(c) < 50))
-        ident = attribute(e["head"], "id")
-        return F.coalesce(
-            *[F.when(valid_title(t), t) for t in texts],
-            F.get(classes, 0),
-            F.when(F.lower(ident).contains("title"), ident),
-        )
-
-    return F.coalesce(*[of_one(F.get(around, k)) for k in range(3)])
+            'head', e.head))))"""

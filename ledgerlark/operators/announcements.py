@@ -21,18 +21,14 @@ METHODS = ("关键词匹配", "表格解析", "600519相关")
 
 def _anchors(html: Column) -> Column:
     """``array<struct<href, text, own>>``; ``own`` are the text nodes directly in the anchor."""
-    fragments = M.all_matches(M.visible(html), M.LINK)
-    return F.transform(
-        fragments,
-        lambda a: F.struct(
-            M.attribute(M.open_tag(a), "href").alias("href"),
-            M.node_text(a).alias("text"),
-            F.split(
-                F.regexp_replace(a, rf"(?is)^{M.TAG}|<([a-z][a-z0-9]*)\b[^>]*>.*?</\1\s*>", M.SEPARATOR),
-                f"(?is){M.TAG}",
-            ).alias("own"),
-        ),
+    # Nested elements go out as a whole, so only the anchor's own text nodes stay.
+    nested = M.quoted(rf"(?is)^{M.TAG}|<([a-z][a-z0-9]*)\b[^>]*>.*?</\1\s*>")
+    own = f"split(regexp_replace(x, {nested}, {M.quoted(M.SEPARATOR)}), {M.quoted(f'(?is){M.TAG}')})"
+    link = (
+        f"named_struct('href', {M.attribute_sql(M.open_tag_sql('x'), 'href')}, "
+        f"'text', {M.node_text_sql('x')}, 'own', transform({own}, y -> {M.decode_sql('y')}))"
     )
+    return M.mapped(M.all_matches(M.visible(html), M.LINK), "x", link)
 
 
 def keyword_links(pages: DataFrame, html: str = "html", words: tuple[str, ...] = ANNOUNCEMENT_WORDS) -> DataFrame:
@@ -66,7 +62,7 @@ def entity_links(pages: DataFrame, html: str = "html", entity: str = ENTITY) ->
     """Anchors by each text node directly inside them that names the entity."""
     keep = [c for c in pages.columns if c != html]
     rows = pages.select(*keep, F.posexplode(_anchors(F.col(html))).alias("_i", "a"))
-    hits = F.filter("a.own", lambda t: M.decode_entities(t).rlike(entity))
+    hits = F.filter("a.own", lambda t: t.rlike(entity))
     rows = rows.select(*keep, "_i", "a", F.posexplode(hits).alias("_n", "_hit"))
     href = F.coalesce(F.col("a.href"), F.lit(""))
     return _shaped(rows.withColumn("pos", F.struct("_i", "_n")), keep, F.col("a.text"), F.col("a.text"), href, 2, ALIGNED_HOST)

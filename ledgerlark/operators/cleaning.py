@@ -39,7 +39,7 @@ def ffill(
     return out.withColumn(col, filled).drop("_filled")
 
 
-def ffill_rows(data: Column, date_col: Column, leading_null: bool = False) -> Column:
+def ffill_rows(data: Column, date_col: Column) -> Column:
     """Forward fill of one column inside a table's row array.
 
     Gaps are blank or white-space cells; the running value is carried by a fold
@@ -48,13 +48,25 @@ def ffill_rows(data: Column, date_col: Column, leading_null: bool = False) -> Co
     empty = F.array().cast("array<array<string>>")
     start = F.struct(F.lit(None).cast("string").alias("last"), empty.alias("rows"))
 
-    def step(acc: Column, row: Column) -> Column:
-        cell = F.get(row, date_col)
-        known = F.coalesce(F.when(blank_to_null(cell).isNotNull(), cell), acc["last"])
-        filled = F.transform(row, lambda c, i: F.when(i == date_col, F.coalesce(known, c)).otherwise(c))
-        return F.struct(known.alias("last"), F.concat(acc["rows"], F.array(filled)).alias("rows"))
-
-    return F.aggregate(data, start, step, lambda acc: acc["rows"])
+    def step(acc: Column, row: Column, at: Column) -> Column:
+        cell = F.get(row, at)
+        value = F.coalesce(F.when(blank_to_null(cell).isNotNull(), cell), acc["last"])
+        return F.get(
+            F.transform(F.array(value), lambda known: F.struct(
+                known.alias("last"),
+                F.concat(
+                    acc["rows"],
+                    F.array(F.transform(row, lambda c, i: F.when(i == at, F.coalesce(known, c)).otherwise(c))),
+                ).alias("rows"),
+            )),
+            0,
+        )
+
+    filled = F.transform(
+        F.array(date_col),
+        lambda at: F.aggregate(data, start, lambda acc, row: step(acc, row, at), lambda acc: acc["rows"]),
+    )
+    return F.get(filled, 0)
 
 
 def date_column(header: Column) -> Column:

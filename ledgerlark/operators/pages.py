@@ -54,7 +54,8 @@ def first_links(html: Column, n: int = PROFILE_LINKS) -> Column:
 def mention_count(html: Column, pattern: str) -> Column:
     """Text nodes that match; comments, scripts and styles count as text nodes too."""
     nodes = F.filter(M.tokens(html), lambda t: ~M.token_kind(t).isin("open", "close", "declaration"))
-    inner = F.transform(nodes, lambda t: M.decode_entities(F.regexp_replace(t, r"(?is)^<(?:script|style)\b[^>]*>|</(?:script|style)\s*>$", "")))
+    tags = M.quoted(r"(?is)^<(?:script|style)\b[^>]*>|</(?:script|style)\s*>$")
+    inner = M.mapped(nodes, "x", M.let_sql(f"regexp_replace(x, {tags}, '')", "y", M.decode_sql("y")))
     return F.size(F.filter(inner, lambda t: t.rlike(pattern)))
 
 

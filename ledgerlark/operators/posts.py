@@ -36,7 +36,8 @@ def extract_board_items(pages: DataFrame, html: str = "html") -> DataFrame:
     body = r"(?is)<tbody(?=[\s>])[^>]*class=[\"'][^\"']*\blistbody\b[^>]*>.*?(?=</tbody\s*>|\z)"
     bodies = M.all_matches(M.visible(F.col(html)), body)
     rows = F.flatten(F.transform(bodies, M.row_array))
-    items = F.filter(rows, lambda r: F.array_contains(M.class_list(M.open_tag(r)), "listitem"))
+    listed = f"x -> array_contains({M.class_list_sql(M.open_tag_sql('x'))}, 'listitem')"
+    items = F.call_function("filter", rows, F.expr(listed))
     keep = [c for c in pages.columns if c != html]
     row = pages.select(*keep, F.posexplode(items).alias("_at", "_row"))
     row = row.select(*keep, (F.col("_at") + 1).alias("pos"), M.all_matches(F.col("_row"), M.CELL).alias("_c"))
@@ -45,17 +46,15 @@ def extract_board_items(pages: DataFrame, html: str = "html") -> DataFrame:
         shape = rf"(?is)<([a-z][a-z0-9]*)\b[^>]*class=[\"'](?:[^\"']*\s)?{name}(?:\s[^\"']*)?[\"'][^>]*>(.*?)</\1\s*>"
         return F.when(cell.rlike(shape), F.regexp_extract(cell, shape, 2))
 
-    def anchor(cell: Column, name: str) -> Column:
-        return F.get(M.link_array(classed(cell, name)), 0)
-
     c = F.col("_c")
+    title = F.get(M.link_array(classed(F.get(c, 2), "title")), 0)
+    row = row.withColumn("_title", title)
     return row.select(
         *keep,
         "pos",
-        anchor(F.get(c, 2), "title")["text"].alias("title"),
-        F.when(F.size(M.link_array(classed(F.get(c, 2), "title"))) > 0,
-               F.coalesce(anchor(F.get(c, 2), "title")["href"], F.lit(""))).alias("href"),
-        anchor(F.get(c, 3), "author")["text"].alias("author"),
+        F.col("_title.text").alias("title"),
+        F.when(F.col("_title").isNotNull(), F.coalesce(F.col("_title.href"), F.lit(""))).alias("href"),
+        F.get(M.link_array(classed(F.get(c, 3), "author")), 0)["text"].alias("author"),
         M.node_text(classed(F.get(c, 4), "update")).alias("time"),
         M.node_text(classed(F.get(c, 0), "read")).alias("read_count"),
         M.node_text(classed(F.get(c, 1), "reply")).alias("reply_count"),

@@ -7,6 +7,8 @@ an order across pages of one stock use chunked prefixes over page-level counts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +25,11 @@ MERGED_INDEX = 3
 INLINE_SKIP = 2
 
 
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 # --- structure ------------------------------------------------------------------------------
 
 
@@ -37,44 +44,30 @@ def page_tables(pages: DataFrame, html: str = "html", titles: bool = False) -> D
     keep = [c for c in pages.columns if c != html]
     # A cheap test ahead of the structural work; pages without tables give no rows.
     df = pages.filter(F.col(html).rlike(r"(?i)<table[\s/>]"))
-    df = df.withColumn("_pieces", M.table_pieces(F.col(html)))
+    df = df.select(*keep, M.visible(F.col(html)).alias("_visible"))
+    df = df.withColumn("_pieces", M.table_pieces(F.col("_visible")))
     df = df.withColumn("_tables", M.table_array("_pieces"))
     cols = [*keep, "_tables"]
     if titles:
-        df = df.withColumn("_marks", M.mark_array(F.col(html)))
-        df = df.withColumn("_heads", M.heading_array(F.col("_marks")))
-        df = df.withColumn("_at", M.table_mark_array(F.col("_marks")))
-        df = df.withColumn(
-            "_heading", F.transform("_at", lambda at: M.heading_title(F.col("_heads"), at))
-        ).withColumn("_caption", F.transform("_tables", lambda t: _caption(t["body"])))
+        df = df.withColumn("_marks", M.mark_array(F.col("_visible")))
+        df = df.withColumn("_heads", F.expr(M.headings_sql("_marks")))
+        title = f"transform({M.table_marks_sql('_marks')}, m -> {M.heading_title_sql('hs', 'm')})"
+        df = df.withColumn("_heading", F.expr(M.let_sql("_heads", "hs", title)))
+        df = df.withColumn("_caption", F.expr(f"transform(_tables, t -> {M.caption_sql('t.body')})"))
         # The stack pass over all tags runs only where a table still lacks a title.
-        lacking = F.exists(
-            F.arrays_zip("_heading", "_caption"), lambda z: z["_heading"].isNull() & z["_caption"].isNull()
-        )
-        around = F.transform(
-            M.enclosing_array("_marks"), lambda e: M.enclosing_title(F.col("_heads"), e)
-        )
-        df = df.withColumn("_around", F.when(lacking, around))
+        lacking = "exists(arrays_zip(_heading, _caption), z -> z._heading IS NULL AND z._caption IS NULL)"
+        around = f"transform({M.enclosing_sql('_marks')}, en -> {M.enclosing_title_sql('hs', 'en')})"
+        df = df.withColumn("_around", F.expr(f"IF({lacking}, {M.let_sql('_heads', 'hs', around)}, NULL)"))
         cols += ["_heading", "_caption", "_around"]
     df = df.select(*cols, F.posexplode("_tables").alias("_i", "_t"))
-    out = df.select(
+    return df.select(
         *keep,
         (F.col("_i") + 1).alias("index"),
         F.col("_t.tag").alias("tag"),
         F.col("_t.body").alias("body"),
-        F.transform(M.row_array(F.col("_t.body")), M.cell_array).alias("cells"),
-        *(
-            [F.get(c, F.col("_i")).alias(c[1:]) for c in ("_heading", "_caption", "_around")]
-            if titles
-            else []
-        ),
+        M.cell_rows(F.col("_t.body")).alias("cells"),
+        *[F.get(c, F.col("_i")).alias(c[1:]) for c in cols if c in ("_heading", "_caption", "_around")],
     )
-    return out
-
-
-def _caption(body: Column) -> Column:
-    text = M.node_text(M.first_inner(body, "caption"))
-    return F.when(F.length(text).between(1, 99), text)
 
 
 def table_title(mode: str) -> Column:
@@ -118,24 +111,26 @@ def aligned_data(cells: Column) -> Column:
     The row at position 0 gets the literal header in that place.  Rows without
     cells are left out but keep their position.
     """
-    at = link_column_array(cells)
 
     def url(cell: Column) -> Column:
         href = F.coalesce(F.get(cell["links"], 0)["href"], F.lit(""))
         return F.when(F.size(cell["links"]) > 0, resolve_url(href, ALIGNED_HOST, "aligned")).otherwise("")
 
-    def row(cells_of_row: Column, r: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                cells_of_row,
-                lambda c, i: F.when(
-                    F.array_contains(at, i),
-                    F.array(c["text"], F.when(r == 0, LINK_HEADER).otherwise(url(c))),
-                ).otherwise(F.array(M.cell_text(c))),
-            )
+    def rows(at: Column) -> Column:
+        return F.transform(
+            cells,
+            lambda cells_of_row, r: F.flatten(
+                F.transform(
+                    cells_of_row,
+                    lambda c, i: F.when(
+                        F.array_contains(at, i),
+                        F.array(c["text"], F.when(r == 0, LINK_HEADER).otherwise(url(c))),
+                    ).otherwise(F.array(M.cell_text(c))),
+                )
+            ),
         )
 
-    return F.filter(F.transform(cells, row), lambda x: F.size(x) > 0)
+    return F.filter(_bind(link_column_array(cells), rows), lambda x: F.size(x) > 0)
 
 
 def inline_link(cell: Column) -> Column:
@@ -163,8 +158,12 @@ def inline_data(cells: Column) -> Column:
         )
 
     ragged = F.filter(F.transform(cells, row), lambda x: F.size(x) > 0)
-    widest = F.array_max(F.transform(ragged, F.size))
-    return F.transform(ragged, lambda r: pad_right(r, widest))
+
+    def padded(rows: Column) -> Column:
+        widest = F.array_max(F.transform(rows, F.size))
+        return _bind(widest, lambda w: F.transform(rows, lambda r: pad_right(r, w)))
+
+    return _bind(ragged, padded)
 
 
 def extract_tables(
@@ -185,10 +184,12 @@ def extract_tables(
     tables = page_tables(pages, html, titles=titles).filter(F.col("index") > skip)
     data = aligned_data(F.col("cells")) if mode == "aligned" else inline_data(F.col("cells"))
     title = table_title(mode) if titles else F.lit(None).cast("string")
-    out = (
-        tables.select(*keep, "index", title.alias("title"), data.alias("data"))
-        .filter(F.size("data") > 0)
-        .select("*", F.size("data").alias("rows"), F.size(F.get("data", 0)).alias("columns"))
+    # Emitted by a generator, so that the size test does not compute the data again.
+    made = F.filter(
+        F.array(F.struct(F.col("index"), title.alias("title"), data.alias("data"))), lambda t: F.size(t["data"]) > 0
+    )
+    out = tables.select(*keep, F.inline(made)).select(
+        "*", F.size("data").alias("rows"), F.size(F.get("data", 0)).alias("columns")
     )
     return out if max_tables is None else cap_tables(out, keep, max_tables)
 
@@ -256,9 +257,9 @@ def inspect_tables(tables: DataFrame, keys: list[str]) -> DataFrame:
     A header is every ``tr.header`` row; without one, one empty text list per
     ``th``, because a ``th`` holds no cells of its own.
     """
-    body_rows = M.row_array(F.col("body"))
-    marked = F.filter(body_rows, lambda r: F.array_contains(M.class_list(M.open_tag(r)), "header"))
-    marked_texts = F.transform(marked, lambda r: F.transform(M.cell_array(r), lambda c: c["text"]))
+    header_row = f"array_contains({M.class_list_sql(M.open_tag_sql('hr'))}, 'header')"
+    marked = F.call_function("filter", M.row_array(F.col("body")), F.expr(f"hr -> {header_row}"))
+    marked_texts = M.mapped(marked, "x", f"transform({M.cells_sql('x')}, xc -> xc.text)")
     bare = F.transform(
         M.all_matches(F.col("body"), r"(?i)<th(?=[\s/>])"), lambda _: F.array().cast("array<string>")
     )
@@ -272,7 +273,7 @@ def inspect_tables(tables: DataFrame, keys: list[str]) -> DataFrame:
         *keys,
         "index",
         F.size("cells").alias("rows"),
-        F.when(F.size(marked) > 0, marked_texts).otherwise(bare).alias("header_texts"),
+        _bind(marked_texts, lambda m: F.when(F.size(m) > 0, m).otherwise(bare)).alias("header_texts"),
         F.transform(first_rows, lambda row: F.transform(row, described)).alias("first_rows"),
         F.coalesce(M.attribute(F.col("tag"), "id"), F.lit("")).alias("id"),
         M.class_list(F.col("tag")).alias("classes"),
@@ -286,11 +287,9 @@ def inspect_tables(tables: DataFrame, keys: list[str]) -> DataFrame:
 def nearest_headings(pages: DataFrame, level: int, html: str = "html") -> DataFrame:
     """(page columns, index, heading): last heading of one level before each table."""
     keep = [c for c in pages.columns if c != html]
-    df = pages.withColumn("_marks", M.mark_array(F.col(html)))
-    df = df.withColumn("_heads", M.heading_array(F.col("_marks")))
-    found = F.transform(
-        M.table_mark_array(F.col("_marks")), lambda at: M.nearest_heading(F.col("_heads"), at, level)
-    )
+    df = pages.withColumn("_marks", M.mark_array(M.visible(F.col(html))))
+    each = f"transform({M.table_marks_sql('_marks')}, m -> {M.nearest_sql('hs', 'm', level)})"
+    found = F.expr(M.let_sql(M.headings_sql("_marks"), "hs", each))
     return df.select(*keep, F.posexplode(found).alias("_i", "heading")).select(
         *keep, (F.col("_i") + 1).alias("index"), "heading"
     )
@@ -299,9 +298,9 @@ def nearest_headings(pages: DataFrame, level: int, html: str = "html") -> DataFr
 def ancestor_headings(pages: DataFrame, html: str = "html") -> DataFrame:
     """(page columns, index, depth, level, heading): headings inside the three enclosing elements."""
     keep = [c for c in pages.columns if c != html]
-    df = pages.withColumn("_marks", M.mark_array(F.col(html)))
-    df = df.withColumn("_heads", M.heading_array(F.col("_marks")))
-    df = df.withColumn("_around", M.enclosing_array("_marks"))
+    df = pages.withColumn("_marks", M.mark_array(M.visible(F.col(html))))
+    df = df.withColumn("_heads", F.expr(M.headings_sql("_marks")))
+    df = df.withColumn("_around", F.expr(M.enclosing_sql("_marks")))
     df = df.select(*keep, "_heads", F.posexplode("_around").alias("_i", "_up"))
     df = df.select(*keep, "_heads", "_i", F.posexplode("_up").alias("_d", "_e"))
     inside = F.filter("_heads", lambda h: (h["at"] > F.col("_e.lo")) & (h["at"] < F.col("_e.hi")))
@@ -442,35 +441,31 @@ def batch_status(results: DataFrame) -> DataFrame:
 
 def total_pages(html: Column) -> Column:
     """Largest number among the links of the pagination block, else ``共N页``, else 1."""
-    text = M.visible(html)
 
-    def block(name: str) -> Column:
-        return F.nullif(
-            F.regexp_extract(
-                text,
-                rf"(?is)<div(?=[\s>])[^>]*class=[\"'](?:[^\"']*\s)?{name}(?:\s[^\"']*)?[\"'][^>]*>(.*?)</div\s*>",
-                1,
-            ),
-            F.lit(""),
-        )
+    def block(text: Column, name: str) -> Column:
+        shape = rf"(?is)<div(?=[\s>])[^>]*class=[\"'](?:[^\"']*\s)?{name}(?:\s[^\"']*)?[\"'][^>]*>(.*?)</div\s*>"
+        return F.nullif(F.regexp_extract(text, shape, 1), F.lit(""))
+
+    def by_links(links: Column) -> Column:
+        top = F.array_max(M.mapped(links, "x", f"try_cast({M.node_text_sql('x')} as int)"))
+        return F.when(F.size(links) > 0, F.greatest(F.coalesce(top, F.lit(1)), F.lit(1)))
 
-    links = M.link_array(F.coalesce(block("pagination"), block("page")))
-    numbers = F.transform(links, lambda a: a["text"].try_cast("int"))
-    by_links = F.when(F.size(links) > 0, F.greatest(F.coalesce(F.array_max(numbers), F.lit(1)), F.lit(1)))
-    stated = F.nullif(F.regexp_extract(text, r"共(\d+)页", 1), F.lit("")).try_cast("int")
-    return F.coalesce(by_links, stated, F.lit(1))
+    def counted(text: Column) -> Column:
+        anchors = M.all_matches(F.coalesce(block(text, "pagination"), block(text, "page")), M.LINK)
+        stated = F.nullif(F.regexp_extract(text, r"共(\d+)页", 1), F.lit("")).try_cast("int")
+        return F.coalesce(_bind(anchors, by_links), stated, F.lit(1))
+
+    return _bind(M.visible(html), counted)
 
 
 def total_pages_by_index(html: Column, max_pages: int | None = None) -> Column:
     """Click variant: largest digit text of ``a[data-pi]`` in ``.paginator-ul``; capped."""
     text = M.visible(html)
     shape = r"(?is)<ul(?=[\s>])[^>]*class=[\"'][^\"']*\bpaginator-ul\b[^>]*>(.*?)</ul\s*>"
-    anchors = F.filter(
-        M.all_matches(F.regexp_extract(text, shape, 1), M.LINK),
-        lambda a: M.attribute(M.open_tag(a), "data-pi").isNotNull(),
-    )
-    numbers = F.filter(F.transform(anchors, M.node_text), lambda t: t.rlike("^[0-9]+$"))
-    top = F.greatest(F.coalesce(F.array_max(F.transform(numbers, lambda t: t.try_cast("int"))), F.lit(1)), F.lit(1))
+    indexed = F.expr(f"x -> {M.attribute_sql(M.open_tag_sql('x'), 'data-pi')} IS NOT NULL")
+    anchors = F.call_function("filter", M.all_matches(F.regexp_extract(text, shape, 1), M.LINK), indexed)
+    digits = M.let_sql(M.node_text_sql("x"), "y", "IF(y rlike '^[0-9]+$', try_cast(y as int), NULL)")
+    top = F.greatest(F.coalesce(F.array_max(M.mapped(anchors, "x", digits)), F.lit(1)), F.lit(1))
     found = F.when(text.rlike(shape), top).otherwise(F.lit(max_pages or 5))
     return found if max_pages is None else F.least(found, F.lit(max_pages))
 
