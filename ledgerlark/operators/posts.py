@@ -64,18 +64,26 @@ def extract_board_items(pages: DataFrame, html: str = "html") -> DataFrame:
 # --- defaults, requirements, tags -----------------------------------------------------------
 
 
+# Defaults by column.
+BOARD_DEFAULTS = {"author": UNKNOWN_AUTHOR, "time": UNKNOWN_TIME, "read_count": "0", "reply_count": "0"}
+FEED_DEFAULTS = {
+    "title": "", "text": "", "author": UNKNOWN_AUTHOR, "author_id": "", "source": FEED_SOURCE,
+    "retweet_count": 0, "reply_count": 0, "fav_count": 0,
+}
+
+
+def fill_present(df: DataFrame, defaults: dict) -> DataFrame:
+    """Defaults for those of the columns the table has."""
+    return df.fillna({c: v for c, v in defaults.items() if c in df.columns})
+
+
 def fill_board_defaults(df: DataFrame) -> DataFrame:
-    return df.fillna({"author": UNKNOWN_AUTHOR, "time": UNKNOWN_TIME, "read_count": "0", "reply_count": "0"})
+    return fill_present(df, BOARD_DEFAULTS)
 
 
 def fill_feed_defaults(df: DataFrame) -> DataFrame:
     """Missing and null JSON keys get the same default."""
-    return df.fillna(
-        {
-            "title": "", "text": "", "author": UNKNOWN_AUTHOR, "author_id": "", "source": FEED_SOURCE,
-            "retweet_count": 0, "reply_count": 0, "fav_count": 0,
-        }
-    )
+    return fill_present(df, FEED_DEFAULTS)
 
 
 def require_title(df: DataFrame) -> DataFrame:

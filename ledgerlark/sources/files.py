@@ -39,7 +39,9 @@ def write_csv(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "err
     Spark writes no file for an empty partition of ``by``, so only non-empty
     results appear.
     """
-    writer = df.write.mode(mode).option("header", True).option("encoding", "UTF-8").option("emptyValue", "")
+    writer = df.write.mode(mode).option("header", True).option("encoding", "UTF-8")
+    # Quotes are doubled, as other CSV readers expect.
+    writer = writer.option("escape", '"').option("emptyValue", "")
     (writer.partitionBy(*by) if by else writer).csv(path)
 
 

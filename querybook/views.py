@@ -188,7 +188,7 @@ flat AS (
          CASE WHEN event_id % 19 <> 0 THEN CAST(event_id AS VARCHAR) END AS id,
          CASE WHEN event_id % 4 = 0 THEN '' ELSE '标题 ' || event_id END AS title,
          repeat('正文' || event_id || ' ', CAST(event_id % 30 AS BIGINT)) AS text,
-         CASE WHEN event_id % 13 = 0 THEN 0 ELSE epoch_ms(ts) END AS created_at,
+         CASE WHEN event_id % 13 = 0 THEN 0 ELSE epoch_us(ts) // 1000 END AS created_at,
          CASE WHEN event_id % 13 <> 0 THEN date_trunc('millisecond', ts) END AS parsed,
          CASE WHEN event_id % 5 <> 0 THEN 'src ' || (event_id % 3) END AS source,
          'http://n/' || event_id AS url,
