@@ -20,6 +20,10 @@ METHODS = ("关键词匹配", "表格解析", "600519相关")
 
 
 def _anchors(html: Column) -> Column:
+    return _anchors_visible(M.visible(html))
+
+
+def _anchors_visible(html: Column) -> Column:
     """``array<struct<href, text, own>>``; ``own`` are the text nodes directly in the anchor."""
     # Nested elements go out as a whole, so only the anchor's own text nodes stay.
     nested = M.quoted(rf"(?is)^{M.TAG}|<([a-z][a-z0-9]*)\b[^>]*>.*?</\1\s*>")
@@ -28,7 +32,7 @@ def _anchors(html: Column) -> Column:
         f"named_struct('href', {M.attribute_sql(M.open_tag_sql('x'), 'href')}, "
         f"'text', {M.node_text_sql('x')}, 'own', transform({own}, y -> {M.decode_sql('y')}))"
     )
-    return M.mapped(M.all_matches(M.visible(html), M.LINK), "x", link)
+    return M.mapped(M.all_matches(html, M.LINK), "x", link)
 
 
 def keyword_links(pages: DataFrame, html: str = "html", words: tuple[str, ...] = ANNOUNCEMENT_WORDS) -> DataFrame:
@@ -103,10 +107,52 @@ def extract_announcements(
     words: tuple[str, ...] = ANNOUNCEMENT_WORDS,
     entity: str = ENTITY,
 ) -> DataFrame:
-    """Announcements of each page, first by title in (method, position) order."""
+    """Announcements of each page, first by title in (method, position) order.
+
+    The three extractors share one reading of the page: their finds are one
+    array until they leave the row.
+    """
     keep = [c for c in pages.columns if c != html]
-    every = union_extractors(
-        keyword_links(pages, html, words), keyword_cells(pages, html, words), entity_links(pages, html, entity)
+    word = M.quoted("|".join(r"\Q" + w + r"\E" for w in words))
+    df = pages.select(*keep, M.visible(F.col(html)).alias("_visible"))
+    df = df.withColumn("_anchors", _anchors_visible(F.col("_visible")))
+    df = df.withColumn("_pieces", M.table_pieces(F.col("_visible")))
+    df = df.withColumn("_tables", M.table_array("_pieces"))
+
+    def find(rank: int, pos: str, dated: str, title: str, href: str) -> str:
+        return f"named_struct('m', {rank}, 'pos', array({pos}), 'dated', {dated}, 'title', {title}, 'href', {href})"
+
+    numbered = "transform(_anchors, (a, i) -> named_struct('a', a, 'i', i))"
+    by_word = (
+        f"transform(filter({numbered}, n -> n.a.href IS NOT NULL AND n.a.text rlike {word}), "
+        f"n -> {find(0, 'n.i, 0, 0, 0', 'n.a.text', 'n.a.text', 'n.a.href')})"
+    )
+    or_blank = "coalesce(n.a.href, '')"
+    hits = f"filter(n.a.own, t -> t rlike {M.quoted(entity)})"
+    by_entity = (
+        f"flatten(transform({numbered}, n -> transform({hits}, "
+        f"(t, k) -> {find(2, 'n.i, k, 0, 0', 'n.a.text', 'n.a.text', or_blank)})))"
+    )
+    in_row = (
+        f"flatten(transform(filter(transform(cs, (c, j) -> named_struct('c', c, 'j', j)), z -> z.c.text rlike {word}), "
+        f"z -> transform(ls, (l, k) -> {find(1, 't, r, z.j, k', 'z.c.text', 'l.text', 'l.href')})))"
+    )
+    row_links_of = "filter(flatten(transform(cs, c -> c.links)), l -> l.href IS NOT NULL)"
+    rows = f"transform({M.matches_sql('tb.body', M.ROW)}, x -> {M.cells_sql('x')})"
+    by_cell = (
+        f"flatten(transform(_tables, (tb, t) -> flatten(transform({rows}, "
+        f"(cs, r) -> {M.let_sql(row_links_of, 'ls', in_row)}))))"
+    )
+    df = df.select(*keep, F.expr(f"inline(concat({by_word}, {by_cell}, {by_entity}))"))
+    every = df.select(
+        *keep,
+        extract_date(F.col("dated")).alias("date"),
+        "title",
+        resolve_url(F.col("href"), ALIGNED_HOST, "announcement").alias("url"),
+        F.lit(SOURCE).alias("source"),
+        F.element_at(F.array(*[F.lit(m) for m in METHODS]), F.col("m") + 1).alias("extraction_method"),
+        F.col("m").alias("method_rank"),
+        F.col("pos").alias("method_pos"),
     )
     first = keep_first(every, [*keep, "title"], ["method_rank", "method_pos"])
     return first.select(*keep, *ANNOUNCEMENTS.fieldNames(), "method_rank", "method_pos")

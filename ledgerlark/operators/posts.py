@@ -168,18 +168,24 @@ def stop_pages(
 
     Reading stops after a page whose stale share is above the threshold, at the
     first empty page after page 1, and before a failed page.  Works on page
-    counts only, by aggregation: no window over a stock, however many pages.
+    counts only, by aggregation: no window over a stock, however many pages,
+    and one pass over the counts.
     An empty page is one without a row in ``stats``.
     """
-    mostly_stale = stats.filter(F.col("stale") > F.col("items") * F.lit(threshold)).select("stock_code", "page")
-    read = stats.select("stock_code", "page")
-    firsts = stats.select("stock_code").distinct().withColumn("page", F.lit(1))
-    reached = read.filter(F.col("page") > 1).unionByName(firsts.select("stock_code", F.col("page").cast(read.schema["page"].dataType)))
-    after = reached.withColumn("page", (F.col("page") + 1).cast(read.schema["page"].dataType))
-    empty = after.join(read, ["stock_code", "page"], "left_anti")
-    stops = mostly_stale.unionByName(empty)
+    number = stats.schema["page"].dataType
+    first = F.lit(1).cast(number)
+    stale = F.col("stale") > F.col("items") * F.lit(threshold)
+    # Each page tells of itself and asks for the next; page 1 counts as reached.
+    told = F.array(
+        F.struct(F.col("page"), F.lit(True).alias("seen"), stale.alias("stale")),
+        F.struct((F.col("page") + 1).cast(number).alias("page"), F.lit(False).alias("seen"), F.lit(False).alias("stale")),
+        F.struct((first + 1).cast(number).alias("page"), F.lit(False).alias("seen"), F.lit(False).alias("stale")),
+    )
+    pages = stats.select("stock_code", F.inline(told)).groupBy("stock_code", "page")
+    ends = pages.agg(F.bool_or("seen").alias("seen"), F.bool_or("stale").alias("stale")).filter("stale OR NOT seen")
+    stops = ends.select("stock_code", "page")
     if failed is not None:
-        stops = stops.unionByName(failed.select("stock_code", (F.col("page") - 1).alias("page")))
+        stops = stops.unionByName(failed.select("stock_code", (F.col("page") - 1).cast(number).alias("page")))
     out = stops.groupBy("stock_code").agg(F.min("page").alias("stop_page"))
     if max_pages is not None:
         out = out.withColumn("stop_page", F.least("stop_page", F.lit(max_pages)))

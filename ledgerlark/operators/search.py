@@ -17,6 +17,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlark.session import landed
+
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 MAX_TERM = 40  # longer tokens are not indexed by the default tokenizer
 
@@ -166,8 +168,9 @@ def hybrid_topk(
     Only documents in the top of either ranking can win (see ``_fusion_depth``);
     their ranks in the other ranking are counted exactly over the whole corpus.
     """
-    by_vec = vector_scores(emb, vec).select(F.col("vec_id").alias("id"), "score")
-    by_text = bm25_scores(docs, text).select(F.col("doc_id").alias("id"), "score")
+    # Scores are two numbers a document and read three times: they land once.
+    by_vec = landed(vector_scores(emb, vec).select(F.col("vec_id").alias("id"), "score"), "vector_scores")
+    by_text = landed(bm25_scores(docs, text).select(F.col("doc_id").alias("id"), "score"), "text_scores")
     depth = _fusion_depth(k, c)
     best = [s.orderBy(F.desc("score"), "id").limit(depth).select("id") for s in (by_vec, by_text)]
     wanted = best[0].union(best[1]).distinct()

@@ -33,17 +33,21 @@ def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
 # --- structure ------------------------------------------------------------------------------
 
 
-def page_tables(pages: DataFrame, html: str = "html", titles: bool = False) -> DataFrame:
+def page_tables(
+    pages: DataFrame, html: str = "html", titles: bool = False, skip: int = 0, outer: bool = False
+) -> DataFrame:
     """One row per table: page columns, ``index`` (1-based), ``tag``, ``body``, ``cells``.
 
     ``cells`` is ``array<array<struct<text, links>>>`` with one entry per row,
     also for rows without cells.  With ``titles`` the row also carries
     ``heading`` (a usable heading before the table), ``caption`` and
-    ``around`` (a title found in enclosing elements).
+    ``around`` (a title found in enclosing elements).  The first ``skip`` tables
+    of a page are left out without being read; the others keep their number.
+    With ``outer`` a page without tables gives one row with null ``index``.
     """
     keep = [c for c in pages.columns if c != html]
     # A cheap test ahead of the structural work; pages without tables give no rows.
-    df = pages.filter(F.col(html).rlike(r"(?i)<table[\s/>]"))
+    df = pages if outer else pages.filter(F.col(html).rlike(r"(?i)<table[\s/>]"))
     df = df.select(*keep, M.visible(F.col(html)).alias("_visible"))
     df = df.withColumn("_pieces", M.table_pieces(F.col("_visible")))
     df = df.withColumn("_tables", M.table_array("_pieces"))
@@ -59,14 +63,18 @@ def page_tables(pages: DataFrame, html: str = "html", titles: bool = False) -> D
         around = f"transform({M.enclosing_sql('_marks')}, en -> {M.enclosing_title_sql('hs', 'en')})"
         df = df.withColumn("_around", F.expr(f"IF({lacking}, {M.let_sql('_heads', 'hs', around)}, NULL)"))
         cols += ["_heading", "_caption", "_around"]
-    df = df.select(*cols, F.posexplode("_tables").alias("_i", "_t"))
+    if skip:
+        cols.remove("_tables")
+        cols.append(F.slice("_tables", skip + 1, F.greatest(F.size("_tables") - skip, F.lit(0))).alias("_tables"))
+    exploded = F.posexplode_outer if outer else F.posexplode
+    df = df.select(*cols).select("*", exploded("_tables").alias("_i", "_t"))
     return df.select(
         *keep,
-        (F.col("_i") + 1).alias("index"),
+        (F.col("_i") + skip + 1).alias("index"),
         F.col("_t.tag").alias("tag"),
         F.col("_t.body").alias("body"),
         M.cell_rows(F.col("_t.body")).alias("cells"),
-        *[F.get(c, F.col("_i")).alias(c[1:]) for c in cols if c in ("_heading", "_caption", "_around")],
+        *[F.get(c, F.col("_i") + skip).alias(c[1:]) for c in ("_heading", "_caption", "_around") if titles],
     )
 
 
@@ -173,22 +181,25 @@ def extract_tables(
     skip: int | None = None,
     max_tables: int | None = None,
     titles: bool = True,
+    outer: bool = False,
 ) -> DataFrame:
     """One row per non-empty table: page columns, index, title, data, rows, columns.
 
     ``inline`` leaves out the first two tables but keeps their numbers.
-    ``columns`` is the width of the first row.
+    ``columns`` is the width of the first row.  With ``outer`` a page or table
+    without data gives a row with null ``index``.
     """
     skip = (INLINE_SKIP if mode == "inline" else 0) if skip is None else skip
     keep = [c for c in pages.columns if c != html]
-    tables = page_tables(pages, html, titles=titles).filter(F.col("index") > skip)
+    tables = page_tables(pages, html, titles=titles, skip=skip, outer=outer)
     data = aligned_data(F.col("cells")) if mode == "aligned" else inline_data(F.col("cells"))
     title = table_title(mode) if titles else F.lit(None).cast("string")
     # Emitted by a generator, so that the size test does not compute the data again.
     made = F.filter(
         F.array(F.struct(F.col("index"), title.alias("title"), data.alias("data"))), lambda t: F.size(t["data"]) > 0
     )
-    out = tables.select(*keep, F.inline(made)).select(
+    emitted = F.inline_outer if outer else F.inline
+    out = tables.select(*keep, emitted(made)).select(
         "*", F.size("data").alias("rows"), F.size(F.get("data", 0)).alias("columns")
     )
     return out if max_tables is None else cap_tables(out, keep, max_tables)
@@ -382,28 +393,26 @@ def summarize_tables(tables: DataFrame, keys: list[str], at: Column, filenames:
 # --- results per stock ----------------------------------------------------------------------
 
 
-def stock_results(
-    pages: DataFrame, tables: DataFrame, keys: list[str], mode: str = "aligned", html: str = "html"
-) -> DataFrame:
+def stock_results(pages: DataFrame, keys: list[str], mode: str = "aligned", html: str = "html") -> DataFrame:
     """One row per page asked for: success, tables_count, saved_files, base_dir, error.
 
     ``keys`` identify a page and include ``stock_code``; the files of one result
-    are those of one page.
+    are those of one page.  Pages are read once: the tables of a page meet again
+    as small rows, after partial aggregation in the task that made them.
     """
+    blank = F.coalesce(F.length(html) == 0, F.lit(True))
+    asked = pages.select(*keys, blank.alias("_empty"), html)
+    found = extract_tables(asked, mode, html, outer=True)
     name = safe_filename(F.col("index"), F.col("title"), mode == "inline")
-    files = tables.groupBy(*keys).agg(
-        F.count("*").alias("_n"), F.array_sort(F.collect_list(F.struct("index", name.alias("f")))).alias("_files")
-    )
-    empty = F.coalesce(F.length(html) == 0, F.lit(True))
-    out = pages.select(*keys, empty.alias("_empty")).join(files, keys, "left")
-    ok = F.coalesce(F.col("_n") > 0, F.lit(False))
+    file = F.when(F.col("index").isNotNull(), F.struct("index", name.alias("f")))
+    out = found.groupBy(*keys, "_empty").agg(F.count("index").alias("_n"), F.array_sort(F.collect_list(file)).alias("_files"))
+    ok = F.col("_n") > 0
     base = F.concat(F.lit("financial/"), F.col("stock_code"))
-    saved = F.transform("_files", lambda x: F.concat(base, F.lit("/"), x["f"]))
     return out.select(
         ok.alias("success"),
         *keys,
-        F.coalesce("_n", F.lit(0)).alias("tables_count"),
-        F.when(ok, saved).otherwise(F.array().cast("array<string>")).alias("saved_files"),
+        F.col("_n").alias("tables_count"),
+        F.transform("_files", lambda x: F.concat(base, F.lit("/"), x["f"])).alias("saved_files"),
         F.when(ok, base).otherwise("").alias("base_dir"),
         F.when(ok, None)
         .when(F.col("_empty"), F.concat(F.lit("获取上交所 "), F.col("stock_code"), F.lit(" 页面失败")))

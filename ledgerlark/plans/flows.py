@@ -9,21 +9,29 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions.text import venue
 from ledgerlark.operators import cleaning, posts, tables
+from ledgerlark.session import landed
 
 
 def board_feed(pages: DataFrame, as_of: datetime | str, days: int = 7, max_pages: int | None = None) -> DataFrame:
-    """Board pages (stock_code, page, html) to canonical posts."""
-    return posts.board_posts(posts.extract_board_items(pages), as_of, days, max_pages)
+    """Board pages (stock_code, page, html) to canonical posts.
+
+    The stop rule and the posts both need the items, so the items land first
+    and the markup is read once.
+    """
+    items = landed(posts.extract_board_items(pages), "board_items")
+    return posts.board_posts(items, as_of, days, max_pages)
 
 
 def disclosure_rows(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Disclosure pages (stock_code, page, html) to the merged announcement rows of each stock.
 
-    First table after the skipped ones, header once, pages in order.
+    First table after the skipped ones, header once, pages in order.  The tables
+    land before merging: row counts and rows are two reads of them.
     """
     read = pages if max_pages is None else tables.cap_pages(pages, max_pages)
     found = tables.extract_tables(read, "inline", titles=False)
-    return tables.merge_pages(tables.first_table(found, ["stock_code", "page"]))
+    first = tables.first_table(found, ["stock_code", "page"])
+    return tables.merge_pages(landed(first, "first_tables"))
 
 
 def disclosure_tables(pages: DataFrame, mode: str) -> DataFrame:
@@ -48,6 +56,6 @@ def of_venue(pages: DataFrame, name: str) -> DataFrame:
 def run_batch(codes: DataFrame, pages: DataFrame, name: str, mode: str) -> DataFrame:
     """Results of all requested stocks of one exchange."""
     wanted = of_venue(codes.select("stock_code").distinct(), name)
-    read = pages.join(wanted, "stock_code", "left_semi")
+    read = of_venue(pages, name).join(wanted, "stock_code", "left_semi")
     keys = [c for c in pages.columns if c != "html"]
-    return tables.stock_results(read, tables.extract_tables(read, mode), keys, mode)
+    return tables.stock_results(read, keys, mode)

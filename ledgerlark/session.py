@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", app: str = "ledgerlark") -> SparkSession:
@@ -45,4 +45,16 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """The table written once to the shared folder and read back.
+
+    For results of costly extraction that are read more than once.  The written
+    table survives the loss of executors and cuts the lineage.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _LOCAL_FOLDERS: dict[str, str] = {}

@@ -53,11 +53,12 @@ def write_json(df: DataFrame, path: str, by: Sequence[str] = ("stock_code",)) ->
 def write_statements(df: DataFrame, root: str, split: Sequence[str] = (), fmt: str = "parquet") -> None:
     """Partitions ``code=.../statement=...`` and, on request, one per period.
 
-    The code is normalised to six characters.  Every task writes the partitions
-    it holds, without a shuffle, so one large stock does not end in one task.
+    The code is normalised to six characters.  Rows are rebalanced by partition
+    column ahead of the writers: few files per partition, and a stock that is
+    too large for one task is split over several.
     """
     by = ["code", "statement", *split]
-    out = df.withColumn("code", norm_code(F.col("code")))
+    out = df.withColumn("code", norm_code(F.col("code"))).hint("rebalance", *by)
     out.write.mode("errorifexists").format(fmt).option("header", True).partitionBy(*by).save(root)
 
 

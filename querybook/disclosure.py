@@ -88,7 +88,7 @@ def _title(spark, sf):
 
 @query("table_title_inline", WITH + TITLES + 'SELECT pid, idx AS "index", inline_title AS title FROM titles WHERE idx = 3')
 def _title_inline(spark, sf):
-    found = tables.page_tables(pages_of(spark, sf), titles=True).filter("index = 3")
+    found = tables.page_tables(pages_of(spark, sf), titles=True, skip=2)
     return found.select("pid", "index", tables.table_title("inline").alias("title"))
 
 
@@ -231,7 +231,7 @@ def _stock_result(spark, sf):
     p = F.col("pid")
     html = F.when(p % 10 == 9, F.lit(None)).when(p % 10 == 8, "<p>none</p>").otherwise(F.col("html"))
     pages = disclosure_pages(spark, sf).select("stock_code", "pid", html.alias("html"))
-    out = tables.stock_results(pages, tables.extract_tables(pages, "aligned"), ["stock_code", "pid"])
+    out = tables.stock_results(pages, ["stock_code", "pid"])
     return out.withColumn("files", F.array_join("saved_files", ";")).drop("saved_files")
 
 

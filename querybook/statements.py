@@ -152,14 +152,24 @@ def _shape(spark, sf):
     return S.statement_shape(long_items(spark, sf), 5)
 
 
-@query("statement_sink", WITH + """
-SELECT CASE WHEN ends_with(code, '.HK') THEN substr(replace(code, '.HK', ''), 1, 6) ELSE substr(code, 1, 6) END AS code, statement,
-  FISCAL_YEAR, DATE_TYPE_CODE, STD_ITEM_NAME, AMOUNT, row_order FROM long WHERE o_year_ok""".replace(" WHERE o_year_ok", ""))
+# Codes of the sink query: a stock universe of forty, some of them in Hong Kong.
+_SINK_CODE = "CASE WHEN o_custkey % 40 < 4 THEN printf('%05d.HK', o_custkey % 40) ELSE printf('600%03d', o_custkey % 40) END"
+
+
+@query("statement_sink", f"""
+SELECT replace({_SINK_CODE}, '.HK', '') AS code, CASE o_orderkey % 3 WHEN 0 THEN '利润表' WHEN 1 THEN '资产负债表' ELSE '现金流量表' END AS statement,
+  o_orderkey AS row_order, CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice END AS AMOUNT FROM orders""")
 def _sink(spark, sf):
     path = fresh_path(spark, "statements")
-    # One writer per statement and code range keeps the number of small files low.
-    rows = long_items(spark, sf)
-    write_statements(rows.repartitionByRange(8, "code", "statement"), path)
+    n = F.col("o_custkey") % 40
+    code = F.when(n < 4, F.format_string("%05d.HK", n)).otherwise(F.format_string("600%03d", n))
+    k = F.col("o_orderkey")
+    statement = F.when(k % 3 == 0, "利润表").when(k % 3 == 1, "资产负债表").otherwise("现金流量表")
+    rows = table(spark, sf, "orders").select(
+        code.alias("code"), statement.alias("statement"), k.alias("row_order"),
+        F.when(k % 10 != 0, F.col("o_totalprice")).alias("AMOUNT"),
+    )
+    write_statements(rows, path)
     return read_statements(spark, path)
 
 
@@ -167,7 +177,7 @@ def _sink(spark, sf):
 def _sink_periods(spark, sf):
     path = fresh_path(spark, "statement_periods")
     rows = long_items(spark, sf).withColumn("code", F.lit("000001"))
-    write_statements(rows.coalesce(1), path, split=("FISCAL_YEAR", "DATE_TYPE_CODE"))
+    write_statements(rows, path, split=("FISCAL_YEAR", "DATE_TYPE_CODE"))
     back = read_statements(spark, path).filter("code = '000001'")
     return back.groupBy(F.col("FISCAL_YEAR").cast("string"), "DATE_TYPE_CODE").agg(
         F.count("*").alias("rows"), F.sum("row_order").alias("keys")

@@ -23,6 +23,13 @@ def _if(cond: Column, value: Column | str | None, other: Column | str | None = N
     return F.when(cond, v).otherwise(o)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partitioned by key over all cores: what follows is bound by CPU, not by bytes."""
+    spark = df.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, key)
+
+
 # --- board posts from events, paged by value ------------------------------------------------
 
 
@@ -94,7 +101,7 @@ stops AS (
 def _paged_html(rows: DataFrame, key: str, row_html: str) -> DataFrame:
     """Rows of one page in key order; a page holds at most twenty dense keys by construction."""
     listed = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), F.col(row_html).alias("h"))))
-    return rows.groupBy("pid").agg(F.array_join(F.transform(listed, lambda r: r["h"]), "").alias("rows_html"))
+    return spread(rows, "pid").groupBy("pid").agg(F.array_join(F.transform(listed, lambda r: r["h"]), "").alias("rows_html"))
 
 
 def board_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,7 +175,7 @@ def feed_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
     rows = ev.select(F.floor(e / PER_PAGE).alias("pid"), "event_id", post.alias("post"))
     listed = F.array_sort(F.collect_list(F.struct("event_id", "post")))
-    pages = rows.groupBy("pid").agg(
+    pages = spread(rows, "pid").groupBy("pid").agg(
         F.to_json(F.struct(F.transform(listed, lambda r: r["post"]).alias("list"))).alias("full")
     )
     p = F.col("pid")
