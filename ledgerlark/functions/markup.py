@@ -34,6 +34,8 @@ TAG = r"""</?[A-Za-z][^<>"']*+(?:(?:"[^"]*+"|'[^']*+')[^<>"']*+)*+>"""
 SILENT = r"<!--.*?-->|<!doctype[^>]*>|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 TOKEN = rf"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|{TAG}|<[^>]+>|[^<]+|<"
 HEADING = r"<h([1-6])(?=[\s>]).*?</h\1\s*>"
+# An element without tags inside: for the stack of open elements it comes and goes at once.
+LEAF = r"""<(?!table[\s/>])([a-z][a-z0-9]*)(?=[\s>])[^<>"']*+(?:(?:"[^"]*+"|'[^']*+')[^<>"']*+)*+>[^<]*+</\2\s*>"""
 LINK = r"(?is)<a(?=[\s/>]).*?(?=</a\s*>|<a[\s/>]|\z)"
 ROW = r"(?is)<tr(?=[\s/>]).*?(?=<tr[\s/>]|</tr\s*>|\z)"
 CELL = r"(?is)<t[dh](?=[\s/>]).*?(?=<t[dh][\s/>]|</t[dh]\s*>|\z)"
@@ -99,10 +101,15 @@ def decode_sql(x: str) -> str:
     return f"IF(contains({x}, '&'), array_join(transform({pieces}, dp -> {piece}), ''), {x})"
 
 
+def text_nodes_sql(x: str) -> str:
+    """Text between tags.  Splitting by one character avoids compiling a pattern per call."""
+    return f"split(regexp_replace({x}, {quoted(f'(?is){TAG}')}, {quoted(chr(1))}), {quoted(chr(1))})"
+
+
 def node_text_sql(x: str) -> str:
     """Each text node of visible markup stripped, then joined without a separator."""
     text = f"btrim({decode_sql('nt')}, {quoted(WHITESPACE)})"
-    return f"array_join(transform(split({x}, {quoted(f'(?is){TAG}')}), nt -> {text}), '')"
+    return f"array_join(transform({text_nodes_sql(x)}, nt -> {text}), '')"
 
 
 def open_tag_sql(x: str) -> str:
@@ -331,8 +338,8 @@ def cell_text(cell: Column) -> Column:
 
 
 def mark_array(html: Column) -> Column:
-    """Headings (whole) and all other tags of visible markup, in document order."""
-    return all_matches(html, f"(?is){HEADING}|{TAG}")
+    """Headings and leaf elements (whole) and all other tags of visible markup, in document order."""
+    return all_matches(html, f"(?is){HEADING}|{LEAF}|{TAG}")
 
 
 def enclosing_sql(marks: str) -> str:
@@ -340,15 +347,19 @@ def enclosing_sql(marks: str) -> str:
 
     ``array<array<struct<lo, hi, head>>>``.  One pass over the tags with a stack:
     a closing tag ends the innermost open element of its name and everything
-    opened inside; a closing tag without partner is ignored.  The document
+    opened inside; a closing tag without partner is ignored.  Void, heading and leaf
+    elements never enclose a table and are left out.  The document
     itself is the outermost element.
     """
     voids = ", ".join(f"'{t}'" for t in VOID_TAGS)
+    name = quoted(r"^</?([A-Za-z][^\s/>]*)")
     last3 = "slice(acc.open, greatest(size(acc.open) - 2, 1), 3)"
     return f"""
         aggregate(
-          transform({marks}, (t, i) -> named_struct(
-            't', t, 'i', i, 'name', lower(regexp_extract(t, '^</?([A-Za-z][^\\\\s/>]*)', 1)))),
+          filter(
+            transform({marks}, (t, i) -> named_struct(
+              't', t, 'i', i, 'name', lower(regexp_extract(t, {name}, 1)))),
+            m -> (m.t LIKE '</%' OR NOT m.t LIKE '%</%') AND NOT m.t LIKE '%/>' AND m.name NOT IN ({voids})),
           named_struct(
             'open', array(named_struct('name', '', 'lo', -1, 'head', '', 'kept', false)),
             'extent', cast(array() as array<struct<lo:int,hi:int>>),
@@ -367,7 +378,6 @@ def enclosing_sql(marks: str) -> str:
                   e -> named_struct('lo', e.lo, 'hi', m.i))),
                 'tables', acc.tables)
               ELSE acc END
-            WHEN m.name IN ({voids}) OR m.t LIKE '%/>' OR m.t rlike '(?i)^<h[1-6][\\\\s>]' THEN acc
             WHEN m.name = 'table' THEN named_struct(
               'open', concat(
                 transform(acc.open, (e, k) -> IF(k >= size(acc.open) - 3,

@@ -12,6 +12,7 @@ from ledgerlark.functions.text import ANNOUNCEMENT_WORDS, extract_date, has_keyw
 from ledgerlark.operators.cleaning import keep_first
 from ledgerlark.operators.pages import ENTITY
 from ledgerlark.operators.tables import ALIGNED_HOST, page_tables
+from ledgerlark.plans.emit import each
 from ledgerlark.schemas import ANNOUNCEMENTS
 
 # Source and method labels in extraction order.
@@ -27,7 +28,7 @@ def _anchors_visible(html: Column) -> Column:
     """``array<struct<href, text, own>>``; ``own`` are the text nodes directly in the anchor."""
     # Nested elements go out as a whole, so only the anchor's own text nodes stay.
     nested = M.quoted(rf"(?is)^{M.TAG}|<([a-z][a-z0-9]*)\b[^>]*>.*?</\1\s*>")
-    own = f"split(regexp_replace(x, {nested}, {M.quoted(M.SEPARATOR)}), {M.quoted(f'(?is){M.TAG}')})"
+    own = M.text_nodes_sql(f"regexp_replace(x, {nested}, {M.quoted(M.SEPARATOR)})")
     link = (
         f"named_struct('href', {M.attribute_sql(M.open_tag_sql('x'), 'href')}, "
         f"'text', {M.node_text_sql('x')}, 'own', transform({own}, y -> {M.decode_sql('y')}))"
@@ -38,7 +39,7 @@ def _anchors_visible(html: Column) -> Column:
 def keyword_links(pages: DataFrame, html: str = "html", words: tuple[str, ...] = ANNOUNCEMENT_WORDS) -> DataFrame:
     keep = [c for c in pages.columns if c != html]
     links = F.filter(_anchors(F.col(html)), lambda a: a["href"].isNotNull() & has_keyword(a["text"], words))
-    rows = pages.select(*keep, F.posexplode(links).alias("pos", "a"))
+    rows = each(pages, keep, links, "pos", "a")
     return _shaped(rows, keep, F.col("a.text"), F.col("a.text"), F.col("a.href"), 0, ALIGNED_HOST)
 
 
@@ -53,7 +54,7 @@ def keyword_cells(pages: DataFrame, html: str = "html", words: tuple[str, ...] =
     """Cells with a keyword beside each link of their row; a row stays one array until then."""
     keep = [c for c in pages.columns if c != html]
     tables = page_tables(pages, html)
-    rows = tables.select(*keep, "index", F.posexplode("cells").alias("row_idx", "_row"))
+    rows = each(tables, [*keep, "index"], "cells", "row_idx", "_row")
     links = F.filter(F.flatten(F.transform("_row", lambda c: c["links"])), lambda a: a["href"].isNotNull())
     rows = rows.select(*keep, "index", "row_idx", links.alias("_links"), F.posexplode("_row").alias("col_idx", "_c"))
     rows = rows.filter(has_keyword(F.col("_c.text"), words))
@@ -65,7 +66,7 @@ def keyword_cells(pages: DataFrame, html: str = "html", words: tuple[str, ...] =
 def entity_links(pages: DataFrame, html: str = "html", entity: str = ENTITY) -> DataFrame:
     """Anchors by each text node directly inside them that names the entity."""
     keep = [c for c in pages.columns if c != html]
-    rows = pages.select(*keep, F.posexplode(_anchors(F.col(html))).alias("_i", "a"))
+    rows = each(pages, keep, _anchors(F.col(html)), "_i", "a")
     hits = F.filter("a.own", lambda t: t.rlike(entity))
     rows = rows.select(*keep, "_i", "a", F.posexplode(hits).alias("_n", "_hit"))
     href = F.coalesce(F.col("a.href"), F.lit(""))
@@ -143,7 +144,7 @@ def extract_announcements(
         f"flatten(transform(_tables, (tb, t) -> flatten(transform({rows}, "
         f"(cs, r) -> {M.let_sql(row_links_of, 'ls', in_row)}))))"
     )
-    df = df.select(*keep, F.expr(f"inline(concat({by_word}, {by_cell}, {by_entity}))"))
+    df = df.select(*keep, F.expr(f"inline_outer(concat({by_word}, {by_cell}, {by_entity}))")).filter("m IS NOT NULL")
     every = df.select(
         *keep,
         extract_date(F.col("dated")).alias("date"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import markup as M
 from ledgerlark.functions.text import mention_flags
+from ledgerlark.plans.emit import each
 
 # What a page profile looks for.
 EXACT_TERMS = {"contains_600519": "600519", "contains_茅台": "茅台", "contains_公告": "公告"}
@@ -18,7 +19,7 @@ PROFILE_LINKS = 20
 def html_tokens(pages: DataFrame, html: str = "html") -> DataFrame:
     """(page columns, pos, kind, tag, token); pos starts at 0.  A generator, no shuffle."""
     keep = [c for c in pages.columns if c != html]
-    rows = pages.select(*keep, F.posexplode(M.tokens(F.col(html))).alias("pos", "token"))
+    rows = each(pages, keep, M.tokens(F.col(html)), "pos", "token")
     return rows.select(*keep, "pos", M.token_kind(F.col("token")).alias("kind"), M.tag_name(F.col("token")).alias("tag"), "token")
 
 
@@ -41,7 +42,7 @@ def extract_links(pages: DataFrame, html: str = "html") -> DataFrame:
     """(page columns, pos, href, text) of every ``<a href>``; pos is 1-based."""
     keep = [c for c in pages.columns if c != html]
     links = F.filter(M.link_array(M.visible(F.col(html))), lambda a: a["href"].isNotNull())
-    return pages.select(*keep, F.posexplode(links).alias("_i", "a")).select(
+    return each(pages, keep, links, "_i", "a").select(
         *keep, (F.col("_i") + 1).alias("pos"), F.col("a.href").alias("href"), F.col("a.text").alias("text")
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlark.functions import markup as M
 from ledgerlark.functions.text import profile_url, resolve_url
 from ledgerlark.functions.times import cutoff, epoch_ms, format_time, moment, parse_board_time
+from ledgerlark.plans.emit import each
 from ledgerlark.schemas import BOARD_POSTS, FEED_DISCUSSIONS, FEED_NEWS
 
 # Defaults of missing fields and the constants of each source.
@@ -39,7 +40,7 @@ def extract_board_items(pages: DataFrame, html: str = "html") -> DataFrame:
     listed = f"x -> array_contains({M.class_list_sql(M.open_tag_sql('x'))}, 'listitem')"
     items = F.call_function("filter", rows, F.expr(listed))
     keep = [c for c in pages.columns if c != html]
-    row = pages.select(*keep, F.posexplode(items).alias("_at", "_row"))
+    row = each(pages, keep, items, "_at", "_row")
     row = row.select(*keep, (F.col("_at") + 1).alias("pos"), M.all_matches(F.col("_row"), M.CELL).alias("_c"))
 
     def classed(cell: Column, name: str) -> Column:

@@ -119,12 +119,18 @@ def cosine(query: Sequence[float]) -> object:
 
 
 def vector_scores(emb: DataFrame, query: Sequence[float], key: str = "vec_id") -> DataFrame:
-    return emb.select(key, F.round(cosine(query)(F.col("embedding")), 6).alias("score")).filter("score IS NOT NULL")
+    """Null for vectors that have no cosine with the query."""
+    return emb.select(key, F.round(cosine(query)(F.col("embedding")), 6).alias("score"))
 
 
 def vector_topk(emb: DataFrame, query: Sequence[float], k: int) -> DataFrame:
-    """Exact nearest vectors by cosine; each task keeps ``k`` rows."""
-    return vector_scores(emb, query).orderBy(F.desc("score"), "vec_id").limit(k)
+    """Exact nearest vectors by cosine; each task keeps ``k`` rows.
+
+    Nulls sort last and go after the limit: a filter ahead of it would score
+    every vector a second time.
+    """
+    best = vector_scores(emb, query).orderBy(F.desc_nulls_last("score"), "vec_id").limit(k)
+    return best.filter("score IS NOT NULL")
 
 
 def _fusion_depth(k: int, c: int) -> int:
@@ -170,6 +176,7 @@ def hybrid_topk(
     """
     # Scores are two numbers a document and read three times: they land once.
     by_vec = landed(vector_scores(emb, vec).select(F.col("vec_id").alias("id"), "score"), "vector_scores")
+    by_vec = by_vec.filter("score IS NOT NULL")
     by_text = landed(bm25_scores(docs, text).select(F.col("doc_id").alias("id"), "score"), "text_scores")
     depth = _fusion_depth(k, c)
     best = [s.orderBy(F.desc("score"), "id").limit(depth).select("id") for s in (by_vec, by_text)]

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerlark.functions import markup as M
 from ledgerlark.functions.text import label_classes, resolve_url, safe_filename
 from ledgerlark.plans import chunked
+from ledgerlark.plans.emit import each
 
 # Hosts, and the header of the added link column.
 ALIGNED_HOST = "https://www.sse.com.cn"
@@ -66,8 +67,9 @@ def page_tables(
     if skip:
         cols.remove("_tables")
         cols.append(F.slice("_tables", skip + 1, F.greatest(F.size("_tables") - skip, F.lit(0))).alias("_tables"))
-    exploded = F.posexplode_outer if outer else F.posexplode
-    df = df.select(*cols).select("*", exploded("_tables").alias("_i", "_t"))
+    df = df.select(*cols)
+    df = df.select("*", F.posexplode_outer("_tables").alias("_i", "_t"))
+    df = df if outer else df.filter(F.col("_i").isNotNull())
     return df.select(
         *keep,
         (F.col("_i") + skip + 1).alias("index"),
@@ -198,10 +200,9 @@ def extract_tables(
     made = F.filter(
         F.array(F.struct(F.col("index"), title.alias("title"), data.alias("data"))), lambda t: F.size(t["data"]) > 0
     )
-    emitted = F.inline_outer if outer else F.inline
-    out = tables.select(*keep, emitted(made)).select(
-        "*", F.size("data").alias("rows"), F.size(F.get("data", 0)).alias("columns")
-    )
+    out = tables.select(*keep, F.inline_outer(made))
+    out = out if outer else out.filter(F.col("index").isNotNull())
+    out = out.select("*", F.size("data").alias("rows"), F.size(F.get("data", 0)).alias("columns"))
     return out if max_tables is None else cap_tables(out, keep, max_tables)
 
 
@@ -241,7 +242,7 @@ def link_columns(tables: DataFrame, keys: list[str]) -> DataFrame:
 
 def raw_cells(tables: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, index, row_idx, col_idx, text, links) from ``page_tables`` rows."""
-    rows = tables.select(*keys, "index", F.posexplode("cells").alias("row_idx", "_row"))
+    rows = each(tables, [*keys, "index"], "cells", "row_idx", "_row")
     cells = rows.select(*keys, "index", "row_idx", F.posexplode("_row").alias("col_idx", "_c"))
     return cells.select(
         *keys, "index", "row_idx", "col_idx", F.col("_c.text").alias("text"), F.col("_c.links").alias("links")
@@ -301,7 +302,7 @@ def nearest_headings(pages: DataFrame, level: int, html: str = "html") -> DataFr
     df = pages.withColumn("_marks", M.mark_array(M.visible(F.col(html))))
     each = f"transform({M.table_marks_sql('_marks')}, m -> {M.nearest_sql('hs', 'm', level)})"
     found = F.expr(M.let_sql(M.headings_sql("_marks"), "hs", each))
-    return df.select(*keep, F.posexplode(found).alias("_i", "heading")).select(
+    return each(df, keep, found, "_i", "heading").select(
         *keep, (F.col("_i") + 1).alias("index"), "heading"
     )
 
@@ -312,7 +313,7 @@ def ancestor_headings(pages: DataFrame, html: str = "html") -> DataFrame:
     df = pages.withColumn("_marks", M.mark_array(M.visible(F.col(html))))
     df = df.withColumn("_heads", F.expr(M.headings_sql("_marks")))
     df = df.withColumn("_around", F.expr(M.enclosing_sql("_marks")))
-    df = df.select(*keep, "_heads", F.posexplode("_around").alias("_i", "_up"))
+    df = each(df, [*keep, "_heads"], "_around", "_i", "_up")
     df = df.select(*keep, "_heads", "_i", F.posexplode("_up").alias("_d", "_e"))
     inside = F.filter("_heads", lambda h: (h["at"] > F.col("_e.lo")) & (h["at"] < F.col("_e.hi")))
     df = df.select(*keep, (F.col("_i") + 1).alias("index"), (F.col("_d") + 1).alias("depth"), F.explode(inside).alias("h"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlark.plans.emit import each
 from ledgerlark.schemas import FEED_PAGE
 
 
@@ -25,7 +26,7 @@ def failed_pages(pages: DataFrame, json_col: str = "json") -> DataFrame:
 def flatten_feed(pages: DataFrame, json_col: str = "json") -> DataFrame:
     """One row per element of ``list``; no ``list`` means no row."""
     keep = [c for c in pages.columns if c != json_col]
-    posts = parse_feed(pages, json_col).filter("_ok").select(*keep, F.posexplode("_page.list").alias("_at", "p"))
+    posts = each(parse_feed(pages, json_col).filter("_ok"), keep, "_page.list", "_at", "p")
     return posts.select(
         *keep,
         (F.col("_at") + 1).alias("pos"),
