@@ -300,8 +300,8 @@ def nearest_headings(pages: DataFrame, level: int, html: str = "html") -> DataFr
     """(page columns, index, heading): last heading of one level before each table."""
     keep = [c for c in pages.columns if c != html]
     df = pages.withColumn("_marks", M.mark_array(M.visible(F.col(html))))
-    each = f"transform({M.table_marks_sql('_marks')}, m -> {M.nearest_sql('hs', 'm', level)})"
-    found = F.expr(M.let_sql(M.headings_sql("_marks"), "hs", each))
+    nearest = f"transform({M.table_marks_sql('_marks')}, m -> {M.nearest_sql('hs', 'm', level)})"
+    found = F.expr(M.let_sql(M.headings_sql("_marks"), "hs", nearest))
     return each(df, keep, found, "_i", "heading").select(
         *keep, (F.col("_i") + 1).alias("index"), "heading"
     )
