@@ -17,6 +17,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlark.plans.emit import once
 from ledgerlark.session import landed
 
 WORD_BREAK = r"[^\p{L}\p{N}]+"
@@ -39,17 +40,23 @@ def phrase_terms(phrase: str) -> list[str]:
 
 
 def _counted(docs: DataFrame, words: Sequence[str], key: str, text: str) -> DataFrame:
-    """(key, dl, tf0..): document length and frequency of each query term."""
-    toks = docs.select(key, terms(F.col(text)).alias("_t"))
-    hits = toks.select(
-        key, F.size("_t").alias("dl"), F.filter("_t", lambda t: t.isin(*words)).alias("_h")
+    """(key, dl, tf0..): document length and frequency of each query term.
+
+    The term list lives inside its row only; each text is split once.
+    """
+    scanned = F.get(
+        F.transform(
+            F.array(terms(F.col(text))),
+            lambda ts: F.struct(F.size(ts).alias("dl"), F.filter(ts, lambda t: t.isin(*words)).alias("hits")),
+        ),
+        0,
     )
     freqs = [_frequency(word).alias(f"tf{i}") for i, word in enumerate(words)]
-    return hits.select(key, "dl", *freqs)
+    return once(docs, [key], scanned, "_s").select(key, F.col("_s.dl").alias("dl"), *freqs)
 
 
 def _frequency(word: str) -> Column:
-    return F.size(F.filter("_h", lambda t: t == word))
+    return F.size(F.filter("_s.hits", lambda t: t == word))
 
 
 def bm25_scores(
@@ -57,7 +64,8 @@ def bm25_scores(
 ) -> DataFrame:
     """(key, score) of documents that hold at least one query term; scores rounded to 6 digits."""
     words = query_terms(query)
-    tf = _counted(docs, words, key, text)
+    # Counts are a few numbers a document; statistics and scores both read them, the texts are read once.
+    tf = landed(_counted(docs, words, key, text), "term_counts")
     # One row: number of documents, mean length, document frequency per term.
     stats = tf.agg(
         F.struct(
@@ -199,4 +207,4 @@ def phrase_match(docs: DataFrame, phrase: str, key: str = "doc_id", text: str =
     joined = F.concat(F.lit(" "), F.array_join(terms(F.col(text)), " "), F.lit(" "))
     # Look-ahead, so that overlapping places count.
     places = F.regexp_count(joined, F.lit(r" (?=\Q" + " ".join(words) + r"\E )"))
-    return docs.select(key, places.alias("places")).filter("places > 0")
+    return once(docs, [key], places, "places").filter("places > 0")

@@ -18,3 +18,8 @@ def each(df: DataFrame, keep: Sequence[str], arr: Column | str, pos: str, item:
     """
     rows = df.select(*keep, F.posexplode_outer(arr).alias(pos, item))
     return rows.filter(F.col(pos).isNotNull())
+
+
+def once(df: DataFrame, keep: Sequence[str], value: Column, name: str) -> DataFrame:
+    """``keep`` and a costly value that a later filter can use without computing it again."""
+    return df.select(*keep, F.explode_outer(F.array(value)).alias(name))
