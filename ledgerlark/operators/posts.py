@@ -45,7 +45,7 @@ def extract_board_items(pages: DataFrame, html: str = "html") -> DataFrame:
 
     def classed(cell: Column, name: str) -> Column:
         shape = rf"(?is)<([a-z][a-z0-9]*)\b[^>]*class=[\"'](?:[^\"']*\s)?{name}(?:\s[^\"']*)?[\"'][^>]*>(.*?)</\1\s*>"
-        return F.when(cell.rlike(shape), F.regexp_extract(cell, shape, 2))
+        return F.get(M.all_matches(cell, shape, 2), 0)
 
     c = F.col("_c")
     title = F.get(M.link_array(classed(F.get(c, 2), "title")), 0)
