@@ -32,6 +32,11 @@ def dense_chunk(order: Column, size: int = DENSE_CHUNK) -> Column:
     return F.floor(order / F.lit(size)).cast("bigint")
 
 
+def _cut(df: DataFrame, chunk: Column) -> DataFrame:
+    """Rows without an order value form the first chunk, as nulls sort first."""
+    return df.withColumn(CHUNK, F.coalesce(chunk.cast("bigint"), F.lit(-(2**63)).cast("bigint")))
+
+
 def _prefix(df: DataFrame, keys: Sequence[str], per_chunk: Column, prefix) -> DataFrame:
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     totals = df.groupBy(*keys, CHUNK).agg(per_chunk.alias(CARRY))
@@ -47,7 +52,7 @@ def running_sum(
     name: str,
 ) -> DataFrame:
     """Sum of ``value`` from the start of the group up to this row."""
-    cut = df.withColumn(CHUNK, chunk)
+    cut = _cut(df, chunk)
     here = (
         Window.partitionBy(*keys, CHUNK)
         .orderBy(*order)
@@ -78,7 +83,7 @@ def last_known(
     name: str,
 ) -> DataFrame:
     """Last non-null ``value`` at or before this row (forward fill)."""
-    cut = df.withColumn(CHUNK, chunk)
+    cut = _cut(df, chunk)
     here = (
         Window.partitionBy(*keys, CHUNK)
         .orderBy(*order)
