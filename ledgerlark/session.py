@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,4 +60,20 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors once, for functions that run in their Python workers."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        _SHIPPED.add(app)
+        root = Path(__file__).resolve().parent
+        folder = tempfile.TemporaryDirectory()  # on the driver, which serves the file as long as it runs
+        atexit.register(folder.cleanup)
+        target = Path(folder.name) / f"{root.name}.zip"
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+            for path in sorted(root.rglob("*.py")):
+                out.write(path, path.relative_to(root.parent))
+        spark.sparkContext.addPyFile(str(target))
+
+
 _LOCAL_FOLDERS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
