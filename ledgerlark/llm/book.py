@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import line_dedup, near_dedup, quality_classifier, quality_rules, sharding
+from ledgerlark.llm import decontaminate, line_dedup, near_dedup, quality_classifier, quality_rules, sharding, toxicity
 from ledgerlark.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,19 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query("op6_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, _table(spark, sf_dir, "labels")).select(
+        "doc_id",
+        quality_classifier.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )

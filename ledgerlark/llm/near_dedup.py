@@ -84,7 +84,7 @@ def signatures(hashes: np.ndarray, owner: np.ndarray, weight: np.ndarray, n_text
     while (more := weight > low).any():
         levels.append((hashes[more], owner[more], weight[more], low, 2 * low))
         low *= 2
-    seed = np.concatenate([mix(h + np.uint64(lo + 1) * _GOLD) for h, _, _, lo, _ in levels])
+    seed = np.concatenate([mix(h + np.array([lo + 1], np.uint64) * _GOLD) for h, _, _, lo, _ in levels])
     text = np.concatenate([o for _, o, _, _, _ in levels])
     bound = np.concatenate([w - lo for _, _, w, lo, _ in levels])
     width = np.concatenate([np.full(len(h), hi - lo) for h, _, _, lo, hi in levels])

@@ -9,7 +9,7 @@ of a Python step for each word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -104,14 +104,28 @@ def _parts(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-def word_hashes(texts: list[bytes], classes: np.ndarray = WORD) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of all texts, and the places where each text's words begin (one more than texts)."""
+def span_prefixes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int) -> np.ndarray:
+    """The first ``width`` (at most 7) bytes of each span as a number; shorter spans are numbers of fewer bytes."""
+    out = np.zeros(len(starts), np.uint64)
+    for i in range(width):
+        byte = buffer[np.minimum(starts + i, len(buffer) - 1)].astype(np.uint64)
+        out |= np.where(starts + i < ends, byte, np.uint64(0)) << np.uint64(8 * i)
+    return out
+
+
+def word_hashes(
+    texts: list[bytes], classes: np.ndarray = WORD, of: Callable = span_hashes
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of all texts, and the places where each text's words begin (one more than texts).
+
+    ``of`` makes a 64-bit number of each span of a block.
+    """
     out, counts = [], np.zeros(len(texts), np.int64)
     for first, last in blocks([len(t) for t in texts]):
         if last - first == 1 and len(texts[first]) > 2 * BLOCK:
             for part in _parts(texts[first]):
                 buffer = np.frombuffer(part, np.uint8)
-                found = span_hashes(buffer, *spans(buffer, classes))
+                found = of(buffer, *spans(buffer, classes))
                 counts[first] += len(found)
                 out.append(found)
             continue
@@ -119,7 +133,7 @@ def word_hashes(texts: list[bytes], classes: np.ndarray = WORD) -> tuple[np.ndar
         starts, ends = spans(buffer, classes)
         ends_of = np.cumsum([len(t) + 1 for t in texts[first:last]])
         counts[first:last] = np.diff(np.searchsorted(starts, ends_of), prepend=0)
-        out.append(span_hashes(buffer, starts, ends))
+        out.append(of(buffer, starts, ends))
     places = np.zeros(len(texts) + 1, np.int64)
     np.cumsum(counts, out=places[1:])
     return (np.concatenate(out) if out else np.zeros(0, np.uint64)), places
