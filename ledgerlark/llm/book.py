@@ -7,9 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import decontaminate, line_dedup, near_dedup, quality_classifier, quality_rules, sharding, toxicity
+from ledgerlark.llm import (
+    decontaminate,
+    line_dedup,
+    near_dedup,
+    pieces,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    token_records,
+    toxicity,
+)
 from ledgerlark.session import ship_package
 
+WORD_TOKENIZER = "word_bpe_49k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -99,3 +112,36 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op9_token_records")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, index = token_records.write_records(_table(spark, sf_dir, "documents"), tokenizer_path(WORD_TOKENIZER))
+    index = token_records.with_starts(index).repartition("file_no").sortWithinPartitions("file_no", "place")
+    ids = token_records.read_records(folder, index)
+    return ids.select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
+@query("op10_sentencepiece")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path(PIECE_TOKENIZER)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = pieces.decode(pieces.encode(docs, path), path)
+    return decoded.select(
+        "doc_id",
+        F.size("pieces").cast("bigint").alias("n_pieces"),
+        F.hash("pieces").alias("pieces_hash"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
