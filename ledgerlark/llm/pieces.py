@@ -7,7 +7,8 @@ vocabulary goes on behind a mark with other signs before it, or across a line br
 so a text falls into marked words (marks, then other signs) that are segmented one
 by one.
 
-A task sorts the distinct words that are new to it.  Sorted words are a trie read
+Signs at the end of a word that no piece joins to the letters before them are cut
+off first, since the search would part them anyway.  A task sorts the distinct words that are new to it.  Sorted words are a trie read
 depth-first: two neighbours share the forward scores of their common prefix, which
 stay on a stack, and only the rest of each word is searched.  The search goes from
 each end backwards through a trie of reversed pieces, so it tries no substring that
@@ -26,7 +27,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,7 @@ from ledgerlark.llm.texts import batches_of
 MARK = "▁"
 LITERAL = "\udc81"  # stands for a literal mark inside a task; no text can hold it
 CACHE_WORDS = 400_000
+BLOCK_BYTES = 4 << 20
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _END = ""
 
@@ -61,6 +62,8 @@ class Vocabulary:
         inner = [p for p, _ in pieces if MARK in p.lstrip(MARK) or "\n" in p[1:] or "\n" in p[:-1]]
         if inner:
             raise ValueError(f"pieces that cross words: {inner[:3]}")
+        self.joined = {p[i : i + 2] for p, _ in pieces for i in range(len(p) - 1)}
+        self.as_bytes = [np.int32(i).tobytes() for i in range(len(pieces))]
         self.known: dict[str, bytes] = {}
 
     @classmethod
@@ -78,34 +81,49 @@ class Vocabulary:
 
     def segment(self, words: list[str]) -> Iterator[tuple[str, list[int]]]:
         """Best segmentations of sorted words."""
-        best, step = [0.0], [(0, ())]
+        # Of each end on the stack: best score, place where the last piece begins, the piece (or its bytes).
+        best, came, last = [0.0], [0], [0]
         before = ""
-        root, byte_score = self.back, self.byte_score
+        root = self.back
         for word in words:
-            shared = len(commonprefix((before, word)))
-            del best[shared + 1 :], step[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                score, via = None, None
+            n, shared = len(word), 0
+            for a, b in zip(before, word, strict=False):
+                if a != b:
+                    break
+                shared += 1
+            del best[shared + 1 :], came[shared + 1 :], last[shared + 1 :]
+            for end in range(shared + 1, n + 1):
+                score, start, piece = None, 0, 0
                 node, at = root, end
-                while at and (node := node.get(word[at - 1])) is not None:
+                while at:
                     at -= 1
-                    if (found := node.get(_END)) is not None:
-                        sum_ = best[at] + found[0]
-                        if score is None or sum_ >= score:
-                            score, via = sum_, (at, (found[1],))
+                    node = node.get(word[at])
+                    if node is None:
+                        break
+                    if _END in node:
+                        own, i = node[_END]
+                        own += best[at]
+                        if score is None or own >= score:
+                            score, start, piece = own, at, i
                 sign = word[end - 1]
                 if _END not in root.get(sign, ()):  # no piece of its own
                     raw = (MARK if sign == LITERAL else sign).encode("utf-8", "replace")
-                    sum_ = best[end - 1] + byte_score * len(raw)
-                    if score is None or sum_ > score:
-                        score, via = sum_, (end - 1, tuple(self.byte_ids[b] for b in raw))
+                    own = best[end - 1] + self.byte_score * len(raw)
+                    if score is None or own > score:
+                        score, start, piece = own, end - 1, [self.byte_ids[b] for b in raw]
                 best.append(score)
-                step.append(via)
+                came.append(start)
+                last.append(piece)
             ids: list[int] = []
-            at = len(word)
+            at = n
             while at:
-                at, pieces = step[at]
-                ids[:0] = pieces
+                piece = last[at]
+                if isinstance(piece, int):
+                    ids.append(piece)
+                else:
+                    ids.extend(reversed(piece))
+                at = came[at]
+            ids.reverse()
             yield word, ids
             before = word
 
@@ -129,10 +147,21 @@ class Vocabulary:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         known = self.known
-        new = {w for lines in split for words in lines for w in words}.difference(known)
-        new.add("\n")
-        for word, ids in self.segment(sorted(new)):
-            known[word] = np.array(ids, np.int32).tobytes()
+        new = set()
+        for lines in split:
+            for words in lines:
+                new.update(words)
+        new.difference_update(known)
+        # A sign at the end that no piece joins to the one before it is a word of its own.
+        cut = {w: w[:-1] for w in new if len(w) > 1 and w[-2:] not in self.joined}
+        search = {w for w in new if w not in cut}
+        search.update(c for c in cut.values() if c not in known)
+        search.update(w[-1] for w in cut if w[-1] not in known)
+        search.add("\n")
+        for word, ids in self.segment(sorted(search)):
+            known[word] = b"".join([self.as_bytes[i] for i in ids])
+        for word, core in cut.items():
+            known[word] = known[core] + known[word[-1]]
         between = known["\n"]
         return [
             np.frombuffer(between.join(b"".join(map(known.__getitem__, words)) for words in lines), np.int32)
@@ -162,7 +191,7 @@ def _encode(path: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = vocabulary(path)
         for batch in batches:
-            for part, texts in batches_of(batch):
+            for part, texts in batches_of(batch, limit=BLOCK_BYTES):
                 ids = pieces.encode_all(texts)
                 places = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
                 values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
@@ -175,8 +204,11 @@ def _decode(path: str):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = vocabulary(path)
         for batch in batches:
-            rows = batch.column(batch.schema.get_field_index("pieces")).to_pylist()
-            yield _with(batch, "decoded", pa.array([pieces.decode(r or ()) for r in rows], pa.string()))
+            rows = batch.column(batch.schema.get_field_index("pieces")).fill_null([])
+            texts = list(map(pieces.bytes_of.__getitem__, rows.flatten().to_numpy().tolist()))
+            ends = np.cumsum(rows.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+            whole = [b"".join(texts[a:b])[1:] for a, b in zip([0, *ends], ends, strict=False)]
+            yield _with(batch, "decoded", pa.array([w.decode("utf-8", "replace") for w in whole], pa.string()))
 
     return decode
 

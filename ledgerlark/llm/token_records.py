@@ -92,41 +92,50 @@ def ids_of(framed: bytes, kind: np.dtype) -> np.ndarray:
 class Encoder:
     """Encodes texts with a tokenizer that drops white space, chunk by chunk between spaces.
 
-    No token spans ASCII white space, so a text's ids are those of its chunks.
-    Chunks of letters (with signs behind them) go to the tokenizer's model itself;
-    all others take the tokenizer's whole way.  A bounded number of chunks is kept.
+    No token spans ASCII white space, so a text's ids are those of its chunks.  A
+    chunk of Latin letters, with signs behind them or not, is two runs to the
+    tokenizer: the lower-cased letters go to its model itself, spelt in the byte
+    alphabet of byte-level vocabularies.  All other chunks take the tokenizer's
+    whole way.  A bounded number of chunks is kept.
     """
 
-    _PLAIN = re.compile(rb"([A-Za-z]+)([.,:;?!%&*#$|]*)")
+    # Latin letters that normalisation leaves as they are (U+0130 lower-cases to two signs).
+    _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,:;?!%&*#$|]*)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.kind = np.dtype("<u2" if self.whole.get_vocab_size() <= 1 << 16 else "<u4")
+        n = self.whole.get_vocab_size()
+        self.kind = np.dtype("<u2" if n <= 1 << 16 else "<u4")
+        self.as_bytes = [i.to_bytes(self.kind.itemsize, "little") for i in range(n)]
         self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[bytes, bytes] = {}
-        self.end = np.array([END_ID], self.kind).tobytes()
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def _word(self, word: bytes) -> bytes:
-        if (ids := self.words.get(word)) is None:
-            ids = np.array([t.id for t in self.model.tokenize(word.decode())], self.kind).tobytes()
-            self.words[word] = ids
+        self.words: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {"": b""}
+        self.end = self.as_bytes[END_ID]
+        # Printable bytes stand for themselves, the others for the code points from 256 on.
+        other = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+        self.alphabet = {b: 256 + i for i, b in enumerate(other)}
+
+    def _join(self, ids: list[int]) -> bytes:
+        return b"".join([self.as_bytes[i] for i in ids])
+
+    def _word(self, word: str) -> bytes:
+        spelt = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
+        ids = self.words[word] = self._join([t.id for t in self.model.tokenize(spelt)])
         return ids
 
     def _chunk(self, chunk: bytes) -> bytes:
-        if plain := self._PLAIN.fullmatch(chunk):
+        text = chunk.decode("utf-8", "replace")
+        if plain := self._PLAIN.fullmatch(text):
             word, signs = plain.groups()
-            ids = self._word(word.lower())
-            if signs:
-                # Signs are one run of their own whatever stands before them.
-                ids += self.chunks.get(signs) or self.chunks.setdefault(signs, self._ids(signs.decode()))
-            return ids
-        return self._ids(chunk.decode("utf-8", "replace"))
+            word = word.lower()
+            ids = self.words.get(word) or self._word(word)
+            if signs not in self.signs:
+                self.signs[signs] = self._join(self.whole.encode(signs, add_special_tokens=False).ids)
+            return ids + self.signs[signs]
+        return self._join(self.whole.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: bytes) -> bytes:
         """The ids of a text, end id included, as bytes."""
@@ -134,6 +143,8 @@ class Encoder:
             self.chunks.clear()
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
+        if len(self.signs) > CACHE_WORDS:
+            self.signs = {"": b""}
         parts, known = text.split(), self.chunks
         for chunk in parts:
             if chunk not in known:
