@@ -15,6 +15,7 @@ from ledgerlark.llm import (
     quality_classifier,
     quality_rules,
     sharding,
+    substring_dedup,
     token_records,
     toxicity,
 )
@@ -145,3 +146,31 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
+
+
+_SUBSTRING_SQL = """
+WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, i, substr(x, 2 * i + 1, 200) AS s
+      FROM (SELECT doc_id, x, unnest(range(len(x) // 2 - 99)) AS i FROM h)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS r FROM w) WHERE r > 1),
+runs AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (
+           SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM (
+             SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 100 THEN 0 ELSE 1 END AS fresh
+             FROM again)) GROUP BY doc_id, g),
+gaps AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM runs
+         UNION ALL SELECT doc_id, max(b), NULL FROM runs GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(substr(x, 2 * a + 1, CASE WHEN b IS NULL THEN len(x) ELSE 2 * (b - a) END), '' ORDER BY a) AS k
+         FROM gaps JOIN h USING (doc_id) GROUP BY doc_id),
+sums AS (SELECT doc_id, sum(b - a) AS n, count(*) AS c FROM runs GROUP BY doc_id)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       coalesce(c, 0) AS n_spans, sha256(unhex(coalesce(k, x))) AS kept_sha256
+FROM h LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op7_substring_dedup", _SUBSTRING_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.dedup_substrings(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.mapInArrow(
+        substring_dedup.digest, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    )
