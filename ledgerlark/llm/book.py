@@ -138,7 +138,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path(PIECE_TOKENIZER)
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    decoded = pieces.decode(pieces.encode(docs, path), path)
+    decoded = pieces.encode(docs, path, decoded=True)
     return decoded.select(
         "doc_id",
         F.size("pieces").cast("bigint").alias("n_pieces"),

@@ -37,8 +37,8 @@ from ledgerlark.llm.texts import batches_of
 
 MARK = "▁"
 LITERAL = "\udc81"  # stands for a literal mark inside a task; no text can hold it
-CACHE_WORDS = 400_000
-BLOCK_BYTES = 4 << 20
+CACHE_WORDS = 250_000
+BLOCK_BYTES = 2 << 20
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _END = ""
 
@@ -187,7 +187,15 @@ def _with(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, name])
 
 
-def _encode(path: str):
+def _joined(pieces: Vocabulary, rows: pa.ListArray) -> pa.Array:
+    """Texts of lists of ids."""
+    texts = list(map(pieces.bytes_of.__getitem__, rows.flatten().to_numpy().tolist()))
+    ends = np.cumsum(rows.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+    whole = [b"".join(texts[a:b])[1:] for a, b in zip([0, *ends], ends, strict=False)]
+    return pa.array([w.decode("utf-8", "replace") for w in whole], pa.string())
+
+
+def _encode(path: str, decoded: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = vocabulary(path)
         for batch in batches:
@@ -195,7 +203,9 @@ def _encode(path: str):
                 ids = pieces.encode_all(texts)
                 places = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
                 values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                yield _with(part, "pieces", pa.ListArray.from_arrays(pa.array(places), pa.array(values)))
+                lists = pa.ListArray.from_arrays(pa.array(places), pa.array(values))
+                part = _with(part, "pieces", lists)
+                yield _with(part, "decoded", _joined(pieces, lists)) if decoded else part
 
     return encode
 
@@ -205,19 +215,17 @@ def _decode(path: str):
         pieces = vocabulary(path)
         for batch in batches:
             rows = batch.column(batch.schema.get_field_index("pieces")).fill_null([])
-            texts = list(map(pieces.bytes_of.__getitem__, rows.flatten().to_numpy().tolist()))
-            ends = np.cumsum(rows.value_lengths().to_numpy(zero_copy_only=False)).tolist()
-            whole = [b"".join(texts[a:b])[1:] for a, b in zip([0, *ends], ends, strict=False)]
-            yield _with(batch, "decoded", pa.array([w.decode("utf-8", "replace") for w in whole], pa.string()))
+            yield _with(batch, "decoded", _joined(pieces, rows))
 
     return decode
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """All columns of ``docs`` and pieces, the ids of the text."""
-    docs = docs.drop("pieces")
-    ids = T.StructField("pieces", T.ArrayType(T.IntegerType()))
-    return docs.mapInArrow(_encode(path), T.StructType([*docs.schema.fields, ids]))
+def encode(docs: DataFrame, path: str, decoded: bool = False) -> DataFrame:
+    """All columns of ``docs`` and pieces, the ids of the text; on request with decoded, the text of the ids."""
+    docs = docs.drop("pieces", "decoded") if decoded else docs.drop("pieces")
+    added = [T.StructField("pieces", T.ArrayType(T.IntegerType()))]
+    added += [T.StructField("decoded", T.StringType())] if decoded else []
+    return docs.mapInArrow(_encode(path, decoded), T.StructType([*docs.schema.fields, *added]))
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
