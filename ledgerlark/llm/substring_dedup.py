@@ -40,13 +40,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.texts import as_bytes, blocks, mix, span_hashes
+from ledgerlark.llm.texts import as_bytes, batches_of, blocks, mix, span_hashes
 from ledgerlark.session import landed
 
 LENGTH = 100
 GRAM = 32
-PART = 1 << 20
-INDEX_BYTES = 1 << 20
+PART = 1 << 19
+INDEX_BYTES = 1 << 19
 _NO_DOC = -(2**63)
 _PLACE_BITS = 24
 _ROWS = "anchor bigint, content bigint, doc bigint, begin bigint, length int"
@@ -181,16 +181,20 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, docs, wanted = as_bytes(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        rows = [
-            (w["anchor"], doc, w["begin"], text[w["begin"] : w["begin"] + w["length"]])
-            for text, doc, ws in zip(texts, docs, wanted, strict=True)
-            for w in ws
-        ]
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["anchor", "doc", "begin", "bytes"]
-        )
+        for part, texts in batches_of(batch):
+            wanted = part.column(2)
+            of = np.repeat(np.arange(len(texts)), wanted.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+            anchor, begin, length = (wanted.flatten().field(i) for i in range(3))
+            cut = zip(of, begin.to_pylist(), length.to_pylist(), strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    anchor,
+                    part.column(1).take(pa.array(of, pa.int64())),
+                    begin,
+                    pa.array([texts[i][b : b + n] for i, b, n in cut], pa.binary()),
+                ],
+                names=["anchor", "doc", "begin", "bytes"],
+            )
 
 
 # --- the run-length index ------------------------------------------------------------------
@@ -323,9 +327,8 @@ def _index_groups(length: int):
 
 def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts with their marked spans: what is left, and the maximal removed runs."""
-    for batch in batches:
+    for batch, texts in (p for b in batches for p in batches_of(b)):
         names = batch.schema.names
-        texts = as_bytes(batch.column(names.index("text")))
         spans = batch.column(names.index("_spans")).to_pylist()
         kept, runs = [], []
         for text, marked in zip(texts, spans, strict=True):
