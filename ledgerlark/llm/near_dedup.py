@@ -14,14 +14,16 @@ weighted Jaccard similarity, sum of minima over sum of maxima of the counts, is
    bags agree in a register with probability equal to their weighted Jaccard
    similarity.  Processes stop once they are later than the text's latest
    register, so a text costs about (shingles + m log m) steps, not their product.
-3. ``BANDS`` bands of ``ROWS`` registers make buckets.  With 24 bands of 4 a pair
-   at 0.8 misses all buckets with probability (1 - 0.8**4)**24 = 3e-6.
-4. Within a bucket a hub is compared with the others, not everybody with
-   everybody.  Verified links are merged into components; buckets that still hold
-   several components get one, then four, sixteen ... hubs from each component,
-   until all members of a bucket are in one component or have been compared with
-   all members of the other ones.  So no link between different classes is lost,
-   and a large group of copies costs one comparison a member.
+3. ``BANDS`` bands of ``ROWS`` registers make buckets.  With 32 bands of 5 a pair
+   at 0.8 misses all buckets with probability (1 - 0.8**5)**32 = 3e-6.
+4. Within a bucket all members are compared with a hub, not everybody with
+   everybody.  The hub is the member with the most company in all of its buckets,
+   which in a group of edited copies is what they were copied from.  Verified links
+   are merged into components; buckets that still hold several components get their
+   next hub, and so on until a round over all of them finds nothing more to merge.
+   A pair that the buckets of one band do not compare has its other bands: at 0.8
+   two texts meet in ten buckets on average, each with a hub of its own.  A round
+   costs one comparison a member at most, so a large group of copies stays linear.
 
 A document without words (null, empty or blank text) is a class of its own.
 Rows without doc_id are left out of the result: a class cannot name them.  Rows
@@ -45,8 +47,8 @@ from ledgerlark.session import landed
 
 WIDTH = 5
 THRESHOLD = 0.8
-BANDS = 24
-ROWS = 4
+BANDS = 32
+ROWS = 5
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -201,16 +203,20 @@ def near_classes(
     )
     key = F.expr(f"transform(sequence(0, {bands - 1}), i -> hex(substring(keys, 8 * i + 1, 8)))")
     members = nodes.select("id", F.explode(key).alias("k")).select("id", F.xxhash64("k").alias("key"))
-    shared = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    members = landed(members.join(shared, "key"), "buckets").withColumn("turn", F.xxhash64("key", "id"))
+    shared = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    members = landed(members.join(shared, "key"), "buckets")
+    company = members.groupBy("id").agg(F.sum("n").alias("company"))
+    members = landed(members.select("key", "id").join(company, "id"), "company")
 
-    ids = members.select("id").distinct()
     bags_ = landed(
-        docs.join(ids, docs["doc_id"] == ids["id"], "left_semi").mapInArrow(_bag_rows(width), "id bigint, bag binary"),
+        docs.join(company.select("id"), docs["doc_id"] == F.col("id"), "left_semi").mapInArrow(
+            _bag_rows(width), "id bigint, bag binary"
+        ),
         "bags",
     )
-    found, links, tested, n_hubs = None, None, None, 0
+    found, links, tested, turn = None, None, None, 0
     while True:
+        turn += 1
         if found is None:
             now = members.withColumn("c", F.col("id"))
         else:
@@ -218,13 +224,8 @@ def near_classes(
             now = now.withColumn("c", F.coalesce("c0", "id")).drop("c0")
             mixed = now.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y")
             now = landed(now.join(mixed.select("key"), "key"), "mixed")
-            largest = now.groupBy("key", "c").count().agg(F.max("count")).first()[0]
-            if largest is None or largest <= n_hubs:
-                break
-        # The first round has one hub for a bucket, later ones n_hubs for each component of it.
-        per = Window.partitionBy("key").orderBy("turn") if found is None else Window.partitionBy("key", "c").orderBy("turn")
-        n_hubs = 0 if found is None else max(1, 4 * n_hubs)
-        hubs = now.withColumn("r", F.row_number().over(per)).filter(F.col("r") <= max(1, n_hubs))
+        order = Window.partitionBy("key").orderBy(F.desc("company"), "id")
+        hubs = now.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= turn).filter(F.col("r") == turn)
         hubs = hubs.select("key", F.col("id").alias("h"), F.col("c").alias("hc"))
         pairs = (
             now.join(hubs, "key")
@@ -243,9 +244,11 @@ def near_classes(
             .mapInArrow(_verify(threshold), "a bigint, b bigint, similarity double"),
             "verified",
         )
+        # Only pairs of different components are compared, so every link merges two of them.
+        if found is not None and new.isEmpty():
+            break
         links = new if links is None else links.union(new)
-        found = components(links.select("a", "b"))
-        found = landed(found, "found")
+        found = landed(components(links.select("a", "b")), "found")
     of_digest = nodes.select("digest", "id").join(found, "id", "left")
     of_digest = of_digest.select("digest", F.coalesce("component", "id").alias("class_id"))
     classed = one.join(of_digest, "digest", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
