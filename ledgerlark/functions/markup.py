@@ -86,8 +86,8 @@ _NAMED = _named_sql()
 
 def decode_sql(x: str) -> str:
     """Numeric and named character references; unknown ones stay.  ``x`` is used several times."""
-    hexed = f"nullif(regexp_extract(dp, {quoted('^&#[xX]([0-9A-Fa-f]{1,6});$')}, 1), '')"
-    plain = f"nullif(regexp_extract(dp, {quoted('^&#([0-9]{1,7});$')}, 1), '')"
+    hexed = f"nullif(regexp_extract(dp, {quoted('^&#[xX]0*([0-9A-Fa-f]{1,6});$')}, 1), '')"
+    plain = f"nullif(regexp_extract(dp, {quoted('^&#0*([0-9]{1,7});$')}, 1), '')"
     code = f"cast(coalesce(conv({hexed}, 16, 10), {plain}) as int)"
     char = (
         "IF(dn BETWEEN 1 AND 55295 OR dn BETWEEN 57344 AND 1114111, "

@@ -21,12 +21,14 @@ from ledgerlark.plans.emit import once
 from ledgerlark.session import landed
 
 WORD_BREAK = r"[^\p{L}\p{N}]+"
-MAX_TERM = 40  # longer tokens are not indexed by the default tokenizer
+# Scripts written without blanks: each sign is a term, so clauses can be searched by any part of them.
+SIGNS = ("Han", "Hiragana", "Katakana")
 
 
 def terms(text: Column) -> Column:
-    """Lower-cased alphanumeric runs."""
-    return F.filter(F.split(F.lower(text), WORD_BREAK), lambda t: (t != "") & (F.octet_length(t) <= MAX_TERM))
+    """Lower-cased alphanumeric runs, and single signs of scripts without blanks, in order."""
+    signs = "([" + "".join(rf"\p{{Is{s}}}" for s in SIGNS) + "])"
+    return F.filter(F.split(F.regexp_replace(F.lower(text), signs, " $1 "), WORD_BREAK), lambda t: t != "")
 
 
 def query_terms(query: str) -> list[str]:
@@ -35,8 +37,8 @@ def query_terms(query: str) -> list[str]:
 
 
 def phrase_terms(phrase: str) -> list[str]:
-    words = regex.split(WORD_BREAK, phrase.lower())
-    return [w for w in words if w and len(w.encode()) <= MAX_TERM]
+    signs = "([" + "".join(rf"\p{{{s}}}" for s in SIGNS) + "])"
+    return [w for w in regex.split(WORD_BREAK, regex.sub(signs, r" \1 ", phrase.lower())) if w]
 
 
 def _counted(docs: DataFrame, words: Sequence[str], key: str, text: str) -> DataFrame:
@@ -62,8 +64,10 @@ def _frequency(word: str) -> Column:
 def bm25_scores(
     docs: DataFrame, query: str, k1: float = 1.2, b: float = 0.75, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(key, score) of documents that hold at least one query term; scores rounded to 6 digits."""
+    """(key, score) of documents that hold at least one query term; a query without terms has none."""
     words = query_terms(query)
+    if not words:
+        return docs.select(key, F.lit(0.0).alias("score")).limit(0)
     # Counts are a few numbers a document; statistics and scores both read them, the texts are read once.
     tf = landed(_counted(docs, words, key, text), "term_counts")
     # One row: number of documents, mean length, document frequency per term.
@@ -84,11 +88,13 @@ def bm25_scores(
         norm = f + k1 * ((1 - b) + b * F.col("dl") / F.col("s.avgdl"))
         return idf * f * (k1 + 1) / norm
 
-    return scored.select(key, F.round(reduce(plus, [part(i) for i in range(len(words))]), 6).alias("score"))
+    return scored.select(key, reduce(plus, [part(i) for i in range(len(words))]).alias("score"))
 
 
 def bm25_topk(docs: DataFrame, query: str, k: int, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    return bm25_scores(docs, query, k1, b).orderBy(F.desc("score"), "doc_id").limit(k)
+    """Best ``k`` documents, ranked by the exact score, which is shown with 6 digits."""
+    best = bm25_scores(docs, query, k1, b).orderBy(F.desc("score"), "doc_id").limit(k)
+    return best.withColumn("score", F.round("score", 6))
 
 
 def keyword_topk(docs: DataFrame, keywords: str, region: str, k: int = 5) -> DataFrame:
@@ -128,17 +134,17 @@ def cosine(query: Sequence[float]) -> object:
 
 def vector_scores(emb: DataFrame, query: Sequence[float], key: str = "vec_id") -> DataFrame:
     """Null for vectors that have no cosine with the query."""
-    return emb.select(key, F.round(cosine(query)(F.col("embedding")), 6).alias("score"))
+    return emb.select(key, cosine(query)(F.col("embedding")).alias("score"))
 
 
 def vector_topk(emb: DataFrame, query: Sequence[float], k: int) -> DataFrame:
-    """Exact nearest vectors by cosine; each task keeps ``k`` rows.
+    """Exact nearest vectors by cosine, which is shown with 6 digits; each task keeps ``k`` rows.
 
     Nulls sort last and go after the limit: a filter ahead of it would score
     every vector a second time.
     """
     best = vector_scores(emb, query).orderBy(F.desc_nulls_last("score"), "vec_id").limit(k)
-    return best.filter("score IS NOT NULL")
+    return best.filter("score IS NOT NULL").withColumn("score", F.round("score", 6))
 
 
 def _fusion_depth(k: int, c: int) -> int:
@@ -202,8 +208,10 @@ def hybrid_topk(
 
 
 def phrase_match(docs: DataFrame, phrase: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents that hold the phrase's terms next to each other; counts the places."""
+    """Documents that hold the phrase's terms next to each other; counts the places.  No terms, no documents."""
     words = phrase_terms(phrase)
+    if not words:
+        return docs.select(key, F.lit(0).alias("places")).limit(0)
     joined = F.concat(F.lit(" "), F.array_join(terms(F.col(text)), " "), F.lit(" "))
     # Look-ahead, so that overlapping places count.
     places = F.regexp_count(joined, F.lit(r" (?=\Q" + " ".join(words) + r"\E )"))

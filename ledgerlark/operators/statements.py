@@ -24,8 +24,8 @@ STATEMENTS = ("利润表", "资产负债表", "现金流量表")
 def select_or_null(
     df: DataFrame, cols: Sequence[str] = CORE_INCOME_A, types: Mapping[str, T.DataType | str] | None = None
 ) -> DataFrame:
-    """Named columns in order; absent ones as typed nulls, others dropped."""
-    types = types or {}
+    """Named columns in order; absent ones as typed nulls (report date and type are strings), others dropped."""
+    types = {"REPORT_DATE": "string", "REPORT_TYPE": "string"} | dict(types or {})
     return df.select(
         *[
             F.col(c) if c in df.columns else F.lit(None).cast(types.get(c, "double")).alias(c)

@@ -326,15 +326,16 @@ def ancestor_headings(pages: DataFrame, html: str = "html") -> DataFrame:
 def split_header(data: Column, mode: str) -> tuple[Column, Column]:
     """(header, body) of a table's rows.
 
-    ``inline`` always takes the first row; ``aligned`` only if each of its
-    cells is shorter than 50 characters, otherwise the header is null and
-    columns stay positional.
+    ``inline`` always takes the first row; ``aligned`` only if it is as wide as
+    the widest row and each of its cells is shorter than 50 characters, otherwise
+    the header is null and columns stay positional.
     """
     first = F.get(data, 0)
     rest = F.slice(data, 2, F.greatest(F.size(data) - 1, F.lit(0)))
     if mode == "inline":
         return first, rest
-    short = F.forall(first, lambda c: F.length(c) < 50)
+    wide = F.size(first) >= F.array_max(F.transform(data, F.size))
+    short = wide & F.forall(first, lambda c: F.length(c) < 50)
     return F.when(short, first), F.when(short, rest).otherwise(data)
 
 
@@ -394,6 +395,11 @@ def summarize_tables(tables: DataFrame, keys: list[str], at: Column, filenames:
 # --- results per stock ----------------------------------------------------------------------
 
 
+def page_failed(code: Column, mode: str) -> Column:
+    """Message for a stock whose page could not be had; the inline mode reads Shenzhen pages."""
+    return F.concat(F.lit("获取深交所 " if mode == "inline" else "获取上交所 "), code, F.lit(" 页面失败"))
+
+
 def stock_results(pages: DataFrame, keys: list[str], mode: str = "aligned", html: str = "html") -> DataFrame:
     """One row per page asked for: success, tables_count, saved_files, base_dir, error.
 
@@ -416,7 +422,7 @@ def stock_results(pages: DataFrame, keys: list[str], mode: str = "aligned", html
         F.transform("_files", lambda x: F.concat(base, F.lit("/"), x["f"])).alias("saved_files"),
         F.when(ok, base).otherwise("").alias("base_dir"),
         F.when(ok, None)
-        .when(F.col("_empty"), F.concat(F.lit("获取上交所 "), F.col("stock_code"), F.lit(" 页面失败")))
+        .when(F.col("_empty"), page_failed(F.col("stock_code"), mode))
         .otherwise(F.lit("未找到任何表格"))
         .alias("error"),
     )

@@ -9,13 +9,15 @@ prefix over the chunks of the key is taken, and the prefix is joined back.
 
 The chunk is a function of the row alone, so a task that is run again after
 an executor loss puts every row into the same chunk, and results do not depend
-on partitioning.  Keys must not be null; order columns must be unique within a
-key for a defined result.
+on partitioning.  Null keys are a group of their own; order columns must be unique
+within a key for a defined result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,6 +45,14 @@ def _prefix(df: DataFrame, keys: Sequence[str], per_chunk: Column, prefix) -> Da
     return totals.select(*keys, CHUNK, prefix(F.col(CARRY)).over(before).alias(CARRY))
 
 
+def _with_carry(cut: DataFrame, carries: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each row with its chunk's prefix; null keys are equal to each other."""
+    names = [*keys, CHUNK]
+    right = carries.select(*[F.col(k).alias(f"_carry_{i}") for i, k in enumerate(names)], CARRY)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_carry_{i}")) for i, k in enumerate(names)])
+    return cut.join(right, same).drop(*[f"_carry_{i}" for i in range(len(names))])
+
+
 def running_sum(
     df: DataFrame,
     keys: Sequence[str],
@@ -60,8 +70,7 @@ def running_sum(
     )
     carries = _prefix(cut, keys, F.sum(value), F.sum)
     return (
-        cut.withColumn(name, F.sum(value).over(here))
-        .join(carries, [*keys, CHUNK])
+        _with_carry(cut.withColumn(name, F.sum(value).over(here)), carries, keys)
         .withColumn(name, F.col(name) + F.coalesce(F.col(CARRY), F.lit(0)))
         .drop(CHUNK, CARRY)
     )
@@ -92,8 +101,7 @@ def last_known(
     newest = F.max_by(value, F.when(value.isNotNull(), F.struct(*order)))
     carries = _prefix(cut, keys, newest, lambda c: F.last(c, ignorenulls=True))
     return (
-        cut.withColumn(name, F.last(value, ignorenulls=True).over(here))
-        .join(carries, [*keys, CHUNK])
+        _with_carry(cut.withColumn(name, F.last(value, ignorenulls=True).over(here)), carries, keys)
         .withColumn(name, F.coalesce(F.col(name), F.col(CARRY)))
         .drop(CHUNK, CARRY)
     )

@@ -54,8 +54,18 @@ def of_venue(pages: DataFrame, name: str) -> DataFrame:
 
 
 def run_batch(codes: DataFrame, pages: DataFrame, name: str, mode: str) -> DataFrame:
-    """Results of all requested stocks of one exchange."""
+    """Results of all requested stocks of one exchange; one without a landed page has failed.
+
+    Pages become small rows first, and those are joined, so no markup is shuffled.
+    """
     wanted = of_venue(codes.select("stock_code").distinct(), name)
-    read = of_venue(pages, name).join(wanted, "stock_code", "left_semi")
     keys = [c for c in pages.columns if c != "html"]
-    return tables.stock_results(read, keys, mode)
+    results = tables.stock_results(of_venue(pages, name), keys, mode)
+    return wanted.join(results, "stock_code", "left").select(
+        F.coalesce("success", F.lit(False)).alias("success"),
+        *keys,
+        F.coalesce("tables_count", F.lit(0)).alias("tables_count"),
+        F.coalesce("saved_files", F.array().cast("array<string>")).alias("saved_files"),
+        F.coalesce("base_dir", F.lit("")).alias("base_dir"),
+        F.when(F.col("success").isNull(), tables.page_failed(F.col("stock_code"), mode)).otherwise(F.col("error")).alias("error"),
+    )

@@ -39,14 +39,15 @@ def write_csv(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "err
     Spark writes no file for an empty partition of ``by``, so only non-empty
     results appear.
     """
-    writer = df.write.mode(mode).option("header", True).option("encoding", "UTF-8")
+    out = df.hint("rebalance", *by) if by else df
+    writer = out.write.mode(mode).option("header", True).option("encoding", "UTF-8")
     # Quotes are doubled, as other CSV readers expect.
     writer = writer.option("escape", '"').option("emptyValue", "")
     (writer.partitionBy(*by) if by else writer).csv(path)
 
 
 def write_json(df: DataFrame, path: str, by: Sequence[str] = ("stock_code",)) -> None:
-    writer = df.write.mode("errorifexists")
+    writer = (df.hint("rebalance", *by) if by else df).write.mode("errorifexists")
     (writer.partitionBy(*by) if by else writer).json(path)
 
 
@@ -67,7 +68,7 @@ SINK_FLOOR = {"info": "INFO", "error": "ERROR", "debug": "DEBUG"}
 
 
 def route_by_level(log: DataFrame, console_level: str = "WARNING") -> DataFrame:
-    """One row per record and sink that takes it."""
+    """One row per record and sink that takes it; a record of unknown or no level goes to the debug sink."""
     floors = SINK_FLOOR | {"alert": console_level}
     sinks = F.array(
         *[
@@ -75,10 +76,10 @@ def route_by_level(log: DataFrame, console_level: str = "WARNING") -> DataFrame:
             for name, floor in floors.items()
         ]
     )
-    taken = F.filter(sinks, lambda s: level_rank(F.col("level")) >= s["floor"])
+    taken = F.filter(sinks, lambda s: F.coalesce(level_rank(F.col("level")) >= s["floor"], s["sink"] == "debug"))
     return log.select("*", F.explode(taken).alias("_s")).select(*log.columns, F.col("_s.sink").alias("sink"))
 
 
 def write_logs(routed: DataFrame, path: str, max_records: int = 1_000_000, mode: str = "append") -> None:
-    """One partition per sink; files roll over by record count."""
+    """One partition per sink; files roll over by record count.  Also writes batches of a stream."""
     routed.write.mode(mode).option("maxRecordsPerFile", max_records).partitionBy("sink").parquet(path)

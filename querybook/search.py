@@ -12,14 +12,15 @@ from querybook.base import query, table
 QUERY = "the letion éreen nteres"
 PHRASE = "of the"
 BREAK = "[^\\p{L}\\p{N}]+"
+SIGNS = "([\\p{Han}\\p{Hiragana}\\p{Katakana}])"
 
 
 def _toks(text: str) -> str:
-    return f"list_filter(regexp_split_to_array(lower({text}), '{BREAK}'), lambda x: x <> '' AND strlen(x) <= 40)"
+    apart = f"regexp_replace(lower({text}), '{SIGNS}', ' \\1 ', 'g')"
+    return f"list_filter(regexp_split_to_array({apart}, '{BREAK}'), lambda x: x <> '')"
 
 
-def bm25_sql(docs: str, text: str) -> str:
-    words = K.query_terms(text)
+def bm25_sql(docs: str, words: list[str]) -> str:
     tf = ", ".join(f"len(list_filter(t, lambda x: x = '{w}')) AS tf{i}" for i, w in enumerate(words))
     df = ", ".join(f"count(*) FILTER (tf{i} > 0) AS df{i}" for i in range(len(words)))
     parts = " + ".join(
@@ -32,34 +33,62 @@ def bm25_sql(docs: str, text: str) -> str:
 toks AS (SELECT doc_id, {_toks('text')} AS t FROM {docs}),
 tf AS (SELECT doc_id, len(t) AS dl, {tf} FROM toks),
 st AS (SELECT count(*) AS n, avg(dl) AS avgdl, {df} FROM tf),
-bm AS (SELECT doc_id, round({parts}, 6) AS score FROM tf, st WHERE {some})"""
+bm AS (SELECT doc_id, {parts} AS score FROM tf, st WHERE {some})"""
 
 
 COS_SQL = """
 q AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id = 0),
-cs AS (SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), v), 6) AS score FROM embeddings, q)"""
+cs AS (SELECT vec_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), v) AS score FROM embeddings, q)"""
 
 
-@query("bm25_topk", f"WITH {bm25_sql('documents', QUERY)} SELECT doc_id, score FROM bm ORDER BY score DESC, doc_id LIMIT 10")
+@query("bm25_topk", f"""
+WITH {bm25_sql('documents', ['the', 'letion', 'éreen', 'nteres'])}
+SELECT doc_id, round(score, 6) AS score FROM (SELECT * FROM bm ORDER BY score DESC, doc_id LIMIT 10)""")
 def _bm25(spark, sf):
     return K.bm25_topk(table(spark, sf, "documents"), QUERY, 10)
 
 
 @query("keyword_topk", f"""
-WITH region AS (SELECT * FROM documents WHERE lang = 'fr'), {bm25_sql('region', 'que éreen letion')}
-SELECT doc_id, score FROM bm ORDER BY score DESC, doc_id LIMIT 5""")
+WITH region AS (SELECT * FROM documents WHERE lang = 'fr'), {bm25_sql('region', ['que', 'éreen', 'letion'])}
+SELECT doc_id, round(score, 6) AS score FROM (SELECT * FROM bm ORDER BY score DESC, doc_id LIMIT 5)""")
 def _keyword(spark, sf):
     return K.keyword_topk(table(spark, sf, "documents"), "que éreen letion", "fr")
 
 
-@query("vector_topk", f"WITH {COS_SQL} SELECT vec_id, score FROM cs ORDER BY score DESC, vec_id LIMIT 10")
+# Titles in Chinese: kind of event, then a number.
+NAMES = {"view": "平安银行发布年度报告", "click": "关于召开股东大会的通知", "purchase": "银行业季度业绩公告", "error": "年度报告更正公告"}
+_TITLES = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in NAMES.items()) + " ELSE '其他' END || (event_id % 23)"
+
+
+def _titles(spark, sf):
+    kind = F.lit("其他")
+    for name, title in NAMES.items():
+        kind = F.when(F.col("event_type") == name, title).otherwise(kind)
+    number = (F.col("event_id") % 23).cast("string")
+    return table(spark, sf, "events").select(F.col("event_id").alias("doc_id"), F.concat(kind, number).alias("text"))
+
+
+@query("bm25_chinese", f"""
+WITH titles AS (SELECT event_id AS doc_id, {_TITLES} AS text FROM events), {bm25_sql('titles', ['银', '行', '年', '报'])}
+SELECT doc_id, round(score, 6) AS score FROM (SELECT * FROM bm ORDER BY score DESC, doc_id LIMIT 10)""")
+def _bm25_chinese(spark, sf):
+    return K.bm25_topk(_titles(spark, sf), "银行年报", 10)
+
+
+@query("phrase_chinese", f"SELECT event_id AS doc_id, 1 AS places FROM events WHERE contains({_TITLES}, '年度报告')")
+def _phrase_chinese(spark, sf):
+    return K.phrase_match(_titles(spark, sf), "年度报告")
+
+
+@query("vector_topk", f"""
+WITH {COS_SQL} SELECT vec_id, round(score, 6) AS score FROM (SELECT * FROM cs ORDER BY score DESC, vec_id LIMIT 10)""")
 def _vector(spark, sf):
     emb = table(spark, sf, "embeddings")
     return K.vector_topk(emb, K.query_vector(emb, 0), 10)
 
 
 @query("hybrid_topk", f"""
-WITH {COS_SQL}, {bm25_sql('documents', QUERY)},
+WITH {COS_SQL}, {bm25_sql('documents', ['the', 'letion', 'éreen', 'nteres'])},
 v AS (SELECT vec_id AS id, row_number() OVER (ORDER BY score DESC, vec_id) AS vec_rank FROM cs),
 t AS (SELECT doc_id AS id, row_number() OVER (ORDER BY score DESC, doc_id) AS text_rank FROM bm)
 SELECT id, vec_rank, text_rank, round(coalesce(CAST(1 AS DOUBLE) / (60 + vec_rank), 0) + coalesce(CAST(1 AS DOUBLE) / (60 + text_rank), 0), 9) AS score

@@ -188,3 +188,54 @@ def test_log_routing(spark):
     assert {s for lv, s in got if lv == "WARNING"} == {"info", "debug"}
     assert {s for lv, s in got if lv == "ERROR"} == {"info", "debug", "error", "alert"}
     assert {s for lv, s in got if lv == "DEBUG"} == {"debug"}
+
+
+def test_chinese_titles_are_searched_by_any_part(spark):
+    title = "关于召开二〇二四年第一次临时股东大会的通知公告全文"
+    docs = spark.createDataFrame([(1, title), (2, ""), (3, "of " + "x" * 41 + " the"), (4, "of the")], "doc_id int, text string")
+    assert [r.doc_id for r in search.bm25_topk(docs, "股东大会", 5).collect()] == [1]
+    assert [tuple(r) for r in search.phrase_match(docs, "临时股东大会").collect()] == [(1, 1)]
+    assert [r.doc_id for r in search.phrase_match(docs, "of the").collect()] == [4]
+    assert search.bm25_topk(docs, "?!", 5).count() == 0 and search.phrase_match(docs, " - ").count() == 0
+
+
+def test_ranks_compare_exact_scores(spark):
+    emb = spark.createDataFrame([(1, [1.0, 2e-4]), (2, [1.0, 1e-4]), (3, [0.0, 0.0])], "vec_id int, embedding array<double>")
+    assert [r.vec_id for r in search.vector_topk(emb, [1.0, 0.0], 2).collect()] == [2, 1]
+
+
+def test_null_keys_are_a_group_of_chunks(spark):
+    df = spark.createDataFrame([(None, 1, "a"), (None, 2, None), ("k", 3, None)], "k string, i int, d string")
+    ranked = chunked.rank_within(df, ["k"], [F.col("i")], chunked.dense_chunk(F.col("i"), 1), "r").collect()
+    assert sorted((r.i, r.r) for r in ranked) == [(1, 1), (2, 2), (3, 1)]
+    filled = chunked.last_known(df, ["k"], [F.col("i")], chunked.dense_chunk(F.col("i"), 1), F.col("d"), "f").collect()
+    assert sorted((r.i, r.f) for r in filled) == [(1, "a"), (2, "a"), (3, None)]
+
+
+def test_records_of_unknown_level_reach_the_debug_sink(spark):
+    from ledgerlark.sources.files import route_by_level
+
+    log = spark.createDataFrame([("TRACE",), (None,), ("ERROR",)], "level string")
+    got = sorted((str(r.level), r.sink) for r in route_by_level(log).collect())
+    assert got == [("ERROR", s) for s in ("alert", "debug", "error", "info")] + [("None", "debug"), ("TRACE", "debug")]
+
+
+def test_requested_stock_without_a_page_has_failed(spark):
+    from ledgerlark.plans import flows
+
+    codes = spark.createDataFrame([("000001",), ("000002",), ("000003",)], "stock_code string")
+    table_ = "<table><tr><td>a</td><td>b</td></tr><tr><td>1</td><td>2</td></tr></table>"
+    pages = spark.createDataFrame([("000001", 1, table_), ("000003", 1, "")], "stock_code string, page int, html string")
+    venue = pages.select(flows.venue(F.col("stock_code"))).first()[0]
+    got = {r.stock_code: r for r in flows.run_batch(codes, pages, venue, "inline").collect()}
+    assert set(got) == {"000001", "000002", "000003"}
+    assert got["000002"].error == got["000003"].error.replace("000003", "000002") == "获取深交所 000002 页面失败"
+    assert not got["000002"].success and got["000002"].saved_files == []
+
+
+def test_a_narrow_first_row_is_no_header(spark):
+    from ledgerlark.operators import tables
+
+    df = spark.createDataFrame([([["title"], ["a", "b"]],), ([["x", "y"], ["a", "b"]],)], "data array<array<string>>")
+    got = tables.promote_header(df, "aligned").collect()
+    assert [r.header for r in got] == [None, ["x", "y"]]
