@@ -31,17 +31,23 @@ def local_session(cores: str = "8", app: str = "ledgerlark") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can see.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
-    (local tests) a fresh temporary folder is made and recorded.
+    A cluster names it in ``spark.checkpoint.dir`` or by ``setCheckpointDir``.  A
+    session whose executors are the driver's own process has a folder of its own
+    where neither is set; it goes when the process ends.  Any other session must
+    name one.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    recorded = _LOCAL_FOLDERS.get(spark.sparkContext.applicationId)
-    if recorded is None:
-        recorded = tempfile.mkdtemp(prefix="ledgerlark-")
-        _LOCAL_FOLDERS[spark.sparkContext.applicationId] = recorded
-    return recorded
+    context = spark.sparkContext
+    checkpoints = context._jsc.sc().getCheckpointDir()
+    if checkpoints.isDefined():
+        return checkpoints.get().rstrip("/")
+    if not (context.master == "local" or context.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.TemporaryDirectory(prefix="ledgerlark-", ignore_cleanup_errors=True)
+    return _LOCAL_FOLDERS[context.applicationId].name
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -76,5 +82,5 @@ def ship_package(spark: SparkSession) -> None:
         spark.sparkContext.addPyFile(str(target))
 
 
-_LOCAL_FOLDERS: dict[str, str] = {}
+_LOCAL_FOLDERS: dict[str, tempfile.TemporaryDirectory] = {}
 _SHIPPED: set[str] = set()
