@@ -223,7 +223,8 @@ def near_classes(
             now = members.join(found.select("id", F.col("component").alias("c0")), "id", "left")
             now = now.withColumn("c", F.coalesce("c0", "id")).drop("c0")
             mixed = now.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y")
-            now = landed(now.join(mixed.select("key"), "key"), "mixed")
+            now = landed(now.join(mixed.select("key"), "key", "left_semi"), "mixed")
+            members = now.drop("c")  # a bucket of one component stays one
         order = Window.partitionBy("key").orderBy(F.desc("company"), "id")
         hubs = now.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= turn).filter(F.col("r") == turn)
         hubs = hubs.select("key", F.col("id").alias("h"), F.col("c").alias("hc"))

@@ -89,7 +89,8 @@ def _sum_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def marked_trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, trusted)"""
     good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id")).distinct()
-    joined = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("_id"), "left")
+    # Merged at every size: whether the labels would fit a broadcast is not known.
+    joined = docs.select("doc_id", "text").join(good.hint("merge"), F.col("doc_id") == F.col("_id"), "left")
     return joined.select("text", F.col("_id").isNotNull().alias("trusted"))
 
 
