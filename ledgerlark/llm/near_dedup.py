@@ -20,10 +20,11 @@ weighted Jaccard similarity, sum of minima over sum of maxima of the counts, is
    everybody.  The hub is the member with the most company in all of its buckets,
    which in a group of edited copies is what they were copied from.  Verified links
    are merged into components; buckets that still hold several components get their
-   next hub, and so on until a round over all of them finds nothing more to merge.
-   A pair that the buckets of one band do not compare has its other bands: at 0.8
-   two texts meet in ten buckets on average, each with a hub of its own.  A round
-   costs one comparison a member at most, so a large group of copies stays linear.
+   next two hubs, then four, and so on until a round over all of them finds nothing
+   more to merge.  A pair that the buckets of one band do not compare has its other
+   bands: at 0.8 two texts meet in ten buckets on average, each with hubs of its own.
+   A round costs as many comparisons a member as it has hubs, and texts of one
+   component are not compared, so a large group of copies stays linear.
 
 A document without words (null, empty or blank text) is a class of its own.
 Rows without doc_id are left out of the result: a class cannot name them.  Rows
@@ -178,7 +179,8 @@ def _verify(threshold: float):
                 similar.append(weighted_jaccard(a, b) if near else 0.0)
             keep = pa.array(np.array(similar) >= threshold, pa.bool_())
             yield pa.RecordBatch.from_arrays(
-                [get("a"), get("b"), pa.array(similar, pa.float64())], names=["a", "b", "similarity"]
+                [*map(get, ("a", "b", "ca", "cb")), pa.array(similar, pa.float64())],
+                names=["a", "b", "ca", "cb", "similarity"],
             ).filter(keep)
 
     return verify
@@ -214,44 +216,51 @@ def near_classes(
         ),
         "bags",
     )
-    found, links, tested, turn = None, None, None, 0
+    bag_of = lambda name: bags_.select(F.col("id").alias(name), F.col("bag").alias(f"bag_{name}"))
+    found = company.select("id", F.col("id").alias("c"))
+    order = Window.partitionBy("key").orderBy(F.desc("company"), "id")
+    tested, first, last = None, 1, 1
     while True:
-        turn += 1
-        if found is None:
-            now = members.withColumn("c", F.col("id"))
-        else:
-            now = members.join(found.select("id", F.col("component").alias("c0")), "id", "left")
-            now = now.withColumn("c", F.coalesce("c0", "id")).drop("c0")
+        now = members.join(found, "id")
+        if tested is not None:
             mixed = now.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y")
             now = landed(now.join(mixed.select("key"), "key", "left_semi"), "mixed")
             members = now.drop("c")  # a bucket of one component stays one
-        order = Window.partitionBy("key").orderBy(F.desc("company"), "id")
-        hubs = now.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= turn).filter(F.col("r") == turn)
-        hubs = hubs.select("key", F.col("id").alias("h"), F.col("c").alias("hc"))
+        hubs = now.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= last).filter(F.col("r") >= first)
+        hubs = hubs.select(F.col("key").alias("k"), F.col("id").alias("h"), F.col("c").alias("hc"))
+        # A pair's components are those of its smaller and its larger id.
         pairs = (
-            now.join(hubs, "key")
-            .filter("c <> hc")
-            .select(F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b"))
+            now.join(hubs, (F.col("key") == F.col("k")) & (F.col("c") != F.col("hc")))
+            .select(
+                F.least("id", "h").alias("a"),
+                F.greatest("id", "h").alias("b"),
+                F.expr("if(id < h, c, hc)").alias("ca"),
+                F.expr("if(id < h, hc, c)").alias("cb"),
+            )
             .distinct()
         )
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = landed(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        bag_of = lambda name: bags_.select(F.col("id").alias(name), F.col("bag").alias(f"bag_{name}"))
         new = landed(
-            pairs.join(bag_of("a"), "a")
-            .join(bag_of("b"), "b")
-            .mapInArrow(_verify(threshold), "a bigint, b bigint, similarity double"),
+            pairs.join(bag_of("a"), "a").join(bag_of("b"), "b").mapInArrow(
+                _verify(threshold), "a bigint, b bigint, ca bigint, cb bigint, similarity double"
+            ),
             "verified",
         )
-        # Only pairs of different components are compared, so every link merges two of them.
-        if found is not None and new.isEmpty():
+        if new.isEmpty():
             break
-        links = new if links is None else links.union(new)
-        found = landed(components(links.select("a", "b")), "found")
+        tried = pairs.select("a", "b")
+        tested = tried if tested is None else tested.union(tried)
+        # Links join components, not nodes: later rounds merge the few that are left.
+        merged = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        merged = merged.select(F.col("id").alias("c"), "component")
+        found = landed(
+            found.join(merged, "c", "left").select("id", F.coalesce("component", "c").alias("c")), "found"
+        )
+        first, last = last + 1, 2 * last + 1
     of_digest = nodes.select("digest", "id").join(found, "id", "left")
-    of_digest = of_digest.select("digest", F.coalesce("component", "id").alias("class_id"))
+    of_digest = of_digest.select("digest", F.coalesce("c", "id").alias("class_id"))
     classed = one.join(of_digest, "digest", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
     classed = landed(classed, "classes")
     sizes = classed.groupBy("class_id").agg(F.count("*").alias("class_size"))
