@@ -204,10 +204,10 @@ def _merge(spark, sf):
 
 
 @query("header_skip", WITH + """
-SELECT stock_code, page, n + CASE WHEN page = 1 THEN 1 ELSE 0 END AS rows FROM pids WHERE page <= 3""")
+SELECT stock_code, page, n + CASE WHEN page = 1 THEN 1 ELSE 0 END AS rows FROM pids""")
 def _header_skip(spark, sf):
     pages = disclosure_pages(spark, sf).select("stock_code", "page", "html")
-    return flows.disclosure_rows(pages, max_pages=3).groupBy("stock_code", "page").agg(F.count("*").alias("rows"))
+    return flows.disclosure_rows(pages).groupBy("stock_code", "page").agg(F.count("*").alias("rows"))
 
 
 @query("union_stocks", WITH + TITLES + """
