@@ -84,20 +84,42 @@ def _named_sql() -> str:
 _NAMED = _named_sql()
 
 
-def decode_sql(x: str) -> str:
-    """Numeric and named character references; unknown ones stay.  ``x`` is used several times."""
-    hexed = f"nullif(regexp_extract(dp, {quoted('^&#[xX]0*([0-9A-Fa-f]{1,6});$')}, 1), '')"
-    plain = f"nullif(regexp_extract(dp, {quoted('^&#0*([0-9]{1,7});$')}, 1), '')"
-    code = f"cast(coalesce(conv({hexed}, 16, 10), {plain}) as int)"
+# Names that browsers also take without a semicolon, longest first.
+_LEGACY = "&(?:" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))) + ")"
+# What the numbers 128 to 159 stand for; five of them stay control characters.
+_WINDOWS = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(128, 160))
+
+
+def decode_sql(x: str, attribute: bool = False) -> str:
+    """Numeric and named character references; unknown ones stay.  ``x`` is used several times.
+
+    The semicolon may be missing.  In an attribute a name without it is taken only if
+    neither a letter, a digit nor ``=`` follows, so that query strings keep their parameters.
+    """
+    digits = f"regexp_extract(dp, {quoted('^&#[xX]?0*([0-9A-Fa-f]+);?$')}, 1)"
+    number = (
+        f"CASE WHEN length(dd) > 7 THEN 1114112 WHEN dp rlike {quoted('^&#[xX]')} THEN cast(conv(dd, 16, 10) as int) "
+        "ELSE cast(dd as int) END"
+    )
     char = (
-        "IF(dn BETWEEN 1 AND 55295 OR dn BETWEEN 57344 AND 1114111, "
-        "decode(unhex(lpad(hex(dn), 8, '0')), 'UTF-32'), dp)"
+        f"CASE WHEN dn BETWEEN 128 AND 159 THEN substring({quoted(_WINDOWS)}, dn - 127, 1) "
+        "WHEN dn = 0 OR dn BETWEEN 55296 AND 57343 OR dn > 1114111 THEN '�' "
+        "WHEN dn < 9 OR dn = 11 OR dn BETWEEN 14 AND 31 OR dn = 127 OR dn BETWEEN 64976 AND 65007 "
+        "OR dn % 65536 > 65533 THEN '' "
+        "ELSE decode(unhex(lpad(hex(dn), 8, '0')), 'UTF-32') END"
     )
+    numeric = let_sql(let_sql(digits, "dd", number), "dn", char)
+    names = "named_struct('name', IF(endswith(dp, ';'), dp, concat(dp, ';')), 'rest', '')"
+    if not attribute:  # a known name at the start of an unknown one
+        names += ", named_struct('name', concat(dl, ';'), 'rest', substring(dp, length(dl) + 1))"
+    found = f"transform(array({names}), dc -> concat(try_element_at({_NAMED}, dc.name), dc.rest))"
+    named = let_sql(f"regexp_extract(dp, {quoted('^' + _LEGACY)}, 0)", "dl", f"coalesce(get(array_compact({found}), 0), dp)")
     piece = (
-        f"CASE WHEN startswith(dp, '&#') THEN {let_sql(code, 'dn', char)} "
-        f"WHEN startswith(dp, '&') AND length(dp) > 1 THEN coalesce(try_element_at({_NAMED}, dp), dp) ELSE dp END"
+        f"CASE WHEN startswith(dp, '&#') AND length(dp) > 2 THEN {numeric} "
+        f"WHEN startswith(dp, '&') AND length(dp) > 1 THEN {named} ELSE dp END"
     )
-    pieces = matches_sql(x, r"&#?[A-Za-z0-9]+;|[^&]+|&")
+    legacy = _LEGACY + (r"(?![=A-Za-z0-9])" if attribute else "")
+    pieces = matches_sql(x, rf"&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[A-Za-z][A-Za-z0-9]*;|{legacy}|[^&]+|&")
     return f"IF(contains({x}, '&'), array_join(transform({pieces}, dp -> {piece}), ''), {x})"
 
 
@@ -122,7 +144,27 @@ def attribute_sql(x: str, name: str) -> str:
     at = f"cast(array_position(transform({matches_sql('av', shape, 1)}, an -> lower(an)), {quoted(name)}) as int)"
     raw = let_sql(x, "av", let_sql(at, "ai", f"IF(ai > 0, get({matches_sql('av', shape, 2)}, ai - 1), NULL)"))
     bare = "regexp_replace({}, {}, '$2')".format(raw, quoted(r"""(?s)^(["'])(.*)\1$"""))
-    return let_sql(bare, "ad", decode_sql("ad"))
+    return let_sql(bare, "ad", decode_sql("ad", attribute=True))
+
+
+def element_sql(x: str, cls: str, tag: str = "[a-z][a-z0-9]*") -> str:
+    """Markup inside the first element of a class, up to its own closing tag; null without one.
+
+    The text from the opening tag on is cut ahead of every tag of that name, and one
+    pass counts the depth.  An element that is never closed reaches to the end.
+    """
+    value = rf"""(?:"(?:[^"]*\s)?{cls}(?:\s[^"]*)?"|'(?:[^']*\s)?{cls}(?:\s[^']*)?'|{cls}(?=[\s/>]))"""
+    opening = rf"(?is)<{tag}(?=\s)[^>]*?\sclass\s*=\s*{value}[^>]*>"
+    rest = f"nullif(regexp_extract({x}, {quoted(opening + '.*')}, 0), '')"
+    own = f"regexp_extract(er, {quoted('^<([A-Za-z0-9]+)')}, 1)"
+    cuts = f"split(er, concat({quoted('(?i)(?=</?')}, {own}, {quoted(r'[\s/>])')}))"
+    depth = f"""
+        aggregate(ep, named_struct('depth', 0, 'n', 0), (acc, p) -> IF(acc.n > 0 AND acc.depth = 0, acc, named_struct(
+          'depth', acc.depth + CASE WHEN startswith(p, '</') THEN -1 WHEN p rlike '^<[^>]*/>' THEN 0 ELSE 1 END,
+          'n', acc.n + 1)))"""
+    mine = "array_join(IF(ed.depth = 0, slice(ep, 1, greatest(ed.n - 1, 0)), ep), '')"
+    inner = f"regexp_replace({mine}, {quoted(f'(?is)^{TAG}')}, '')"
+    return let_sql(rest, "er", let_sql(cuts, "ep", let_sql(depth, "ed", inner)))
 
 
 def class_list_sql(x: str) -> str:

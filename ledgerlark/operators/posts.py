@@ -44,8 +44,7 @@ def extract_board_items(pages: DataFrame, html: str = "html") -> DataFrame:
     row = row.select(*keep, (F.col("_at") + 1).alias("pos"), M.all_matches(F.col("_row"), M.CELL).alias("_c"))
 
     def classed(cell: Column, name: str) -> Column:
-        shape = rf"(?is)<([a-z][a-z0-9]*)\b[^>]*class=[\"'](?:[^\"']*\s)?{name}(?:\s[^\"']*)?[\"'][^>]*>(.*?)</\1\s*>"
-        return F.get(M.all_matches(cell, shape, 2), 0)
+        return M.applied(cell, "bc", M.element_sql("bc", name))
 
     c = F.col("_c")
     title = F.get(M.link_array(classed(F.get(c, 2), "title")), 0)

@@ -456,11 +456,10 @@ def batch_status(results: DataFrame) -> DataFrame:
 
 
 def total_pages(html: Column) -> Column:
-    """Largest number among the links of the pagination block, else ``共N页``, else 1."""
+    """Largest number among the links of the pagination block, else ``共N页`` of a text node, else 1."""
 
     def block(text: Column, name: str) -> Column:
-        shape = rf"(?is)<div(?=[\s>])[^>]*class=[\"'](?:[^\"']*\s)?{name}(?:\s[^\"']*)?[\"'][^>]*>(.*?)</div\s*>"
-        return F.nullif(F.regexp_extract(text, shape, 1), F.lit(""))
+        return M.applied(text, "pb", M.element_sql("pb", name, "div"))
 
     def by_links(links: Column) -> Column:
         top = F.array_max(M.mapped(links, "x", f"try_cast({M.node_text_sql('x')} as int)"))
@@ -468,7 +467,8 @@ def total_pages(html: Column) -> Column:
 
     def counted(text: Column) -> Column:
         anchors = M.all_matches(F.coalesce(block(text, "pagination"), block(text, "page")), M.LINK)
-        stated = F.nullif(F.regexp_extract(text, r"共(\d+)页", 1), F.lit("")).try_cast("int")
+        named = F.filter(M.applied(text, "pt", M.text_nodes_sql("pt")), lambda t: t.rlike(r"共\d+页"))
+        stated = F.nullif(F.regexp_extract(F.get(named, 0), r"共(\d+)页", 1), F.lit("")).try_cast("int")
         return F.coalesce(_bind(anchors, by_links), stated, F.lit(1))
 
     return _bind(M.visible(html), counted)
@@ -477,12 +477,15 @@ def total_pages(html: Column) -> Column:
 def total_pages_by_index(html: Column, max_pages: int | None = None) -> Column:
     """Click variant: largest digit text of ``a[data-pi]`` in ``.paginator-ul``; capped."""
     text = M.visible(html)
-    shape = r"(?is)<ul(?=[\s>])[^>]*class=[\"'][^\"']*\bpaginator-ul\b[^>]*>(.*?)</ul\s*>"
     indexed = F.expr(f"x -> {M.attribute_sql(M.open_tag_sql('x'), 'data-pi')} IS NOT NULL")
-    anchors = F.call_function("filter", M.all_matches(F.regexp_extract(text, shape, 1), M.LINK), indexed)
     digits = M.let_sql(M.node_text_sql("x"), "y", "IF(y rlike '^[0-9]+$', try_cast(y as int), NULL)")
-    top = F.greatest(F.coalesce(F.array_max(M.mapped(anchors, "x", digits)), F.lit(1)), F.lit(1))
-    found = F.when(text.rlike(shape), top).otherwise(F.lit(max_pages or 5))
+
+    def largest(block: Column) -> Column:
+        anchors = F.call_function("filter", M.all_matches(block, M.LINK), indexed)
+        top = F.greatest(F.coalesce(F.array_max(M.mapped(anchors, "x", digits)), F.lit(1)), F.lit(1))
+        return F.when(block.isNotNull(), top).otherwise(F.lit(max_pages or 5))
+
+    found = _bind(M.applied(text, "pb", M.element_sql("pb", "paginator-ul", "ul")), largest)
     return found if max_pages is None else F.least(found, F.lit(max_pages))
 
 
