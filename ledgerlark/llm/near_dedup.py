@@ -20,11 +20,14 @@ weighted Jaccard similarity, sum of minima over sum of maxima of the counts, is
    everybody.  The hub is the member with the most company in all of its buckets,
    which in a group of edited copies is what they were copied from.  Verified links
    are merged into components; buckets that still hold several components get their
-   next two hubs, then four, and so on until a round over all of them finds nothing
-   more to merge.  A pair that the buckets of one band do not compare has its other
-   bands: at 0.8 two texts meet in ten buckets on average, each with hubs of its own.
-   A round costs as many comparisons a member as it has hubs, and texts of one
-   component are not compared, so a large group of copies stays linear.
+   next four hubs, then sixteen, and so on.  A bucket is done when it holds one
+   component or when all of its members have been hubs, so no pair that shares a
+   bucket is left out.  Texts of one component are not compared, so a large group of
+   copies stays linear.
+5. From the second round on pairs are pruned before their bags are fetched, and only
+   where they cannot be linked: at similarity t, bags of x and y shingles differ in
+   at most (x + y) (1 - t) / (1 + t) of them, and the bits in which their ``PARITY``
+   sketches (each shingle flips one bit) differ are no more than that.
 
 A document without words (null, empty or blank text) is a class of its own.
 Rows without doc_id are left out of the result: a class cannot name them.  Rows
@@ -50,6 +53,8 @@ WIDTH = 5
 THRESHOLD = 0.8
 BANDS = 32
 ROWS = 5
+PARITY = 16  # words of 64 bits
+GROWTH = 4
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -116,6 +121,23 @@ def band_keys(registers: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key
 
 
+def parities(hashes: np.ndarray, owner: np.ndarray, weight: np.ndarray, n_texts: int) -> np.ndarray:
+    """Sketches (n_texts, PARITY): each shingle of a bag flips one bit."""
+    odd = weight % 2 == 1
+    bit = mix(hashes[odd] ^ _GOLD) % np.uint64(64 * PARITY)
+    out = np.zeros(n_texts * PARITY, np.uint64)
+    at = owner[odd] * PARITY + (bit // np.uint64(64)).astype(np.int64)
+    np.bitwise_xor.at(out, at, np.uint64(1) << (bit % np.uint64(64)))
+    return out.reshape(n_texts, PARITY)
+
+
+def _may_link(threshold: float) -> str:
+    """Condition that every pair at the threshold meets; of sizes x, y and sketches p, q."""
+    differ = " + ".join(f"bit_count(p[{i}] ^ q[{i}])" for i in range(PARITY))
+    most = (1 - threshold) / (1 + threshold) + 1e-9
+    return f"least(x, y) >= {threshold - 1e-9}D * greatest(x, y) AND {differ} <= {most}D * (x + y)"
+
+
 def _sign(bands: int, rows: int, width: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,15 +148,21 @@ def _sign(bands: int, rows: int, width: int):
                 first = {d: i for i, d in reversed(list(enumerate(digests))) if d is not None}
                 at = sorted(first.values())
                 chosen = [texts[i] for i in at]
-                keys = band_keys(signatures(*bags(chosen, width), len(chosen), bands * rows), bands, rows)
-                signed = {digests[i]: keys[k].tobytes() for k, i in enumerate(at)}
+                bag = bags(chosen, width)
+                keys = band_keys(signatures(*bag, len(chosen), bands * rows), bands, rows)
+                sizes = np.bincount(bag[1], bag[2], len(chosen)).astype(np.int64).tolist()
+                sketches = parities(*bag, len(chosen)).view(np.int64).tolist()
+                signed = {digests[i]: (keys[k].tobytes(), sizes[k], sketches[k]) for k, i in enumerate(at)}
+                of = [signed.get(d, (None, None, None)) for d in digests]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(part.schema.get_field_index("doc_id")),
                         pa.array(digests, pa.binary()),
-                        pa.array([signed.get(d) for d in digests], pa.binary()),
+                        pa.array([s[0] for s in of], pa.binary()),
+                        pa.array([s[1] for s in of], pa.int64()),
+                        pa.array([s[2] for s in of], pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "digest", "keys"],
+                    names=["doc_id", "digest", "keys", "size", "parity"],
                 )
 
     return sign
@@ -196,13 +224,24 @@ def near_classes(
     """(doc_id, class_id, class_size): one row for each document; the class is its smallest doc_id."""
     docs = docs.select("doc_id", "text").filter("doc_id IS NOT NULL")
     signed = landed(
-        docs.mapInArrow(_sign(bands, rows, width), "doc_id bigint, digest binary, keys binary"), "signed"
+        docs.mapInArrow(
+            _sign(bands, rows, width), "doc_id bigint, digest binary, keys binary, size bigint, parity array<bigint>"
+        ),
+        "signed",
     )
     # One node for each run of words; ids of several runs of words hang on one of them.
     one = signed.groupBy("doc_id").agg(F.min("digest").alias("digest"))
     nodes = signed.filter("digest IS NOT NULL").groupBy("digest").agg(
         F.min("doc_id").alias("id"), F.min("keys").alias("keys")
     )
+    # An id that stands for several runs of words has no sketch.
+    sketches = signed.filter("digest IS NOT NULL").join(
+        nodes.select("digest", F.col("id").alias("doc_id")), ["digest", "doc_id"], "left_semi"
+    )
+    single = F.min("digest") == F.max("digest")
+    sketches = sketches.groupBy(F.col("doc_id").alias("id")).agg(
+        F.when(single, F.min("size")).alias("x"), F.when(single, F.min("parity")).alias("p")
+    )
     key = F.expr(f"transform(sequence(0, {bands - 1}), i -> hex(substring(keys, 8 * i + 1, 8)))")
     members = nodes.select("id", F.explode(key).alias("k")).select("id", F.xxhash64("k").alias("key"))
     shared = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
@@ -219,18 +258,33 @@ def near_classes(
     bag_of = lambda name: bags_.select(F.col("id").alias(name), F.col("bag").alias(f"bag_{name}"))
     found = company.select("id", F.col("id").alias("c"))
     order = Window.partitionBy("key").orderBy(F.desc("company"), "id")
+    members = members.withColumn("r", F.row_number().over(order))
     tested, first, last = None, 1, 1
     while True:
         now = members.join(found, "id")
-        if tested is not None:
-            mixed = now.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y")
+        if tested is None:
+            may_link = F.lit(True)
+            now = now.withColumn("x", F.lit(None)).withColumn("p", F.lit(None))
+        else:
+            # A bucket of one component stays one; one whose members have all been hubs is done.
+            mixed = now.groupBy("key").agg(F.min("c").alias("b"), F.max("c").alias("d"), F.max("r").alias("n"))
+            mixed = mixed.filter(f"b <> d AND n > {first}")
             now = landed(now.join(mixed.select("key"), "key", "left_semi"), "mixed")
-            members = now.drop("c")  # a bucket of one component stays one
-        hubs = now.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= last).filter(F.col("r") >= first)
-        hubs = hubs.select(F.col("key").alias("k"), F.col("id").alias("h"), F.col("c").alias("hc"))
-        # A pair's components are those of its smaller and its larger id.
+            members = now.drop("c")
+            if now.isEmpty():
+                break
+            now = now.join(sketches, "id")
+            may_link = F.expr(f"p IS NULL OR q IS NULL OR ({_may_link(threshold)})")
+        hubs = now.filter(F.col("r").between(first, last)).select(
+            F.col("key").alias("k"), F.col("id").alias("h"), F.col("c").alias("hc"), F.col("r").alias("hr"),
+            F.col("x").alias("y"), F.col("p").alias("q"),
+        )
+        # Who was a hub before has been compared.  A pair's components are those of its smaller and its larger id.
         pairs = (
-            now.join(hubs, (F.col("key") == F.col("k")) & (F.col("c") != F.col("hc")))
+            now.join(
+                hubs,
+                (F.col("key") == F.col("k")) & (F.col("r") > F.col("hr")) & (F.col("c") != F.col("hc")) & may_link,
+            )
             .select(
                 F.least("id", "h").alias("a"),
                 F.greatest("id", "h").alias("b"),
@@ -248,17 +302,16 @@ def near_classes(
             ),
             "verified",
         )
-        if new.isEmpty():
-            break
         tried = pairs.select("a", "b")
         tested = tried if tested is None else tested.union(tried)
-        # Links join components, not nodes: later rounds merge the few that are left.
-        merged = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-        merged = merged.select(F.col("id").alias("c"), "component")
-        found = landed(
-            found.join(merged, "c", "left").select("id", F.coalesce("component", "c").alias("c")), "found"
-        )
-        first, last = last + 1, 2 * last + 1
+        if not new.isEmpty():
+            # Links join components, not nodes: later rounds merge the few that are left.
+            merged = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+            merged = merged.select(F.col("id").alias("c"), "component")
+            found = landed(
+                found.join(merged, "c", "left").select("id", F.coalesce("component", "c").alias("c")), "found"
+            )
+        first, last = last + 1, last + GROWTH * (last - first + 1)
     of_digest = nodes.select("digest", "id").join(found, "id", "left")
     of_digest = of_digest.select("digest", F.coalesce("c", "id").alias("class_id"))
     classed = one.join(of_digest, "digest", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))

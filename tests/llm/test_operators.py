@@ -265,6 +265,30 @@ def test_near_classes_against_brute_force(spark):
     assert all(r["class_size"] == sizes[r["class_id"]] for r in got) and len(got) == len(rows)
 
 
+def test_near_pairs_behind_hubs_without_links(spark):
+    base = prose(80, 60)
+    texts = [base + " " + prose(81 + k, 25) for k in range(60)]
+    key = lambda t: int(near_dedup.band_keys(near_dedup.signatures(*near_dedup.bags([t.encode()]), 1, 1), 1, 1)[0, 0])
+    common, n = collections.Counter(map(key, texts)).most_common(1)[0]
+    texts = [t for t in texts if key(t) == common]
+    twin = next(t for t in (f"{texts[-1].rsplit(' ', 1)[0]} twin{i}" for i in range(50)) if key(t) == common)
+    rows = list(enumerate([*texts, twin], 1))  # the two that are linked come last
+    assert n >= 20
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_classes(docs_of(spark, rows), bands=1, rows=1).collect()}
+    want = brute_classes(rows)
+    assert want[n + 1] == n and got == want
+
+
+def test_sketches_differ_in_no_more_bits_than_bags():
+    texts = [edited(prose(70, 300) + " one" * 20, k, 3 * k) for k in range(12)]
+    sketches = near_dedup.parities(*near_dedup.bags([t.encode() for t in texts]), len(texts))
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts[:i]):
+            x, y = bag(a), bag(b)
+            bits = sum(int(v).bit_count() for v in sketches[i] ^ sketches[j])
+            assert bits <= sum(((x - y) + (y - x)).values())
+
+
 def test_near_classes_of_nothing_and_of_lone_texts(spark):
     assert near_dedup.near_classes(docs_of(spark, [])).count() == 0
     lone = near_dedup.near_classes(docs_of(spark, [(1, None), (2, ""), (3, prose(1, 30))])).collect()
