@@ -17,8 +17,10 @@ lines except those of the largest ``doc_id`` that holds the key.
 3. Documents probe the arrays.  If all shards together stay below
    ``broadcast_limit`` (their written size is summed first), each task probes
    them in memory and no text is shuffled.  Beyond that, compact probes of each
-   document meet their shard in a co-grouped task, salted by document so that no
-   line and no shard becomes one task, and only the hits return to the documents.
+   document meet their shard in a co-grouped task, salted by row so that no line
+   and no shard becomes one task, and only the hits return to the documents.  A row
+   is named by its doc_id and a digest of its text, for rows may share an id or have
+   none; rows equal in both lose the same lines and are probed once.
 
 Every row is a document.  Rows without doc_id count too; one of them keeps a
 line only if no row with an id holds it (then all of them keep it).  Rows that
@@ -273,7 +275,8 @@ def _line_probes(n_shards: int, min_chars: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
+            columns = batch.column(0).to_pylist(), as_bytes(batch.column(1)), batch.column(2).to_pylist()
+            for doc, text, name in zip(*columns, strict=True):
                 by_shard: dict[int, list[tuple[int, int]]] = {}
                 for i, key in line_keys(text, min_chars):
                     high = int.from_bytes((key >> 64).to_bytes(8, "little"), "little", signed=True)
@@ -281,9 +284,9 @@ def _line_probes(n_shards: int, min_chars: int):
                 for shard, lines in by_shard.items():
                     low, high = _halves([k for _, k in lines])
                     at = np.array([i for i, _ in lines], np.int64)
-                    rows.append((shard, doc, at.tobytes(), low.tobytes(), high.tobytes()))
-            names = ["shard", "doc_id", "at", "low", "high"]
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+                    rows.append((shard, doc, name, at.tobytes(), low.tobytes(), high.tobytes()))
+            names = ["shard", "doc_id", "row", "at", "low", "high"]
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names
             )
@@ -302,8 +305,8 @@ def _probe_shard(probes: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
             doc = _NO_DOC if pd.isna(p.doc_id) else int(p.doc_id)
             lines = np.frombuffer(p.at, np.int64)[inside & (keeper != doc)]
             if len(lines):
-                found.append((None if doc == _NO_DOC else doc, lines.tolist()))
-    return pd.DataFrame(found, columns=["doc_id", "lines"]).astype({"doc_id": "Int64"})
+                found.append((p.row, lines.tolist()))
+    return pd.DataFrame(found, columns=["row", "lines"])
 
 
 def _drop_listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,7 +326,7 @@ def dedup_lines(
 ) -> DataFrame:
     """All columns of ``docs`` (doc_id, text, ...) with n_lines, n_dropped and kept_text."""
     spark = docs.sparkSession
-    docs = docs.drop(*(n for n, _ in _KEPT), "_lines")
+    docs = docs.drop(*(n for n, _ in _KEPT), "_lines", "_row")
     index, n_shards = build_index(repeated_lines(docs, min_docs, min_chars), shard_keys)
     added = [
         T.StructField("n_lines", T.LongType()),
@@ -336,22 +339,25 @@ def dedup_lines(
     if size <= broadcast_limit:
         held = {r["shard"]: (r["n_keys"], *(bytes(r[c]) for c in arrays)) for r in index.toLocalIterator()}
         return docs.mapInArrow(_probe_in_task(spark.sparkContext.broadcast(held), n_shards, min_chars), schema)
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))
+    name = F.concat_ws(":", F.md5(F.coalesce("text", F.lit(""))), "doc_id")
+    named = docs.withColumn("_row", name)
     probes = (
-        docs.select("doc_id", "text")
+        named.select("doc_id", "text", "_row")
         .mapInArrow(
-            _line_probes(n_shards, min_chars), "shard bigint, doc_id bigint, at binary, low binary, high binary"
+            _line_probes(n_shards, min_chars),
+            "shard bigint, doc_id bigint, row string, at binary, low binary, high binary",
         )
-        .withColumn("salt", salt)
+        .dropDuplicates(["shard", "row"])
+        .withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)))
     )
     salted = index.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
     hits = (
         probes.groupBy("shard", "salt")
         .cogroup(salted.groupBy("shard", "salt"))
-        .applyInPandas(lambda p, s: _probe_shard(p, s), "doc_id bigint, lines array<bigint>")
+        .applyInPandas(lambda p, s: _probe_shard(p, s), "row string, lines array<bigint>")
     )
-    lines = hits.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("lines").alias("_lines"))
-    joined = docs.join(lines, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    lines = hits.groupBy(F.col("row").alias("_row")).agg(F.collect_list("lines").alias("_lines"))
+    joined = named.join(lines, "_row", "left").select(*(named[f"`{n}`"] for n in docs.columns), "_lines")
     return joined.mapInArrow(_drop_listed, schema)
 
 

@@ -147,6 +147,20 @@ def test_line_dedup_null_ids_clashing_columns_and_empty(spark):
     assert line_dedup.dedup_lines(docs_of(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("limit", [line_dedup.BROADCAST_LIMIT, 0])
+def test_line_dedup_judges_rows_of_one_id_and_of_none_by_themselves(spark, limit):
+    line = "a line that is long enough to be looked at by the rule"
+    rows = [(None, f"{line}\nalpha"), (None, f"beta\n{line}"), (None, "gamma\ndelta"), (None, f"beta\n{line}")]
+    rows += [(1, f"{line}\nepsilon"), (1, f"zeta\n{line}"), (1, "eta\ntheta"), (1, None), (2, line), (3, line)]
+    docs = docs_of(spark, rows)
+    got = line_dedup.dedup_lines(docs, broadcast_limit=limit, shard_keys=2)
+    assert got.columns[:2] == docs.columns
+    want = [("" if t is None else t) if d == 3 else "\n".join(x for x in (t or "").split("\n") if x != line) for d, t in rows]
+    key = lambda r: (r[0] or 0, *r[1:])
+    found = [(r["doc_id"], r["text"] or "", r["kept_text"]) for r in got.collect()]
+    assert sorted(found, key=key) == sorted(((d, t or "", k) for (d, t), k in zip(rows, want, strict=True)), key=key)
+
+
 def test_perfect_hash_has_no_gap_and_no_clash():
     for n in (1, 2, 3, 50, 5000):
         low = texts.mix(np.arange(n, dtype=np.uint64))
