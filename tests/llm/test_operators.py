@@ -398,6 +398,24 @@ def test_toxicity_on_the_held_out_fold(spark):
     assert toxicity.score(docs.limit(0), known).count() == 0
 
 
+def test_short_and_wholly_toxic_texts_are_toxic(spark):
+    bad = ["scoundrel", "scoundrels", "wretch"]
+    rows, labels = labelled_rows(400, lambda w, i: w[:20] + [bad[i // 3 % 3]] + w[20:40] + [bad[(i // 3 + 1) % 3]] + w[40:])
+    dense = ["wretch", "scoundrel scoundrel scoundrel", "wretch scoundrels " * 30, f"wretch wretch {prose(5, 1)}"]
+    rows += [*((900 + k, t) for k, t in enumerate(dense)), (950, ""), (951, prose(6, 1)), (952, prose(7, 60))]
+    known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs_of(spark, rows), known).collect()}
+    assert all(got[900 + k] >= 0.5 for k in range(len(dense))) and all(got[950 + k] < 0.5 for k in range(3))
+
+
+def test_toxic_raw_scores_count_evidence_for_either_class():
+    stem = toxicity.stems([b"wretch kindly"])[0]
+    models = toxicity.Models(stem, np.array([5.0, -5.0], np.float32), 0.5, 0.5)
+    raw = toxicity.raw_scores(models, [b"wretch", b"", b"other words", b"kindly", b"wretch kindly"])
+    beyond = 4.5 - toxicity.DEAD_ZONE, -5.5 + toxicity.DEAD_ZONE
+    assert raw.tolist() == [beyond[0], 0, 0, beyond[1], sum(beyond) / 2]
+
+
 def test_toxic_models_sum_to_one(spark):
     rows, labels = labelled_rows(60, lambda w, i: [*w, "wretch"])
     docs = docs_of(spark, rows)
