@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.llm import (
     decontaminate,
+    embedding_dedup,
     fill_in_middle,
     hard_negatives,
     line_dedup,
@@ -228,3 +229,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@query("op13_embedding_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", kept.alias("kept"))

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 BLOCK_ROWS = 4096
 BLOCK_BYTES = 4 << 20
-GROUP_BLOCKS = 8
+GROUP_BLOCKS = 32
+LEAST_GROUPS = 8
 
 
 def matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,8 +78,9 @@ def numbered_blocks(batches: Iterator[pa.RecordBatch], make: Callable, limit: in
 
 def met(blocks: DataFrame, parts: DataFrame, n_parts: int, work: Callable, schema: str) -> DataFrame:
     """``work(blocks, part)`` over Arrow tables of every part (column ``part``, 0 to ``n_parts`` - 1) and every group of
-    about ``GROUP_BLOCKS`` blocks (column ``block``)."""
-    n_groups = max(1, -(-blocks.count() // GROUP_BLOCKS))
+    about ``GROUP_BLOCKS`` blocks (column ``block``); of fewer where there would be less than ``LEAST_GROUPS`` pairs."""
+    n_blocks = blocks.count()
+    n_groups = max(1, -(-n_blocks // GROUP_BLOCKS), min(n_blocks, -(-LEAST_GROUPS // n_parts)))
     dealt = blocks.withColumn("deal", F.pmod(F.xxhash64("block"), F.lit(n_groups)).cast("int"))
     dealt = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
     copied = parts.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))))
