@@ -39,34 +39,40 @@ def ffill(
     return out.withColumn(col, filled).drop("_filled")
 
 
-def ffill_rows(data: Column, date_col: Column) -> Column:
+def ffill_rows(data: Column, date_col: Column, before: Column | None = None, blank: str = "trim") -> Column:
     """Forward fill of one column inside a table's row array.
 
-    Gaps are blank or white-space cells; the running value is carried by a fold
-    over the table's own rows.
+    Gaps are blank cells (``blank='empty'``: only ``''``, else also white space).  Each known
+    cell is repeated up to the next one, so the work is linear in the rows.  Gaps ahead
+    of the first known cell take ``before``, the last value of what precedes the table;
+    without one they stay as they are.
     """
-    empty = F.array().cast("array<array<string>>")
-    start = F.struct(F.lit(None).cast("string").alias("last"), empty.alias("rows"))
-
-    def step(acc: Column, row: Column, at: Column) -> Column:
-        cell = F.get(row, at)
-        value = F.coalesce(F.when(blank_to_null(cell).isNotNull(), cell), acc["last"])
-        return F.get(
-            F.transform(F.array(value), lambda known: F.struct(
-                known.alias("last"),
-                F.concat(
-                    acc["rows"],
-                    F.array(F.transform(row, lambda c, i: F.when(i == at, F.coalesce(known, c)).otherwise(c))),
-                ).alias("rows"),
-            )),
-            0,
-        )
-
-    filled = F.transform(
-        F.array(date_col),
-        lambda at: F.aggregate(data, start, lambda acc, row: step(acc, row, at), lambda acc: acc["rows"]),
-    )
-    return F.get(filled, 0)
+    known_only = blank_to_null if blank == "trim" else (lambda c: F.nullif(c, F.lit("")))
+    start = F.struct(F.lit(0).alias("i"), (F.lit(None) if before is None else before).cast("string").alias("c"))
+
+    def bound(value: Column, body) -> Column:
+        return F.get(F.transform(F.array(value), body), 0)
+
+    def filled(at: Column) -> Column:
+        placed = F.transform(data, lambda row, i: F.struct(i.alias("i"), F.get(row, at).alias("c")))
+        known = F.filter(placed, lambda x: known_only(x["c"]).isNotNull())
+        return bound(F.concat(F.array(start), known), lambda ks: bound(values(ks), lambda vs: rows(vs, at)))
+
+    def values(known: Column) -> Column:
+        upto = lambda k: F.coalesce(F.get(known, k + 1)["i"], F.size(data))
+        return F.flatten(F.transform(known, lambda x, k: F.array_repeat(x["c"], upto(k) - x["i"])))
+
+    def rows(values_: Column, at: Column) -> Column:
+        cell = lambda c, i, k: F.when(k == at, F.coalesce(F.get(values_, i), c)).otherwise(c)
+        return F.transform(data, lambda row, i: F.transform(row, lambda c, k: cell(c, i, k)))
+
+    return bound(date_col, filled)
+
+
+def last_filled(data: Column, date_col: Column) -> Column:
+    """The last cell of a column that is not blank, null without one: what a table hands on to the next."""
+    known = F.filter(F.transform(data, lambda row: F.get(row, date_col)), lambda c: blank_to_null(c).isNotNull())
+    return F.get(F.reverse(known), 0)
 
 
 def date_column(header: Column) -> Column:

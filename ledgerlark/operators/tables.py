@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import markup as M
 from ledgerlark.functions.text import label_classes, resolve_url, safe_filename
+from ledgerlark.operators import cleaning
 from ledgerlark.plans import chunked
 from ledgerlark.plans.emit import each
 
@@ -379,6 +380,72 @@ def merge_pages(
     )
 
 
+def merged_pages(
+    tables: DataFrame, stock: str = "stock_code", page: str = "page", pages_per_chunk: int = 4096
+) -> DataFrame:
+    """The merged table of each stock, its dates filled across pages, still one row a page.
+
+    (stock, page, row_no, header, rows): ``rows`` are the page's data rows, the first of
+    them number ``row_no`` of the stock (from 0, the header not counted).  The first row
+    of all pages together is the header: page 1 keeps its first row, later pages lose
+    theirs, so without page 1 a data row takes that place.  Dates are filled in the first
+    column named after a date, or the first of all, where the header or the first data row
+    speaks of announcement times.
+
+    A page reduces to its number of rows and its last known date; prefixes of both over
+    the pages of a stock are joined back, and rows are filled inside their page.
+    ``tables`` holds one table per (stock, page), read several times.
+    """
+    first = F.when(F.col(page) == 1, 1).otherwise(2)
+    kept = F.slice("data", first, F.greatest(F.size("data") - first + 1, F.lit(0)))
+    pages = tables.select(stock, page, kept.alias("_rows"))
+    order, chunk = [F.col(page)], chunked.dense_chunk(F.col(page), pages_per_chunk)
+    upto = chunked.running_sum(
+        pages.select(stock, page, F.size("_rows").alias("_n")), [stock], order, chunk, F.col("_n"), "_upto"
+    )
+    offsets = upto.select(stock, page, (F.col("_upto") - F.col("_n")).cast("int").alias("_off"))
+    pages = pages.join(offsets, [stock, page])
+    row = lambda k: F.max(F.get("_rows", F.lit(k) - F.col("_off")))  # noqa: E731  one page holds it
+    heads = pages.filter(F.col("_off") <= 1).groupBy(stock).agg(row(0).alias("header"), row(1).alias("_first"))
+    heads = heads.withColumn("_fill", cleaning.wants_date_fill(F.lit(MERGED_TITLE), F.col("header"), F.array("_first")))
+    heads = heads.withColumn("_at", cleaning.date_column(F.col("header"))).drop("_first")
+    pages = pages.join(heads, stock)
+    # The header's page hands on no date of the header.
+    body = F.when((F.col("_off") == 0) & (F.size("_rows") > 0), F.expr("slice(_rows, 2, size(_rows))")).otherwise(F.col("_rows"))
+    pages = pages.withColumn("_body", body)
+    last = F.when(F.col("_fill"), cleaning.last_filled(F.col("_body"), F.col("_at")))
+    carried = chunked.last_known(
+        pages.select(stock, page, last.alias("_last")), [stock], order, chunk, F.col("_last"), "_before", own=False
+    )
+    pages = pages.join(carried.select(stock, page, "_before"), [stock, page])
+    filled = cleaning.ffill_rows(F.col("_body"), F.col("_at"), F.col("_before"))
+    return pages.select(
+        stock,
+        page,
+        F.greatest(F.col("_off") - 1, F.lit(0)).alias("row_no"),
+        "header",
+        F.when(F.col("_fill"), filled).otherwise(F.col("_body")).alias("rows"),
+    )
+
+
+def csv_line(row: Column) -> Column:
+    """One line of a CSV file: cells with a comma, a quote or a line break are quoted, quotes doubled."""
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    cell = lambda c: F.when(c.rlike("[,\"\r\n]"), quoted(c)).otherwise(F.coalesce(c, F.lit("")))
+    return F.array_join(F.transform(row, cell), ",")
+
+
+def merged_lines(merged: DataFrame, stock: str = "stock_code", page: str = "page") -> DataFrame:
+    """(stock, line_no, line): the merged tables of :func:`merged_pages` as CSV lines, the header as line 0."""
+    lines = F.transform("rows", csv_line)
+    head = (F.col("row_no") == 0) & ((F.size("rows") > 0) | (F.col(page) == 1)) & F.col("header").isNotNull()
+    body = merged.select(stock, "row_no", F.posexplode(lines).alias("_i", "line"))
+    body = body.select(stock, (F.col("row_no") + F.col("_i") + 1).alias("line_no"), "line")
+    # Several pages may stand at row 0 (those without rows): the header is written once.
+    header = merged.filter(head).groupBy(stock).agg(F.max("header").alias("_h"))
+    return header.select(stock, F.lit(0).alias("line_no"), csv_line(F.col("_h")).alias("line")).union(body)
+
+
 def summarize_tables(tables: DataFrame, keys: list[str], at: Column, filenames: bool = True) -> DataFrame:
     """Per page: total_tables, timestamp, and the tables' descriptions as JSON.
 
@@ -428,8 +495,14 @@ def stock_results(pages: DataFrame, keys: list[str], mode: str = "aligned", html
     )
 
 
+def merged_file(code: Column) -> tuple[Column, Column]:
+    """(folder, file) of a stock's merged table."""
+    folder = F.concat(F.lit("financial/"), code)
+    return folder, F.concat(folder, F.lit("/"), safe_filename(F.lit(MERGED_INDEX), F.lit(MERGED_TITLE), True))
+
+
 def multi_page_results(requested: DataFrame, merged_counts: DataFrame) -> DataFrame:
-    """Per stock: total_pages, successful_pages, total_rows.
+    """Per stock: total_pages, successful_pages, total_rows, saved_file, base_dir; a failed stock has neither of these.
 
     ``requested`` has (stock_code, total_pages); ``merged_counts`` one row per
     page read with its row count after the header skip.
@@ -438,12 +511,15 @@ def multi_page_results(requested: DataFrame, merged_counts: DataFrame) -> DataFr
         F.count("*").alias("successful_pages"), F.sum("n_rows").alias("total_rows")
     )
     ok = F.coalesce(F.col("total_rows") > 0, F.lit(False))
+    folder, file = merged_file(F.col("stock_code"))
     return requested.join(per, "stock_code", "left").select(
         ok.alias("success"),
         "stock_code",
         "total_pages",
         F.coalesce("successful_pages", F.lit(0)).alias("successful_pages"),
         F.coalesce("total_rows", F.lit(0)).alias("total_rows"),
+        F.when(ok, file).alias("saved_file"),
+        F.when(ok, folder).alias("base_dir"),
         F.when(~ok, "所有页面都没有获取到数据").alias("error"),
     )
 

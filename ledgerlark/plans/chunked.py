@@ -90,13 +90,14 @@ def last_known(
     chunk: Column,
     value: Column,
     name: str,
+    own: bool = True,
 ) -> DataFrame:
-    """Last non-null ``value`` at or before this row (forward fill)."""
+    """Last non-null ``value`` at or before this row (forward fill); without ``own``, before it."""
     cut = _cut(df, chunk)
     here = (
         Window.partitionBy(*keys, CHUNK)
         .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow if own else -1)
     )
     newest = F.max_by(value, F.when(value.isNotNull(), F.struct(*order)))
     carries = _prefix(cut, keys, newest, lambda c: F.last(c, ignorenulls=True))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlark.functions.text import venue
 from ledgerlark.operators import cleaning, posts, tables
 from ledgerlark.session import landed
+from ledgerlark.sources import files
 
 
 def board_feed(pages: DataFrame, as_of: datetime | str, days: int = 7, max_pages: int | None = None) -> DataFrame:
@@ -34,17 +35,35 @@ def disclosure_rows(pages: DataFrame, max_pages: int | None = None) -> DataFrame
     return tables.merge_pages(landed(first, "first_tables"))
 
 
+def disclosure_merged(
+    pages: DataFrame, path: str, max_pages: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(lines, results): the merged table of each stock with filled dates, written below ``path``, and what came of it.
+
+    ``lines`` reads the written files back: (stock_code, line).  A stock whose pages
+    hold no table has no file and a failed result.
+    """
+    read = pages if max_pages is None else tables.cap_pages(pages, max_pages)
+    found = tables.first_table(tables.extract_tables(read, "inline", titles=False), ["stock_code", "page"])
+    found = landed(found, "first_tables")
+    files.write_lines(tables.merged_lines(tables.merged_pages(found)), path)
+    requested = read.groupBy("stock_code").agg(F.count("*").alias("total_pages"))
+    skipped = F.when(F.col("page") == 1, 0).otherwise(1)
+    counts = found.select("stock_code", (F.size("data") - skipped).alias("n_rows"))
+    return files.read_lines(pages.sparkSession, path), tables.multi_page_results(requested, counts)
+
+
 def disclosure_tables(pages: DataFrame, mode: str) -> DataFrame:
     """Tables as they are saved: titled, header promoted, dates filled in announcement tables."""
     found = tables.promote_header(tables.extract_tables(pages, mode), mode)
     if mode == "inline":
         wanted = cleaning.wants_date_fill(F.col("title"), F.col("header"), F.col("body"))
-        at = cleaning.date_column(F.col("header"))
+        at, blank = cleaning.date_column(F.col("header")), "trim"
     else:
         named = F.array_position("header", cleaning.DATE_COLUMN).cast("int")
         wanted = F.col("title").contains(cleaning.NOTICE_WORD) & (named > 0)
-        at = named - 1
-    filled = cleaning.ffill_rows(F.col("body"), at)
+        at, blank = named - 1, "empty"
+    filled = cleaning.ffill_rows(F.col("body"), at, blank=blank)
     return found.withColumn("body", F.when(wanted, filled).otherwise(F.col("body")))
 
 

@@ -46,6 +46,21 @@ def write_csv(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "err
     (writer.partitionBy(*by) if by else writer).csv(path)
 
 
+def write_lines(lines: DataFrame, path: str, by: str = "stock_code", order: str = "line_no") -> None:
+    """(by, order, line) as text files, one folder for each value of ``by``, its lines in order.
+
+    Rows are dealt by ranges of (by, order): a large value's lines are spread over several
+    files whose names sort as their lines do, a small one has one file.
+    """
+    out = lines.repartitionByRange(by, order).sortWithinPartitions(by, order).select(by, "line")
+    out.write.mode("errorifexists").partitionBy(by).text(path)
+
+
+def read_lines(spark: SparkSession, path: str, by: str = "stock_code") -> DataFrame:
+    schema = T.StructType([T.StructField("line", T.StringType()), T.StructField(by, T.StringType())])
+    return spark.read.schema(schema).format("text").load(path).select(by, "line")
+
+
 def write_json(df: DataFrame, path: str, by: Sequence[str] = ("stock_code",)) -> None:
     writer = (df.hint("rebalance", *by) if by else df).write.mode("errorifexists")
     (writer.partitionBy(*by) if by else writer).json(path)

@@ -57,18 +57,23 @@ def _union(spark, sf):
 
 
 @query("row_links", FOUND_SQL + """
-SELECT pid, r + CASE WHEN pid % 4 = 1 THEN 1 ELSE 0 END AS row_idx, unnest([0, 1, 2, 3]) AS col_idx,
-  unnest([dated, label, s, p]) AS cell_text, title, href FROM row_links""")
+SELECT pid, 3 AS "index", r + CASE WHEN pid % 4 = 1 THEN 1 ELSE 0 END AS row_idx, unnest([0, 1, 2, 3]) AS col_idx,
+  unnest([dated, label, s, p]) AS cell_text, title, href FROM row_links
+UNION ALL SELECT pid, 1, 0, 0, '首页', '首页', '/' FROM pids""")
 def _row_links(spark, sf):
-    cells = tables.raw_cells(tables.page_tables(found(spark, sf)).filter("index = 3"), ["pid"])
+    cells = tables.raw_cells(tables.page_tables(found(spark, sf)), ["pid"])
     joined = A.row_links(cells, ["pid"])
-    return joined.select("pid", "row_idx", "col_idx", "cell_text", F.col("a.text").alias("title"), F.col("a.href").alias("href"))
+    return joined.select(
+        "pid", "index", "row_idx", "col_idx", "cell_text", F.col("a.text").alias("title"), F.col("a.href").alias("href")
+    )
 
 
 @query("project_order", FOUND_SQL + """
-SELECT date, title, url, '上交所官网' AS source, extraction_method FROM every WHERE m = 0""")
+SELECT date, title, url, '上交所官网' AS source, extraction_method FROM every""")
 def _project(spark, sf):
-    return A.project_announcements(A.keyword_links(found(spark, sf)))
+    pages = found(spark, sf)
+    every = A.union_extractors(A.keyword_links(pages), A.keyword_cells(pages), A.entity_links(pages, entity=ENTITY))
+    return A.project_announcements(every)
 
 
 @query("keyword_filter", """

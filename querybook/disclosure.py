@@ -8,6 +8,7 @@ from ledgerlark.functions import markup as M
 from ledgerlark.functions.text import label_classes, resolve_url, valid_title
 from ledgerlark.operators import cleaning, tables
 from ledgerlark.plans import chunked, flows
+from ledgerlark.session import fresh_path, landed
 from querybook.base import query, table
 from querybook.views import AS_OF, ORDER_ROWS_SQL, PAGE_TITLE_SQL, disclosure_pages
 
@@ -52,30 +53,36 @@ def _inline(spark, sf):
     return tables.table_cells(tables.extract_tables(pages_of(spark, sf), "inline", titles=False), ["pid"])
 
 
-@query("cell_text", WITH + """
-SELECT pid, r + CASE WHEN pid % 4 = 1 THEN 1 ELSE 0 END AS row_idx, unnest([0, 1, 2, 3]) AS col_idx,
+# The cells outside the data rows: two tables of one row, and the third one's header.
+_OTHER_CELLS = """
+  SELECT pid, 1 AS "index", 0 AS row_idx, 0 AS col_idx, '首页' AS text FROM pids
+  UNION ALL SELECT pid, 2, 0, unnest([0, 1]), unnest(['搜索', CAST(pid AS VARCHAR)]) FROM pids
+  UNION ALL SELECT pid, 3, 0, unnest([0, 1, 2, 3]), unnest(['公告时间', '公告标题', '状态', '级别']) FROM pids"""
+
+
+@query("cell_text", WITH + _OTHER_CELLS + """ UNION ALL
+SELECT pid, 3, r + CASE WHEN pid % 4 = 1 THEN 1 ELSE 0 END AS row_idx, unnest([0, 1, 2, 3]) AS col_idx,
   unnest([dated, CASE WHEN href IS NOT NULL AND k % 4 = 3 THEN '订单' || k || ' | 附件' || k ELSE label END, s, p]) AS text FROM lines""")
 def _cell_text(spark, sf):
-    found = tables.page_tables(pages_of(spark, sf)).filter("index = 3")
-    cells = tables.raw_cells(found, ["pid"]).filter("row_idx > 0")
-    return cells.select("pid", "row_idx", "col_idx", M.cell_text({"text": F.col("text"), "links": F.col("links")}).alias("text"))
+    cells = tables.raw_cells(tables.page_tables(pages_of(spark, sf)), ["pid"])
+    return cells.select("pid", "index", "row_idx", "col_idx", M.cell_text({"text": F.col("text"), "links": F.col("links")}).alias("text"))
 
 
-@query("cell_links", WITH + """
-SELECT pid, r AS row_no, label AS text,
+@query("cell_links", WITH + """, plain AS (""" + _OTHER_CELLS + """
+  UNION ALL SELECT pid, 3, r + CASE WHEN pid % 4 = 1 THEN 1 ELSE 0 END, unnest([0, 2, 3]), unnest([dated, s, p]) FROM lines)
+SELECT pid, 3 AS "index", r + CASE WHEN pid % 4 = 1 THEN 1 ELSE 0 END AS row_idx, 1 AS col_idx, label AS text,
   CASE WHEN href IS NULL THEN '' WHEN k % 4 = 3 THEN '订单' || k || '=' || url_aligned || ';附件' || k || '=other/' || k
        WHEN k % 4 = 0 THEN '订单' || k || '公告 ' || d || '=' || url_aligned ELSE label || '=' || url_aligned END AS links,
   url_inline AS first_url
-FROM sited""")
+FROM sited
+UNION ALL SELECT *, CASE "index" WHEN 1 THEN '首页=https://www.sse.com.cn/' ELSE '' END, CASE "index" WHEN 1 THEN 'http://www.szse.cn/' END FROM plain""")
 def _cell_links(spark, sf):
-    found = tables.page_tables(pages_of(spark, sf)).filter("index = 3")
-    cells = tables.raw_cells(found, ["pid"]).filter("row_idx > 0 AND col_idx = 1")
+    cells = tables.raw_cells(tables.page_tables(pages_of(spark, sf)), ["pid"])
     shown = F.array_join(
         F.transform(tables.cell_links(F.col("links")), lambda a: F.concat(a["text"], F.lit("="), a["url"])), ";"
     )
-    gap = F.when(F.col("pid") % 4 == 1, 1).otherwise(0)
     return cells.select(
-        "pid", (F.col("row_idx") - gap).alias("row_no"), "text", shown.alias("links"),
+        "pid", "index", "row_idx", "col_idx", "text", shown.alias("links"),
         tables.cell_links(F.col("links"), first_only=True).alias("first_url"),
     )
 
@@ -168,20 +175,21 @@ def _max_tables(spark, sf):
     return tables.cap_tables(found, ["pid"], 2).select("pid", "index")
 
 
-@query("label_classes", WITH + "SELECT pid, CASE WHEN c = 7 THEN 'disclosure_wide' ELSE '' END AS label FROM pids")
+@query("label_classes", WITH + """
+SELECT pid, idx AS "index", CASE WHEN c = 7 AND idx = 3 THEN 'disclosure_wide' ELSE '' END AS label FROM pids, (SELECT unnest([1, 2, 3]) AS idx)""")
 def _label_classes(spark, sf):
-    found = tables.page_tables(pages_of(spark, sf)).filter("index = 3")
-    return found.select("pid", F.array_join(label_classes(M.class_list(F.col("tag"))), "_").alias("label"))
+    found = tables.page_tables(pages_of(spark, sf))
+    return found.select("pid", "index", F.array_join(label_classes(M.class_list(F.col("tag"))), "_").alias("label"))
 
 
 @query("promote_header", WITH + """
 , named AS (SELECT r, pid, unnest([0, 1, 2, 3, 4]) AS col_idx, unnest(['公告时间', '公告标题', '公告链接', '状态', '级别']) AS "column",
                    unnest([dated, label, url_aligned, s, p]) AS text FROM sited)
-SELECT pid, CAST(r - 1 AS INTEGER) AS row_idx, col_idx, "column", text FROM named""")
+SELECT pid, 3 AS "index", CAST(r - 1 AS INTEGER) AS row_idx, col_idx, "column", text FROM named""")
 def _promote(spark, sf):
-    found = tables.extract_tables(pages_of(spark, sf), "aligned", titles=False).filter("index = 3")
+    found = tables.extract_tables(pages_of(spark, sf), "aligned", titles=False)
     cells = tables.named_cells(found, ["pid"], "aligned")
-    return cells.select("pid", "row_idx", "col_idx", "column", "text")
+    return cells.select("pid", "index", "row_idx", "col_idx", "column", "text")
 
 
 @query("ragged_pad", """
@@ -203,6 +211,45 @@ def _merge(spark, sf):
     return flows.disclosure_rows(pages).select("stock_code", "page", "row_no", F.array_join("row", ",").alias("line"))
 
 
+_MERGED_SQL = """
+, carried AS (
+  SELECT *, coalesce(last_value(CASE WHEN k % 3 = 0 THEN d END IGNORE NULLS) OVER (PARTITION BY stock_code ORDER BY page, r), dated) AS filled
+  FROM sited),
+merged AS (
+  SELECT stock_code, page, r, CASE WHEN url_inline IS NULL THEN concat_ws(',', filled, label, s, p, '')
+    ELSE concat_ws(',', filled, label, url_inline, s, p) END AS line FROM carried)"""
+
+
+@query("disclosure_merged", WITH + _MERGED_SQL + """
+SELECT stock_code, line FROM merged
+UNION ALL SELECT stock_code, '公告时间,公告标题,状态,级别,' FROM pids WHERE page = 1""")
+def _disclosure_merged(spark, sf):
+    """Dates filled across the pages of a stock, the files written and read back."""
+    pages = disclosure_pages(spark, sf).select("stock_code", "page", "html")
+    return flows.disclosure_merged(pages, fresh_path(spark, "merged"))[0]
+
+
+@query("disclosure_merged_rows", WITH + _MERGED_SQL + """
+SELECT stock_code, page, row_number() OVER (PARTITION BY stock_code ORDER BY page, r) - 1 AS row_no, line FROM merged""")
+def _disclosure_merged_rows(spark, sf):
+    pages = disclosure_pages(spark, sf).select("stock_code", "page", "html")
+    found = tables.first_table(tables.extract_tables(pages, "inline", titles=False), ["stock_code", "page"])
+    merged = tables.merged_pages(landed(found, "first_tables"))
+    rows = merged.select("stock_code", "page", "row_no", F.posexplode("rows").alias("i", "row"))
+    return rows.select(
+        "stock_code", "page", (F.col("row_no") + F.col("i")).cast("bigint").alias("row_no"), tables.csv_line(F.col("row")).alias("line")
+    )
+
+
+@query("disclosure_result", WITH + """
+SELECT true AS success, stock_code, count(*) AS total_pages, count(*) AS successful_pages, CAST(sum(n) + 1 AS BIGINT) AS total_rows,
+  'financial/' || stock_code || '/03_信息披露_多页合并.csv' AS saved_file, 'financial/' || stock_code AS base_dir,
+  CAST(NULL AS VARCHAR) AS error FROM pids GROUP BY stock_code""")
+def _disclosure_result(spark, sf):
+    pages = disclosure_pages(spark, sf).select("stock_code", "page", "html")
+    return flows.disclosure_merged(pages, fresh_path(spark, "merged"))[1]
+
+
 @query("header_skip", WITH + """
 SELECT stock_code, page, n + CASE WHEN page = 1 THEN 1 ELSE 0 END AS rows FROM pids""")
 def _header_skip(spark, sf):
@@ -237,7 +284,8 @@ def _stock_result(spark, sf):
 
 @query("multi_page_result", WITH + """
 SELECT true AS success, stock_code, count(*) AS total_pages, count(*) AS successful_pages,
-  CAST(sum(n) + 1 AS BIGINT) AS total_rows, CAST(NULL AS VARCHAR) AS error FROM pids GROUP BY stock_code""")
+  CAST(sum(n) + 1 AS BIGINT) AS total_rows, 'financial/' || stock_code || '/03_信息披露_多页合并.csv' AS saved_file,
+  'financial/' || stock_code AS base_dir, CAST(NULL AS VARCHAR) AS error FROM pids GROUP BY stock_code""")
 def _multi_page(spark, sf):
     pages = disclosure_pages(spark, sf).select("stock_code", "page", "html")
     requested = pages.groupBy("stock_code").agg(F.count("*").alias("total_pages"))
@@ -272,6 +320,16 @@ def _disclosure_tables(spark, sf):
     return rows.select("pid", "row_idx", F.array_join("row", ",").alias("line"))
 
 
+@query("disclosure_tables_aligned", WITH + """
+SELECT pid, 3 AS "index", r - 1 AS row_idx, concat_ws(',', CASE WHEN c IN (0, 1) THEN
+    coalesce(last_value(CASE WHEN k % 3 = 0 THEN d END IGNORE NULLS) OVER (PARTITION BY pid ORDER BY r), '') ELSE dated END,
+  label, url_aligned, s, p) AS line FROM sited JOIN pids USING (pid)""")
+def _disclosure_tables_aligned(spark, sf):
+    found = flows.disclosure_tables(pages_of(spark, sf), "aligned")
+    rows = found.select("pid", "index", F.posexplode("body").alias("row_idx", "row"))
+    return rows.select("pid", "index", "row_idx", F.array_join("row", ",").alias("line"))
+
+
 @query("ffill_dates", """
 SELECT event_id, user_id, last_value(CASE WHEN event_id % 3 = 0 THEN strftime(ts, '%Y-%m-%d') END IGNORE NULLS)
   OVER (PARTITION BY user_id ORDER BY event_id) AS date FROM events""")
@@ -335,11 +393,11 @@ def _resolve_announcement(spark, sf):
 
 
 @query("valid_title", """
-SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN true WHEN doc_id % 5 = 1 THEN false ELSE length(split_part(text, chr(10), 1)) BETWEEN 1 AND 99
-  AND NOT regexp_full_match(split_part(text, chr(10), 1), '[0-9]+') END AS ok FROM documents""")
+SELECT doc_id, 0 AS line_no, length(text) BETWEEN 1 AND 99 AND NOT regexp_full_match(text, '[0-9]+') AS ok FROM documents
+UNION ALL SELECT doc_id, generate_subscripts(ls, 1), unnest([length(l) BETWEEN 1 AND 99 AND NOT regexp_full_match(l, '[0-9]+') FOR l IN ls])
+FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)""")
 def _valid_title(spark, sf):
-    d = F.col("doc_id")
-    title = F.when(d % 5 == 0, F.concat(F.lit("T"), d.cast("string"))).when(d % 5 == 1, d.cast("string")).otherwise(
-        F.split_part("text", F.lit("\n"), F.lit(1))
-    )
-    return table(spark, sf, "documents").select("doc_id", valid_title(title).alias("ok"))
+    """Whole texts (line 0) and each of their lines as titles."""
+    lines = F.concat(F.array("text"), F.split("text", "\n"))
+    titles = table(spark, sf, "documents").select("doc_id", F.posexplode(lines).alias("line_no", "title"))
+    return titles.select("doc_id", "line_no", valid_title(F.col("title")).alias("ok"))

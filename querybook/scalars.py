@@ -47,20 +47,24 @@ def _add(spark, sf):
     return table(spark, sf, "part").selectExpr("p_partkey", "add_tool(p_partkey, p_size) AS total")
 
 
-@query("report_kind", """
-SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'annual' WHEN 1 THEN 'quarterly' WHEN 2 THEN 'half_year' WHEN 3 THEN 'annual' END AS kind,
-  printf('%02d_', row_number() OVER (PARTITION BY lang, source ORDER BY doc_id)) || CASE doc_id % 5 WHEN 0 THEN '2023年年度报告'
-    WHEN 1 THEN '2023年第三季度报告' WHEN 2 THEN '2023年半年度报告' WHEN 3 THEN '2022年报' ELSE '公告' END || '.pdf' AS name
-FROM documents""")
+@query("report_kind", r"""
+WITH titled AS (
+  SELECT doc_id, lang, source, text || CASE doc_id % 5 WHEN 0 THEN ' 2023年年度报告' WHEN 1 THEN ' 2023年第三季度报告'
+    WHEN 2 THEN ' 2023年半年度报告' WHEN 3 THEN ' 2022年报' ELSE '' END AS title FROM documents)
+SELECT doc_id, CASE WHEN contains(title, '半年') THEN 'half_year' WHEN regexp_matches(title, '年度报告|年报') THEN 'annual'
+    WHEN contains(title, '季') THEN 'quarterly' END AS kind,
+  printf('%02d_', row_number() OVER (PARTITION BY lang, source ORDER BY doc_id)) || title || '.pdf' AS name
+FROM titled""")
 def _report_kind(spark, sf):
+    """Kinds of whole texts with a title behind them, numbered within language and source."""
     from ledgerlark.plans.chunked import dense_chunk, rank_within
 
     d = F.col("doc_id")
-    title = (
-        F.when(d % 5 == 0, "2023年年度报告").when(d % 5 == 1, "2023年第三季度报告").when(d % 5 == 2, "2023年半年度报告")
-        .when(d % 5 == 3, "2022年报").otherwise("公告")
+    kind = (
+        F.when(d % 5 == 0, " 2023年年度报告").when(d % 5 == 1, " 2023年第三季度报告").when(d % 5 == 2, " 2023年半年度报告")
+        .when(d % 5 == 3, " 2022年报").otherwise("")
     )
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", title.alias("title"))
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", F.concat("text", kind).alias("title"))
     numbered = rank_within(docs, ["lang", "source"], [d], dense_chunk(d), "n")
     return numbered.select(
         "doc_id", X.report_kind(F.col("title")).alias("kind"),

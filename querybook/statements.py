@@ -121,12 +121,41 @@ def _grid(spark, sf):
     return S.statement_grid(long_items(spark, sf).select("code").distinct())
 
 
-def _map_values() -> str:
-    quote = lambda v: "NULL" if v is None else f"'{v}'"
-    return ", ".join(f"('{s}', {i}, {quote(a)}, '{hk}', '{zh}', '{en}')" for s, i, a, hk, zh, en in FM.rows())
-
-
-MAP_SQL = f"field_map(statement, ord, a_field, hk_item, zh, en) AS (VALUES {_map_values()})"
+# The label dimension, written out so that the SQL does not depend on the library.
+MAP_SQL = """field_map(statement, ord, a_field, hk_item, zh, en) AS (VALUES
+  ('利润表', 1, 'OPERATE_INCOME', '营业额', '营业收入', 'Operating Revenue'),
+  ('利润表', 2, 'OPERATE_COST', '销售成本', '营业成本', 'Operating Cost'),
+  ('利润表', 3, 'OPERATE_PROFIT', '营业利润', '营业利润', 'Operating Profit'),
+  ('利润表', 4, 'TOTAL_PROFIT', '利润总额', '利润总额', 'Total Profit'),
+  ('利润表', 5, 'NETPROFIT', '年内溢利', '净利润', 'Net Profit'),
+  ('利润表', 6, 'PARENT_NETPROFIT', '年内溢利', '归母净利润', 'Net Profit Attributable to Parent'),
+  ('利润表', 7, 'BASIC_EPS', '每股盈利', '基本每股收益', 'Basic EPS'),
+  ('利润表', 8, 'TOTAL_COMPRE_INCOME', '综合收益总额', '综合收益总额', 'Total Comprehensive Income'),
+  ('利润表', 9, NULL, '毛利', '毛利', 'Gross Profit'),
+  ('利润表', 10, NULL, '营运收入', '营运收入', 'Operating Revenue (Alt)'),
+  ('资产负债表', 1, 'MONETARY_CAP', '货币资金', '货币资金', 'Monetary Capital'),
+  ('资产负债表', 2, 'ACCT_RCV', '应收账款', '应收账款', 'Accounts Receivable'),
+  ('资产负债表', 3, 'INVENTORY', '存货', '存货', 'Inventory'),
+  ('资产负债表', 4, 'TOTAL_ASSETS', '资产总额', '资产总额', 'Total Assets'),
+  ('资产负债表', 5, 'TOTAL_LIAB', '负债总额', '负债总额', 'Total Liabilities'),
+  ('资产负债表', 6, 'TOTAL_EQUITY', '权益总额', '所有者权益合计', 'Total Equity'),
+  ('资产负债表', 7, 'PARENT_EQUITY', '股东权益（不含少数股东权益）', '归属于母公司股东权益', 'Equity Attributable to Parent'),
+  ('资产负债表', 8, 'MINORITY_EQUITY', '少数股东权益', '少数股东权益', 'Minority Equity'),
+  ('资产负债表', 9, 'FIXED_ASSETS', '固定资产', '固定资产', 'Fixed Assets'),
+  ('资产负债表', 10, 'INTANGIBLE_ASSETS', '无形资产', '无形资产', 'Intangible Assets'),
+  ('资产负债表', 11, 'LONG_TERM_INVEST', '长期投资', '长期投资', 'Long-term Investment'),
+  ('现金流量表', 1, 'NET_CASH_OPERATE', '经营活动产生的现金流量净额', '经营活动现金流净额', 'Net Cash from Operating Activities'),
+  ('现金流量表', 2, 'NET_CASH_INVEST', '投资活动产生的现金流量净额', '投资活动现金流净额', 'Net Cash from Investing Activities'),
+  ('现金流量表', 3, 'NET_CASH_FINANCE', '筹资活动产生的现金流量净额', '筹资活动现金流净额', 'Net Cash from Financing Activities'),
+  ('现金流量表', 4, 'CASH_EQUI_END', '现金及现金等价物结余', '期末现金及现金等价物余额', 'Cash and Cash Equivalents at End of Period'),
+  ('现金流量表', 5, 'CASH_EQUI_BEG', '现金及现金等价物年初结余', '期初现金及现金等价物余额', 'Cash and Cash Equivalents at Beginning of Period'),
+  ('现金流量表', 6, 'NET_INCREASE_CASH_EQUI', '现金及现金等价物净增加额', '现金及现金等价物净增加额', 'Net Increase in Cash and Cash Equivalents'),
+  ('现金流量表', 7, 'OPERATE_CASH_INFLOW', '经营活动现金流入', '经营活动现金流入', 'Operating Cash Inflow'),
+  ('现金流量表', 8, 'OPERATE_CASH_OUTFLOW', '经营活动现金流出', '经营活动现金流出', 'Operating Cash Outflow'),
+  ('现金流量表', 9, 'INVEST_CASH_INFLOW', '投资活动现金流入', '投资活动现金流入', 'Investing Cash Inflow'),
+  ('现金流量表', 10, 'INVEST_CASH_OUTFLOW', '投资活动现金流出', '投资活动现金流出', 'Investing Cash Outflow'),
+  ('现金流量表', 11, 'FINANCE_CASH_INFLOW', '筹资活动现金流入', '筹资活动现金流入', 'Financing Cash Inflow'),
+  ('现金流量表', 12, 'FINANCE_CASH_OUTFLOW', '筹资活动现金流出', '筹资活动现金流出', 'Financing Cash Outflow'))"""
 
 
 @query("label_join", f"WITH {LONG_SQL}, {MAP_SQL} " + """
@@ -152,34 +181,39 @@ def _shape(spark, sf):
     return S.statement_shape(long_items(spark, sf), 5)
 
 
-# Codes of the sink query: a stock universe of forty, some of them in Hong Kong.
-_SINK_CODE = "CASE WHEN o_custkey % 40 < 4 THEN printf('%05d.HK', o_custkey % 40) ELSE printf('600%03d', o_custkey % 40) END"
+# Codes of the sink queries: a stock for each supplier, some of them in Hong Kong.
+_SINK_CODE = "CASE WHEN l_suppkey % 10 = 0 THEN printf('%05d', l_suppkey) ELSE printf('%06d', l_suppkey) END"
+
+
+def _sink_rows(spark, sf):
+    n = F.col("l_suppkey")
+    code = F.when(n % 10 == 0, F.format_string("%05d.HK", n)).otherwise(F.format_string("%06d", n))
+    kind = F.when(F.col("l_returnflag") == "A", "利润表").when(F.col("l_returnflag") == "R", "资产负债表").otherwise("现金流量表")
+    return table(spark, sf, "lineitem").select(
+        code.alias("code"), kind.alias("statement"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_order"),
+        F.when(F.col("l_orderkey") % 10 != 0, F.col("l_extendedprice")).alias("AMOUNT"),
+        F.year("l_shipdate").cast("string").alias("FISCAL_YEAR"),
+    )
 
 
 @query("statement_sink", f"""
-SELECT replace({_SINK_CODE}, '.HK', '') AS code, CASE o_orderkey % 3 WHEN 0 THEN '利润表' WHEN 1 THEN '资产负债表' ELSE '现金流量表' END AS statement,
-  o_orderkey AS row_order, CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice END AS AMOUNT FROM orders""")
+SELECT {_SINK_CODE} AS code, CASE l_returnflag WHEN 'A' THEN '利润表' WHEN 'R' THEN '资产负债表' ELSE '现金流量表' END AS statement,
+  l_orderkey * 10 + l_linenumber AS row_order, CASE WHEN l_orderkey % 10 <> 0 THEN l_extendedprice END AS AMOUNT FROM lineitem""")
 def _sink(spark, sf):
     path = fresh_path(spark, "statements")
-    n = F.col("o_custkey") % 40
-    code = F.when(n < 4, F.format_string("%05d.HK", n)).otherwise(F.format_string("600%03d", n))
-    k = F.col("o_orderkey")
-    statement = F.when(k % 3 == 0, "利润表").when(k % 3 == 1, "资产负债表").otherwise("现金流量表")
-    rows = table(spark, sf, "orders").select(
-        code.alias("code"), statement.alias("statement"), k.alias("row_order"),
-        F.when(k % 10 != 0, F.col("o_totalprice")).alias("AMOUNT"),
-    )
-    write_statements(rows, path)
+    write_statements(_sink_rows(spark, sf).drop("FISCAL_YEAR"), path)
     return read_statements(spark, path)
 
 
-@query("statement_sink_periods", WITH + "SELECT FISCAL_YEAR, DATE_TYPE_CODE, count(*) AS rows, sum(row_order) AS keys FROM long GROUP BY ALL")
+@query("statement_sink_periods", f"""
+SELECT {_SINK_CODE} AS code, CAST(year(l_shipdate) AS VARCHAR) AS FISCAL_YEAR, count(*) AS rows, sum(l_orderkey * 10 + l_linenumber) AS keys
+FROM lineitem GROUP BY ALL""")
 def _sink_periods(spark, sf):
+    """All rows as one statement, a partition for each stock and year."""
     path = fresh_path(spark, "statement_periods")
-    rows = long_items(spark, sf).withColumn("code", F.lit("000001"))
-    write_statements(rows, path, split=("FISCAL_YEAR", "DATE_TYPE_CODE"))
-    back = read_statements(spark, path).filter("code = '000001'")
-    return back.groupBy(F.col("FISCAL_YEAR").cast("string"), "DATE_TYPE_CODE").agg(
+    write_statements(_sink_rows(spark, sf).withColumn("statement", F.lit("利润表")), path, split=("FISCAL_YEAR",))
+    back = read_statements(spark, path)
+    return back.groupBy("code", F.col("FISCAL_YEAR").cast("string")).agg(
         F.count("*").alias("rows"), F.sum("row_order").alias("keys")
     )
 
