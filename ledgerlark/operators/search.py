@@ -20,15 +20,20 @@ from pyspark.sql import functions as F
 from ledgerlark.plans.emit import once
 from ledgerlark.session import landed
 
-WORD_BREAK = r"[^\p{L}\p{N}]+"
 # Scripts written without blanks: each sign is a term, so clauses can be searched by any part of them.
-SIGNS = ("Han", "Hiragana", "Katakana")
+SIGNS = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
+
+
+def _term_pattern(prefix: str) -> str:
+    """A sign, or a run of letters, digits and the marks that combine with them."""
+    signs = "".join(rf"\p{{{prefix}{s}}}" for s in SIGNS)
+    run = rf"[[\p{{L}}\p{{N}}\p{{M}}]&&[^{signs}]]+"
+    return rf"[{signs}]|{run}"
 
 
 def terms(text: Column) -> Column:
-    """Lower-cased alphanumeric runs, and single signs of scripts without blanks, in order."""
-    signs = "([" + "".join(rf"\p{{Is{s}}}" for s in SIGNS) + "])"
-    return F.filter(F.split(F.regexp_replace(F.lower(text), signs, " $1 "), WORD_BREAK), lambda t: t != "")
+    """Lower-cased alphanumeric runs, and single signs of scripts without blanks, in order; one pass over the text."""
+    return F.regexp_extract_all(F.lower(text), F.lit(_term_pattern("Is")), F.lit(0))
 
 
 def query_terms(query: str) -> list[str]:
@@ -37,8 +42,7 @@ def query_terms(query: str) -> list[str]:
 
 
 def phrase_terms(phrase: str) -> list[str]:
-    signs = "([" + "".join(rf"\p{{{s}}}" for s in SIGNS) + "])"
-    return [w for w in regex.split(WORD_BREAK, regex.sub(signs, r" \1 ", phrase.lower())) if w]
+    return regex.findall("(?V1)" + _term_pattern(""), phrase.lower())
 
 
 def _counted(docs: DataFrame, words: Sequence[str], key: str, text: str) -> DataFrame:

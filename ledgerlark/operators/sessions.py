@@ -69,18 +69,25 @@ def append_cache(cache: DataFrame, answers: DataFrame) -> DataFrame:
 
 
 def load_docs(
-    new: DataFrame, existing: DataFrame, recreate: bool = False, key: str = "doc_id", text: str = "text"
+    new: DataFrame,
+    existing: DataFrame | None,
+    recreate: bool = False,
+    key: str = "doc_id",
+    text: str = "text",
+    hashed: bool = False,
 ) -> DataFrame:
     """Documents of ``new`` to add: contents not yet stored, each once (lowest key).
 
     Copies are reduced to one row per content hash on both sides before they
     meet, so a text that fills a third of the table is one row per task.  With
-    ``recreate`` nothing counts as stored.
+    ``recreate`` nothing counts as stored.  ``hashed``: ``existing`` has a column
+    content_hash in place of texts.
     """
-    hashed = new.withColumn("content_hash", F.sha2(text, 256))
-    firsts = hashed.groupBy("content_hash").agg(F.min(key).alias(key))
+    with_hash = new.withColumn("content_hash", F.sha2(text, 256))
+    firsts = with_hash.groupBy("content_hash").agg(F.min(key).alias(key))
     if not recreate:
-        stored = existing.select(F.sha2(text, 256).alias("content_hash")).distinct()
+        content = F.col("content_hash") if hashed else F.sha2(text, 256)
+        stored = existing.select(content.alias("content_hash")).distinct()
         firsts = firsts.join(stored, "content_hash", "left_anti")
     return firsts
 

@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.text import vector_peek
+from ledgerlark.operators import postings as P
 from ledgerlark.operators import search as K
 from ledgerlark.operators import sessions as H
+from ledgerlark.session import fresh_path
 from querybook.base import query, table
 
 QUERY = "the letion éreen nteres"
 PHRASE = "of the"
-BREAK = "[^\\p{L}\\p{N}]+"
-SIGNS = "([\\p{Han}\\p{Hiragana}\\p{Katakana}])"
+BREAK = "[^\\p{L}\\p{N}\\p{M}]+"
+SIGNS = "([\\p{Han}\\p{Hiragana}\\p{Katakana}\\p{Thai}\\p{Lao}\\p{Khmer}\\p{Myanmar}])"
 
 
 def _toks(text: str) -> str:
@@ -106,6 +108,55 @@ def _phrase(spark, sf):
     return K.phrase_match(table(spark, sf, "documents"), PHRASE)
 
 
+def _index(spark, sf):
+    path = fresh_path(spark, "postings")
+    P.add_segment(table(spark, sf, "documents"), path, 0)
+    return path
+
+
+@query("bm25_indexed", f"""
+WITH {bm25_sql('documents', ['the', 'letion', 'éreen', 'nteres'])}
+SELECT doc_id, round(score, 6) AS score FROM (SELECT * FROM bm ORDER BY score DESC, doc_id LIMIT 10)""")
+def _bm25_indexed(spark, sf):
+    """The texts are read once, to build the index; the query reads the buckets of its terms."""
+    return P.bm25_indexed(spark, _index(spark, sf), QUERY, 10)
+
+
+_LOADED_SQL = """
+loads AS (SELECT doc_id, text, CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS segment FROM documents),
+loaded AS (SELECT min(doc_id) AS doc_id, text FROM loads WHERE segment = 0 GROUP BY text
+  UNION ALL SELECT min(doc_id), text FROM loads WHERE segment = 1 AND text NOT IN (SELECT text FROM loads WHERE segment = 0) GROUP BY text)"""
+
+
+@query("bm25_segments", f"""
+WITH {_LOADED_SQL}, {bm25_sql('loaded', ['the', 'letion', 'éreen', 'nteres'])}
+SELECT doc_id, round(score, 6) AS score FROM (SELECT * FROM bm ORDER BY score DESC, doc_id LIMIT 10)""")
+def _bm25_segments(spark, sf):
+    """Two loads of new contents, merged into one segment."""
+    path, merged = fresh_path(spark, "postings"), fresh_path(spark, "merged_postings")
+    docs = table(spark, sf, "documents")
+    P.load_segment(docs.filter("doc_id % 3 <> 0"), path, 0)
+    P.load_segment(docs.filter("doc_id % 3 = 0"), path, 1)
+    P.merge_segments(spark, path, merged)
+    return P.bm25_indexed(spark, merged, QUERY, 10)
+
+
+@query("phrase_indexed", f"""
+WITH toks AS (SELECT doc_id, {_toks('text')} AS t FROM documents),
+hits AS (SELECT doc_id, len(list_filter(range(1, len(t)), lambda i: t[i] = 'of' AND t[i + 1] = 'the')) AS places FROM toks)
+SELECT doc_id, places FROM hits WHERE places > 0""")
+def _phrase_indexed(spark, sf):
+    return P.phrase_indexed(spark, _index(spark, sf), PHRASE)
+
+
+@query("phrase_indexed_slop", f"""
+WITH toks AS (SELECT doc_id, {_toks('text')} AS t FROM documents),
+hits AS (SELECT doc_id, len(list_filter(range(1, len(t) + 1), lambda i: t[i] = 'of' AND list_contains(t[i + 1:i + 3], 'the'))) AS places FROM toks)
+SELECT doc_id, places FROM hits WHERE places > 0""")
+def _phrase_indexed_slop(spark, sf):
+    return P.phrase_indexed(spark, _index(spark, sf), PHRASE, slop=2)
+
+
 @query("vector_peek", """
 SELECT vec_id, array_to_string(list_transform(embedding[1:5], lambda x: CAST(round(CAST(x AS DOUBLE) * 1000) AS BIGINT)), ',') AS head, len(embedding) AS dim FROM embeddings""")
 def _peek(spark, sf):
