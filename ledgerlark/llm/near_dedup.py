@@ -5,7 +5,7 @@ to four words has one shingle of all its words.  Two texts are linked if their
 weighted Jaccard similarity, sum of minima over sum of maxima of the counts, is
 0.8 or more.  A class is a connected component of links.
 
-1. Texts with the same words in the same order are one node from here on.
+1. Texts with the same words in the same order are one node, named by their digest.
 2. BagMinHash: over the strip (0, weight] of each shingle runs a Poisson process
    in time, made of independent processes over the levels (0,1], (1,2], (2,4],
    (4,8] ...; a level that the weight cuts is halved down to whole weights by the
@@ -16,23 +16,24 @@ weighted Jaccard similarity, sum of minima over sum of maxima of the counts, is
    register, so a text costs about (shingles + m log m) steps, not their product.
 3. ``BANDS`` bands of ``ROWS`` registers make buckets.  With 32 bands of 5 a pair
    at 0.8 misses all buckets with probability (1 - 0.8**5)**32 = 3e-6.
-4. Within a bucket all members are compared with a hub, not everybody with
-   everybody.  The hub is the member with the most company in all of its buckets,
-   which in a group of edited copies is what they were copied from.  Verified links
-   are merged into components; buckets that still hold several components get their
-   next four hubs, then sixteen, and so on.  A bucket is done when it holds one
-   component or when all of its members have been hubs, so no pair that shares a
-   bucket is left out.  Texts of one component are not compared, so a large group of
-   copies stays linear.
-5. From the second round on pairs are pruned before their bags are fetched, and only
-   where they cannot be linked: at similarity t, bags of x and y shingles differ in
-   at most (x + y) (1 - t) / (1 + t) of them, and the bits in which their ``PARITY``
-   sketches (each shingle flips one bit) differ are no more than that.
-
-A document without words (null, empty or blank text) is a class of its own.
-Rows without doc_id are left out of the result: a class cannot name them.  Rows
-of the same doc_id are one document if their words agree; else the smaller bag
-hash stands for it.  An empty table gives an empty result.
+4. Hubs.  All members of a bucket are compared with one of them, the member with the most
+   company in all of its buckets, which in a group of edited copies is what they were
+   copied from.  Verified links give labels: the smallest node within a few links.
+5. Mixed buckets, which still hold more than one label, are gone through pair by pair, but
+   only over members of unlike labels and only in sketches: at similarity t, bags of x and
+   y shingles differ in at most (x + y) (1 - t) / (1 + t) of them, and the bits in which
+   their ``PARITY`` sketches (each shingle flips one bit) differ are no more than that.
+   First the most promising pair of every two labels is verified, and labels grow
+   together; then all pairs that the sketches leave open are.  So no pair that shares a
+   bucket is left out.  A pair is looked at in the first band in which its keys agree, so
+   once however many buckets it shares; buckets with the same members are one, of the
+   first of their bands.  A large bucket is dealt out as pairs of blocks of ``BLOCK`` members.
+6. Components of all links are the classes.
+
+A node is a run of words, whatever rows hold it.  A document without words (null, empty
+or blank text) is a class of its own.  All texts of one doc_id are linked to each other.
+Rows without doc_id are left out of the result, since a class cannot name them, but
+their texts link others.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,11 +43,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.components import components
-from ledgerlark.llm.texts import batches_of, mix, owners, windows, word_hashes
+from ledgerlark.llm.texts import batches_of, mix, windows, word_hashes
 from ledgerlark.session import landed
 
 WIDTH = 5
@@ -54,7 +55,8 @@ THRESHOLD = 0.8
 BANDS = 32
 ROWS = 5
 PARITY = 16  # words of 64 bits
-GROWTH = 4
+BLOCK = 1024  # members of a bucket that meet in one task
+SPREAD = 3  # links that labels travel in one go
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -131,11 +133,17 @@ def parities(hashes: np.ndarray, owner: np.ndarray, weight: np.ndarray, n_texts:
     return out.reshape(n_texts, PARITY)
 
 
-def _may_link(threshold: float) -> str:
-    """Condition that every pair at the threshold meets; of sizes x, y and sketches p, q."""
-    differ = " + ".join(f"bit_count(p[{i}] ^ q[{i}])" for i in range(PARITY))
-    most = (1 - threshold) / (1 + threshold) + 1e-9
-    return f"least(x, y) >= {threshold - 1e-9}D * greatest(x, y) AND {differ} <= {most}D * (x + y)"
+def may_link(size: np.ndarray, parity: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the pairs (i, j) can be at the threshold, and the share in which they differ at least.  True for all that are."""
+    x, y = size[i], size[j]
+    ok = np.minimum(x, y) >= (threshold - 1e-9) * np.maximum(x, y)
+    share = np.ones(len(i))
+    at = np.flatnonzero(ok)
+    for k in range(0, len(at), 1 << 16):
+        some = at[k : k + (1 << 16)]
+        differ = np.bitwise_count(parity[i[some]] ^ parity[j[some]]).sum(axis=1, dtype=np.int64)
+        share[some] = differ / (x[some] + y[some])
+    return ok & (share <= (1 - threshold) / (1 + threshold) + 1e-9), share
 
 
 def _sign(bands: int, rows: int, width: int):
@@ -151,8 +159,8 @@ def _sign(bands: int, rows: int, width: int):
                 bag = bags(chosen, width)
                 keys = band_keys(signatures(*bag, len(chosen), bands * rows), bands, rows)
                 sizes = np.bincount(bag[1], bag[2], len(chosen)).astype(np.int64).tolist()
-                sketches = parities(*bag, len(chosen)).view(np.int64).tolist()
-                signed = {digests[i]: (keys[k].tobytes(), sizes[k], sketches[k]) for k, i in enumerate(at)}
+                sketches = parities(*bag, len(chosen))
+                signed = {digests[i]: (keys[k].tobytes(), sizes[k], sketches[k].tobytes()) for k, i in enumerate(at)}
                 of = [signed.get(d, (None, None, None)) for d in digests]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -160,7 +168,7 @@ def _sign(bands: int, rows: int, width: int):
                         pa.array(digests, pa.binary()),
                         pa.array([s[0] for s in of], pa.binary()),
                         pa.array([s[1] for s in of], pa.int64()),
-                        pa.array([s[2] for s in of], pa.list_(pa.int64())),
+                        pa.array([s[2] for s in of], pa.binary()),
                     ],
                     names=["doc_id", "digest", "keys", "size", "parity"],
                 )
@@ -171,17 +179,19 @@ def _sign(bands: int, rows: int, width: int):
 def _bag_rows(width: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in batches_of(batch):
+            for _, texts in batches_of(batch):
+                # Copies inside this block are packed once.
+                texts = [t for t in {b" ".join(t.split()) for t in texts} if t]
                 hashes, owner = shingles(texts, width)
                 order = np.lexsort((hashes, owner))
                 cuts = np.searchsorted(owner[order], np.arange(len(texts) + 1))
                 hashes = hashes[order]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(part.schema.get_field_index("doc_id")),
+                        pa.array([xxhash.xxh3_128_digest(t) for t in texts], pa.binary()),
                         pa.array([hashes[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
                     ],
-                    names=["id", "bag"],
+                    names=["node", "bag"],
                 )
 
     return rows
@@ -206,14 +216,93 @@ def _verify(threshold: float):
                 near = min(len(a), len(b)) >= threshold * max(len(a), len(b))
                 similar.append(weighted_jaccard(a, b) if near else 0.0)
             keep = pa.array(np.array(similar) >= threshold, pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [*map(get, ("a", "b", "ca", "cb")), pa.array(similar, pa.float64())],
-                names=["a", "b", "ca", "cb", "similarity"],
-            ).filter(keep)
+            yield pa.RecordBatch.from_arrays([get("a"), get("b")], names=["a", "b"]).filter(keep)
 
     return verify
 
 
+def _runs(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
+    """The groups of rows that are sorted by ``by``; one group is in memory."""
+    held: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        keys = [table.column(c).to_numpy() for c in by]
+        cuts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+        starts = np.concatenate([[0], cuts]).tolist()
+        for first, last in zip(starts, starts[1:], strict=False):
+            yield table.slice(first, last - first)
+        held = table.slice(starts[-1])
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _open_pairs(threshold: float, best_only: bool):
+    """Pairs of unlike labels that the sketches leave open, of groups (key, i, j): of the blocks i and j of a bucket."""
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _runs(batches, ["key", "i", "j"]):
+            node, label = group.column("node").to_pylist(), group.column("label").to_pylist()
+            numbers = np.unique(np.array(label, dtype=object), return_inverse=True)[1].ravel()
+            size, block = group.column("size").to_numpy(), group.column("block").to_numpy()
+            parity = np.frombuffer(b"".join(group.column("parity").to_pylist()), np.uint64).reshape(-1, PARITY)
+            keys = np.frombuffer(b"".join(group.column("keys").to_pylist()), np.uint64).reshape(len(node), -1)
+            band = group.column("band")[0].as_py()
+            within = group.column("i")[0].as_py() == group.column("j")[0].as_py()
+            found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            for first in range(0, len(node), 128):
+                rows = np.arange(first, min(len(node), first + 128))
+                unlike = numbers[rows][:, None] != numbers
+                unlike &= (rows[:, None] < np.arange(len(node))) if within else (block[rows][:, None] < block)
+                a, b = np.nonzero(unlike)
+                a = rows[a]
+                ok, share = may_link(size, parity, a, b, threshold)
+                a, b, share = a[ok], b[ok], share[ok]
+                here = (keys[a] == keys[b]).argmax(axis=1) == band
+                found.append((a[here], b[here], share[here]))
+                if best_only:
+                    a, b, share = map(np.concatenate, zip(*found, strict=True))
+                    low, high = np.minimum(numbers[a], numbers[b]), np.maximum(numbers[a], numbers[b])
+                    order = np.lexsort((share, high, low))
+                    new = np.ones(len(order), bool)
+                    new[1:] = (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])
+                    found = [(a[order][new], b[order][new], share[order][new])]
+            a, b = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+            if len(a):
+                ends = [(min(node[p], node[q]), max(node[p], node[q])) for p, q in zip(a, b, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([e[k] for e in ends], pa.binary()) for k in (0, 1)], names=["a", "b"]
+                )
+
+    return pairs
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    """(node, label): the smallest node within ``SPREAD`` links, which is of the same component."""
+    both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select("b", "a")).distinct()
+    labels = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("label"))
+    for _ in range(SPREAD - 1):
+        near = both.join(labels.select(F.col("u").alias("v"), F.col("label").alias("l")), "v")
+        near = near.groupBy("u").agg(F.min("l").alias("m"))
+        labels = near.join(labels, "u").select("u", F.least("m", "label").alias("label"))
+    return labels.select(F.col("u").alias("node"), "label")
+
+
+def _dealt(members: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Members of mixed buckets with label and sketch, sorted into the groups (key, i, j) in which their blocks meet."""
+    now = members.join(labels, "node", "left").select("key", "band", "node", F.coalesce("label", "node").alias("label"))
+    mixed = now.groupBy("key").agg(F.min("label").alias("p"), F.max("label").alias("q"), F.count("*").alias("n"))
+    mixed = mixed.filter("p <> q").select(F.col("key").alias("mixed"), "n")
+    now = now.join(mixed, F.col("key") == F.col("mixed")).drop("mixed")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    now = now.select("key", "band", "node", "label", blocks.alias("k")).withColumn("block", F.pmod(F.hash("node"), "k"))
+    other = F.explode(F.expr("sequence(0, k - 1)")).alias("o")
+    now = now.select("key", "band", "node", "label", "block", other)
+    now = now.select("*", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j")).drop("o")
+    dealt = now.join(sketches, "node")
+    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+
+
 def near_classes(
     docs: DataFrame,
     threshold: float = THRESHOLD,
@@ -221,99 +310,63 @@ def near_classes(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """(doc_id, class_id, class_size): one row for each document; the class is its smallest doc_id."""
-    docs = docs.select("doc_id", "text").filter("doc_id IS NOT NULL")
+    """(doc_id, class_id, class_size): one row for each doc_id; the class is named by its smallest one."""
+    docs = docs.select("doc_id", "text")
     signed = landed(
-        docs.mapInArrow(
-            _sign(bands, rows, width), "doc_id bigint, digest binary, keys binary, size bigint, parity array<bigint>"
-        ),
+        docs.mapInArrow(_sign(bands, rows, width), "doc_id bigint, digest binary, keys binary, size bigint, parity binary"),
         "signed",
     )
-    # One node for each run of words; ids of several runs of words hang on one of them.
-    one = signed.groupBy("doc_id").agg(F.min("digest").alias("digest"))
-    nodes = signed.filter("digest IS NOT NULL").groupBy("digest").agg(
-        F.min("doc_id").alias("id"), F.min("keys").alias("keys")
-    )
-    # An id that stands for several runs of words has no sketch.
-    sketches = signed.filter("digest IS NOT NULL").join(
-        nodes.select("digest", F.col("id").alias("doc_id")), ["digest", "doc_id"], "left_semi"
-    )
-    single = F.min("digest") == F.max("digest")
-    sketches = sketches.groupBy(F.col("doc_id").alias("id")).agg(
-        F.when(single, F.min("size")).alias("x"), F.when(single, F.min("parity")).alias("p")
-    )
+    nodes = signed.filter("digest IS NOT NULL").groupBy(F.col("digest").alias("node"))
+    nodes = nodes.agg(F.min("doc_id").alias("id"), F.min(F.struct("keys", "size", "parity")).alias("s"))
+    nodes = landed(nodes.select("node", "id", "s.*"), "nodes")
     key = F.expr(f"transform(sequence(0, {bands - 1}), i -> hex(substring(keys, 8 * i + 1, 8)))")
-    members = nodes.select("id", F.explode(key).alias("k")).select("id", F.xxhash64("k").alias("key"))
-    shared = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    members = landed(members.join(shared, "key"), "buckets")
-    company = members.groupBy("id").agg(F.sum("n").alias("company"))
-    members = landed(members.select("key", "id").join(company, "id"), "company")
-
-    bags_ = landed(
-        docs.join(company.select("id"), docs["doc_id"] == F.col("id"), "left_semi").mapInArrow(
-            _bag_rows(width), "id bigint, bag binary"
-        ),
-        "bags",
-    )
-    bag_of = lambda name: bags_.select(F.col("id").alias(name), F.col("bag").alias(f"bag_{name}"))
-    found = company.select("id", F.col("id").alias("c"))
-    order = Window.partitionBy("key").orderBy(F.desc("company"), "id")
-    members = members.withColumn("r", F.row_number().over(order))
-    tested, first, last = None, 1, 1
-    while True:
-        now = members.join(found, "id")
-        if tested is None:
-            may_link = F.lit(True)
-            now = now.withColumn("x", F.lit(None)).withColumn("p", F.lit(None))
-        else:
-            # A bucket of one component stays one; one whose members have all been hubs is done.
-            mixed = now.groupBy("key").agg(F.min("c").alias("b"), F.max("c").alias("d"), F.max("r").alias("n"))
-            mixed = mixed.filter(f"b <> d AND n > {first}")
-            now = landed(now.join(mixed.select("key"), "key", "left_semi"), "mixed")
-            members = now.drop("c")
-            if now.isEmpty():
-                break
-            now = now.join(sketches, "id")
-            may_link = F.expr(f"p IS NULL OR q IS NULL OR ({_may_link(threshold)})")
-        hubs = now.filter(F.col("r").between(first, last)).select(
-            F.col("key").alias("k"), F.col("id").alias("h"), F.col("c").alias("hc"), F.col("r").alias("hr"),
-            F.col("x").alias("y"), F.col("p").alias("q"),
-        )
-        # Who was a hub before has been compared.  A pair's components are those of its smaller and its larger id.
-        pairs = (
-            now.join(
-                hubs,
-                (F.col("key") == F.col("k")) & (F.col("r") > F.col("hr")) & (F.col("c") != F.col("hc")) & may_link,
-            )
-            .select(
-                F.least("id", "h").alias("a"),
-                F.greatest("id", "h").alias("b"),
-                F.expr("if(id < h, c, hc)").alias("ca"),
-                F.expr("if(id < h, hc, c)").alias("cb"),
-            )
-            .distinct()
-        )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = landed(pairs, "pairs")
-        new = landed(
-            pairs.join(bag_of("a"), "a").join(bag_of("b"), "b").mapInArrow(
-                _verify(threshold), "a bigint, b bigint, ca bigint, cb bigint, similarity double"
-            ),
-            "verified",
-        )
-        tried = pairs.select("a", "b")
-        tested = tried if tested is None else tested.union(tried)
-        if not new.isEmpty():
-            # Links join components, not nodes: later rounds merge the few that are left.
-            merged = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-            merged = merged.select(F.col("id").alias("c"), "component")
-            found = landed(
-                found.join(merged, "c", "left").select("id", F.coalesce("component", "c").alias("c")), "found"
-            )
-        first, last = last + 1, last + GROWTH * (last - first + 1)
-    of_digest = nodes.select("digest", "id").join(found, "id", "left")
-    of_digest = of_digest.select("digest", F.coalesce("c", "id").alias("class_id"))
+    members = nodes.select("node", F.posexplode(key).alias("band", "k")).select("node", "band", F.xxhash64("band", "k").alias("key"))
+    # Buckets with the same members, told by two order-free hashes of 64 bits, are one: that of the first band.
+    same = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"x{i}") for i in range(2)]
+    shared = members.groupBy("band", "key").agg(F.count("*").alias("n"), *same).filter("n > 1")
+    shared = shared.groupBy("n", "x0", "x1").agg(F.min(F.struct("band", "key")).alias("b")).select("b.*", "n")
+    members = landed(members.join(shared, ["band", "key"]), "buckets")
+    company = members.groupBy("node").agg(F.sum("n").alias("company"))
+    members = landed(members.select("key", "band", "node").join(company, "node"), "members")
+
+    # One row of each node: of its smallest id, or of the rows without id.
+    wanted = nodes.join(company.select("node"), "node", "left_semi").select(F.col("id").alias("doc_id"))
+    named = docs.join(wanted.filter("doc_id IS NOT NULL").distinct(), "doc_id", "left_semi")
+    texts = named.select("text").union(docs.filter("doc_id IS NULL").select("text"))
+    bags_ = landed(texts.mapInArrow(_bag_rows(width), "node binary, bag binary").dropDuplicates(["node"]), "bags")
+    bag_of = lambda name: bags_.select(F.col("node").alias(name), F.col("bag").alias(f"bag_{name}"))
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = landed(pairs.distinct(), f"{name}-pairs")
+        with_bags = pairs.join(bag_of("a"), "a").join(bag_of("b"), "b")
+        return landed(with_bags.mapInArrow(_verify(threshold), "a binary, b binary"), f"{name}-links")
+
+    hubs = members.groupBy("key").agg(F.max(F.struct("company", "node")).alias("h")).select("key", F.col("h.node").alias("hub"))
+    pairs = members.join(hubs, "key").filter("node <> hub")
+    links = verified(pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")), "hub")
+
+    members, sketches = members.select("key", "band", "node"), nodes.select("node", "keys", "size", "parity")
+    for name, best_only in (("best", True), ("open", False)):
+        labels = landed(_labels(links), f"{name}-labels")
+        dealt = _dealt(members, labels, sketches)
+        links = links.union(verified(dealt.mapInArrow(_open_pairs(threshold, best_only), "a binary, b binary"), name))
+
+    # All texts of one id are linked; components join the labels, of which there are few.
+    texts_of = signed.filter("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
+    several = texts_of.agg(F.min("digest").alias("a"), F.max("digest").alias("z")).filter("a <> z").select("doc_id", "a")
+    same_id = signed.join(several, "doc_id").filter("digest IS NOT NULL").select("a", F.col("digest").alias("b"))
+    links = links.union(same_id.filter("a <> b").distinct())
+    ends = lambda name: labels.select(F.col("node").alias(name), F.col("label").alias(f"l_{name}"))
+    by_label = links.join(ends("a"), "a", "left").join(ends("b"), "b", "left")
+    by_label = by_label.select(F.coalesce("l_a", "a").alias("a"), F.coalesce("l_b", "b").alias("b"))
+    joined = components(by_label.filter("a <> b").distinct()).withColumnRenamed("id", "label")
+
+    found = nodes.select("node", "id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    found = found.join(joined, "label", "left").select("node", "id", F.coalesce("component", "label").alias("c"))
+    found = landed(found, "found")
+    names = found.groupBy("c").agg(F.min("id").alias("class_id"))
+    of_digest = found.select(F.col("node").alias("digest"), "c").join(names, "c").select("digest", "class_id")
+    one = signed.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("digest").alias("digest"))
     classed = one.join(of_digest, "digest", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
     classed = landed(classed, "classes")
     sizes = classed.groupBy("class_id").agg(F.count("*").alias("class_size"))
