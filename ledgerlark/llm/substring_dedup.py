@@ -24,9 +24,10 @@ bytes, matches never cross documents, and strings are judged on the input.
    earliest of their class are marked.
 4. Marked spans return to their documents, which are read once more.
 
-A null text is empty.  Null ids come first.  doc_id should be unique; where it is
-not, the spans found in one of its rows are removed from all of them.  Documents of
-less than 100 bytes are kept whole.  An empty table gives an empty result.  A text of
+A null text is empty.  Null ids come first.  Rows of one doc_id with different texts are
+documents in the order of their texts' hashes (64 bits, by which they are told apart);
+rows with the same id and text are one document, and each of them gets its result, so
+no passage is lost from all of its rows.  Documents of less than 100 bytes are kept whole.  An empty table gives an empty result.  A text of
 any length is worked through in parts of ``PART`` bytes that overlap by 99.
 """
 
@@ -49,8 +50,8 @@ PART = 1 << 19
 INDEX_BYTES = 1 << 19
 _NO_DOC = -(2**63)
 _PLACE_BITS = 24
-_ROWS = "anchor bigint, content bigint, doc bigint, begin bigint, length int"
-_SPANS = "doc bigint, begin bigint, length bigint"
+_ROWS = "anchor bigint, content bigint, doc bigint, row bigint, begin bigint, length int"
+_SPANS = "doc bigint, row bigint, begin bigint, length bigint"
 
 
 def _grams(buffer: np.ndarray, width: int) -> np.ndarray:
@@ -94,10 +95,10 @@ def stretches(buffer: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram:
     return hashes[place[first]], content, begin, end
 
 
-def _parts(texts: list[bytes], docs: list[int], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
-    """Blocks of (doc, offset, bytes); long texts in overlapping parts."""
+def _parts(texts: list[bytes], docs: list[tuple], length: int) -> Iterator[list[tuple[tuple, int, bytes]]]:
+    """Blocks of (document, offset, bytes), each document once; long texts in overlapping parts."""
     pieces = []
-    for doc, text in zip(docs, texts, strict=True):
+    for doc, text in dict(zip(docs, texts, strict=True)).items():
         for offset in range(0, max(1, len(text) - length + 1), PART):
             pieces.append((doc, offset, text[offset : offset + PART + length - 1]))
     for first, last in blocks([len(p[2]) for p in pieces], PART):
@@ -107,46 +108,54 @@ def _parts(texts: list[bytes], docs: list[int], length: int) -> Iterator[list[tu
 def _anchors(length: int):
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs = [_NO_DOC if d is None else d for d in batch.column(0).to_pylist()]
+            docs = list(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True))
             for part in _parts(as_bytes(batch.column(1)), docs, length):
                 buffer = np.frombuffer(b"".join(p[2] for p in part), np.uint8)
                 ends = np.cumsum([len(p[2]) for p in part])
                 anchor, content, begin, end = stretches(buffer, ends, length)
                 of = np.searchsorted(ends, begin, side="right")
-                doc = np.array([p[0] for p in part], np.int64)[of]
+                doc, row = (np.array([p[0][k] for p in part], np.int64)[of] for k in (0, 1))
                 starts = ends - np.array([len(p[2]) for p in part]) - np.array([p[1] for p in part])
                 size, begin = end - begin, begin - starts[of]
                 # Repeats inside this block are settled: length below zero, dealt out by place.
-                order = np.lexsort((begin, doc, content, anchor))
-                anchor, content, doc, begin, size = (x[order] for x in (anchor, content, doc, begin, size))
+                order = np.lexsort((begin, row, doc, content, anchor))
+                anchor, content, doc, row, begin, size = (x[order] for x in (anchor, content, doc, row, begin, size))
                 again = np.zeros(len(anchor), bool)
                 again[1:] = (anchor[1:] == anchor[:-1]) & (content[1:] == content[:-1])
-                anchor = np.where(again, mix(doc.astype(np.uint64) ^ mix(begin.astype(np.uint64))), anchor)
+                anchor = np.where(again, mix(doc.astype(np.uint64) ^ mix(row.astype(np.uint64) ^ mix(begin.astype(np.uint64)))), anchor)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(anchor.view(np.int64)),
                         pa.array(content.view(np.int64)),
                         pa.array(doc),
+                        pa.array(row),
                         pa.array(begin),
                         pa.array(np.where(again, -size, size).astype(np.int32)),
                     ],
-                    names=["anchor", "content", "doc", "begin", "length"],
+                    names=["anchor", "content", "doc", "row", "begin", "length"],
                 )
 
     return anchors
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (anchor, content, doc, begin): stretches that are covered (length < 0), and those to fetch.
+    """Rows sorted by (anchor, content, doc, row, begin): stretches that are covered (length < 0), and those to fetch.
 
-    State from one batch to the next: the last row's keys, and the first row of its
+    A document that came in several rows has several rows of each stretch; one is left.
+    State from one batch to the next: the last row and its keys, and the first row of its
     anchor as long as it is not known whether it must be fetched.
     """
     last = (None, None)
+    place = None
     held = None
     for batch in batches:
         columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        settled = columns[4] < 0
+        if len(columns[0]):
+            same = np.logical_and.reduce([c[1:] == c[:-1] for c in columns[:5]])
+            now = tuple(int(c[-1]) for c in columns[:5])
+            same = np.append(place == tuple(int(c[0]) for c in columns[:5]), same)
+            columns, place = [c[~same] for c in columns], now
+        settled = columns[5] < 0
         keep = [c[~settled] for c in columns]
         out = [[c[settled] for c in columns]]
         anchor, content = keep[0], keep[1]
@@ -169,20 +178,20 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             firsts = np.flatnonzero(new_anchor)
             fetch[firsts[mixed[group[firsts]]]] = True
             rows = [c[covered].copy() for c in keep]
-            rows[4] = -rows[4]
+            rows[5] = -rows[5]
             out += [rows, [c[fetch] for c in keep]]
             if len(firsts):
                 k = firsts[-1]
                 held = None if mixed[group[k]] else [c[k : k + 1] for c in keep]
             last = (anchor[-1], content[-1])
-        merged = [np.concatenate([o[i] for o in out]) for i in range(5)]
+        merged = [np.concatenate([o[i] for o in out]) for i in range(6)]
         yield pa.RecordBatch.from_arrays([pa.array(m) for m in merged], names=batch.schema.names)
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, texts in batches_of(batch):
-            wanted = part.column(2)
+            wanted = part.column(3)
             of = np.repeat(np.arange(len(texts)), wanted.value_lengths().to_numpy(zero_copy_only=False)).tolist()
             anchor, begin, length = (wanted.flatten().field(i) for i in range(3))
             cut = zip(of, begin.to_pylist(), length.to_pylist(), strict=True)
@@ -190,10 +199,11 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     anchor,
                     part.column(1).take(pa.array(of, pa.int64())),
+                    part.column(2).take(pa.array(of, pa.int64())),
                     begin,
                     pa.array([texts[i][b : b + n] for i, b, n in cut], pa.binary()),
                 ],
-                names=["anchor", "doc", "begin", "bytes"],
+                names=["anchor", "doc", "row", "begin", "bytes"],
             )
 
 
@@ -292,30 +302,32 @@ def repeated_windows(parts: list[bytes], length: int = LENGTH) -> list[np.ndarra
 
 
 def _index_groups(length: int):
-    """Rows sorted by (anchor, doc, begin): whole anchors are gathered into indexes of about INDEX_BYTES."""
+    """Rows sorted by (anchor, doc, row, begin): whole anchors are gathered into indexes of about INDEX_BYTES."""
 
-    def run(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
+    def run(rows: list[tuple[int, int, int, int, bytes]]) -> pa.RecordBatch:
         spans = []
-        order = sorted(range(len(rows)), key=lambda i: rows[i][1:3])
-        for i, places in zip(order, repeated_windows([rows[i][3] for i in order], length), strict=True):
+        order = sorted(range(len(rows)), key=lambda i: rows[i][1:4])
+        for i, places in zip(order, repeated_windows([rows[i][4] for i in order], length), strict=True):
             if len(places):
                 cut = np.flatnonzero(np.diff(places) > length)
                 for a, b in zip(np.append(0, cut + 1), np.append(cut, len(places) - 1), strict=True):
-                    spans.append((rows[i][1], rows[i][2] + int(places[a]), int(places[b] - places[a]) + length))
+                    spans.append((*rows[i][1:3], rows[i][3] + int(places[a]), int(places[b] - places[a]) + length))
         return pa.RecordBatch.from_arrays(
-            [pa.array([s[k] for s in spans], pa.int64()) for k in range(3)], names=["doc", "begin", "length"]
+            [pa.array([s[k] for s in spans], pa.int64()) for k in range(4)], names=["doc", "row", "begin", "length"]
         )
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple[int, int, int, bytes]] = []
+        rows: list[tuple[int, int, int, int, bytes]] = []
         size = 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if size >= INDEX_BYTES and row[0] != rows[-1][0]:
                     yield run(rows)
                     rows, size = [], 0
+                if rows and row[:4] == rows[-1][:4]:  # of a document that came in several rows
+                    continue
                 rows.append(row)
-                size += len(row[3])
+                size += len(row[4])
         if rows:
             yield run(rows)
 
@@ -354,24 +366,27 @@ def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def dedup_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """All columns of ``docs`` (doc_id, text, ...) with kept_bytes and removed, the list of removed [begin, end)."""
-    docs = docs.drop("kept_bytes", "removed", "_spans", "_doc")
-    rows = docs.select("doc_id", "text").mapInArrow(_anchors(length), _ROWS)
-    met = rows.repartition("anchor").sortWithinPartitions("anchor", "content", "doc", "begin")
+    docs = docs.drop("kept_bytes", "removed", "_spans", "_doc", "_row", "_marked", "_marked_row")
+    named = [F.coalesce("doc_id", F.lit(_NO_DOC)).alias("_doc"), F.xxhash64("text").alias("_row")]
+    rows = docs.select(named[0], "text", named[1]).mapInArrow(_anchors(length), _ROWS)
+    met = rows.repartition("anchor").sortWithinPartitions("anchor", "content", "doc", "row", "begin")
     settled = landed(met.mapInArrow(_settle, _ROWS), "stretches")
-    covered = settled.filter("length < 0").select("doc", "begin", (-F.col("length")).cast("bigint").alias("length"))
+    covered = settled.filter("length < 0").select("doc", "row", "begin", (-F.col("length")).cast("bigint").alias("length"))
 
-    keyed = docs.select("text", F.coalesce("doc_id", F.lit(_NO_DOC)).alias("_doc"))
-    wanted = settled.filter("length > 0").groupBy("doc").agg(
+    keyed = docs.select("text", *named)
+    of_doc = (F.col("_doc") == F.col("doc")) & (F.col("_row") == F.col("row"))
+    wanted = settled.filter("length > 0").groupBy("doc", "row").agg(
         F.collect_list(F.struct("anchor", "begin", "length")).alias("w")
     )
-    fetched = keyed.join(wanted, F.col("_doc") == F.col("doc")).select("text", "doc", "w")
-    fetched = fetched.mapInArrow(_fetch, "anchor bigint, doc bigint, begin bigint, bytes binary")
-    fetched = fetched.repartition("anchor").sortWithinPartitions("anchor", "doc", "begin")
+    fetched = keyed.join(wanted, of_doc).select("text", "doc", "row", "w")
+    fetched = fetched.mapInArrow(_fetch, "anchor bigint, doc bigint, row bigint, begin bigint, bytes binary")
+    fetched = fetched.repartition("anchor").sortWithinPartitions("anchor", "doc", "row", "begin")
     spans = covered.union(fetched.mapInArrow(_index_groups(length), _SPANS))
 
-    marked = spans.groupBy("doc").agg(F.collect_list(F.struct("begin", "length")).alias("_spans"))
-    joined = docs.withColumn("_doc", F.coalesce("doc_id", F.lit(_NO_DOC))).join(marked, F.col("_doc") == F.col("doc"), "left")
-    joined = joined.drop("doc", "_doc")
+    marked = spans.groupBy(F.col("doc").alias("_marked"), F.col("row").alias("_marked_row"))
+    marked = marked.agg(F.collect_list(F.struct("begin", "length")).alias("_spans"))
+    mine = (F.col("_doc") == F.col("_marked")) & (F.col("_row") == F.col("_marked_row"))
+    joined = docs.select("*", *named).join(marked, mine, "left").drop("_doc", "_row", "_marked", "_marked_row")
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return joined.mapInArrow(_cover, f"{kept}, kept_bytes binary, removed array<array<bigint>>")
 
