@@ -29,14 +29,12 @@ RECENT_DAYS = 7
 
 
 def extract_board_items(pages: DataFrame, html: str = "html") -> DataFrame:
-    """One row per ``tr.listitem`` of ``tbody.listbody``; missing elements are null.
+    """One row per ``tr.listitem`` of the first ``tbody.listbody``; missing elements are null.
 
     Keeps the page's other columns and adds ``pos`` (1-based), title, href,
     author, time, read_count and reply_count.
     """
-    body = r"(?is)<tbody(?=[\s>])[^>]*class=[\"'][^\"']*\blistbody\b[^>]*>.*?(?=</tbody\s*>|\z)"
-    bodies = M.all_matches(M.visible(F.col(html)), body)
-    rows = F.flatten(F.transform(bodies, M.row_array))
+    rows = M.row_array(M.applied(M.visible(F.col(html)), "bb", M.element_sql("bb", "listbody", "tbody")))
     listed = f"x -> array_contains({M.class_list_sql(M.open_tag_sql('x'))}, 'listitem')"
     items = F.call_function("filter", rows, F.expr(listed))
     keep = [c for c in pages.columns if c != html]

@@ -14,7 +14,7 @@ from operator import add as plus
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.plans.emit import once
@@ -151,6 +151,79 @@ def vector_topk(emb: DataFrame, query: Sequence[float], k: int) -> DataFrame:
     return best.filter("score IS NOT NULL").withColumn("score", F.round("score", 6))
 
 
+TILE_QUERIES = 4096
+BLOCK_VECTORS = 16_384
+_SCORED = "query_id bigint, vec_id bigint, score double"
+
+
+def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors (n, d) of one length, ascending by id."""
+    ids, vectors = table.column("vec_id").to_numpy(), table.column("v").combine_chunks()
+    values = np.asarray(vectors.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(ids), -1)
+    order = np.argsort(ids, kind="stable")
+    return ids[order], values[order]
+
+
+def _best_of_block(k: int):
+    """The best ``k`` rows of a block for each query of a tile, by matrix products of a few queries at a time."""
+
+    def best(block: pa.Table, tile: pa.Table) -> pa.Table:
+        found: list[list[np.ndarray]] = [[], [], []]
+        if block.num_rows and tile.num_rows:
+            (ids, rows), (queries, wanted) = _matrix(block), _matrix(tile)
+            norms = np.sqrt(np.einsum("ij,ij->i", rows, rows))
+            for a in range(0, len(queries), 256):
+                some = wanted[a : a + 256]
+                lengths = np.sqrt(np.einsum("ij,ij->i", some, some))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    scores = (some @ rows.T) / norms / lengths[:, None]
+                scores[~np.isfinite(scores)] = -np.inf
+                n = min(k, len(ids))
+                least = -np.partition(-scores, n - 1, axis=1)[:, n - 1 : n]
+                i, j = np.nonzero((scores >= least) & np.isfinite(scores))
+                order = np.lexsort((ids[j], -scores[i, j], i))
+                i, j = i[order], j[order]
+                rank = np.arange(len(i)) - np.searchsorted(i, i)
+                i, j = i[rank < k], j[rank < k]
+                for column, values in zip(found, (queries[a + i], ids[j], scores[i, j]), strict=True):
+                    column.append(values)
+        schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+        columns = [pa.array(np.concatenate(c) if c else [], f.type) for c, f in zip(found, schema, strict=True)]
+        return pa.Table.from_arrays(columns, schema=schema)
+
+    return best
+
+
+def vector_topk_batch(emb: DataFrame, wanted: Column, k: int) -> DataFrame:
+    """(query_id, vec_id, rank, score): exact nearest vectors of every row for which ``wanted`` holds.
+
+    Queries go into tiles and rows into blocks of bounded size, dealt by a hash; every
+    tile meets every block in a task of its own, which returns at most ``k`` rows a query.
+    Those are merged by a window with a limit, cut down before its shuffle.  Only vectors
+    of one length meet; null vectors and components, zero vectors and other lengths of
+    the pair give no row.  Ties go to the smaller id.  Ids must be unique.
+    """
+    usable = F.col("embedding").isNotNull() & ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x))
+    rows = emb.filter(usable & F.col("vec_id").isNotNull() & (F.size("embedding") > 0))
+    rows = rows.select("vec_id", F.col("embedding").cast("array<double>").alias("v"), F.size("embedding").alias("d"), wanted.alias("w"))
+    size = rows.agg(F.count("*").alias("n"), F.count_if("w").alias("q")).first()
+    n_blocks, n_tiles = max(1, -(-size["n"] // BLOCK_VECTORS)), max(1, -(-size["q"] // TILE_QUERIES))
+
+    def dealt(n: int, seed: int) -> Column:
+        return F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    blocks = rows.select("vec_id", "v", "d", dealt(n_blocks, 1).alias("block"), every(n_tiles).alias("tile"))
+    tiles = rows.filter("w").select("vec_id", "v", "d", dealt(n_tiles, 2).alias("tile"), every(n_blocks).alias("block"))
+    at = ["tile", "block", "d"]
+    best = blocks.groupBy(*at).cogroup(tiles.groupBy(*at)).applyInArrow(_best_of_block(k), _SCORED)
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
+
+
 def _fusion_depth(k: int, c: int) -> int:
     """Depth at which no document outside both top lists can reach the fused top ``k``.
 

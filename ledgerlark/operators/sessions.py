@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,3 +108,39 @@ def request_stats(log: DataFrame, message: str = "message") -> DataFrame:
         F.round(F.avg("seconds"), 4).alias("mean_seconds"),
         F.max("seconds").alias("max_seconds"),
     )
+
+
+ERROR = 0.01  # of a quantile, relative to its value
+
+
+def request_sketches(log: DataFrame, message: str = "message", ts: str = "ts", error: float = ERROR) -> DataFrame:
+    """(day, status, bucket, requests, seconds): mergeable sketches of request times, one for each day and status.
+
+    Bucket b holds times in (g**(b-1), g**b] with g = (1 + error) / (1 - error), so the
+    bucket's middle is within ``error`` of each of them, relative to its size.  Sketches
+    of any days merge by adding up buckets; their number grows with the logarithm of the
+    largest time only.  Bucket null counts times of zero.
+    """
+    from ledgerlark.functions.logs import parse_request_line
+
+    fields = parse_request_line(F.col(message))
+    rows = log.select(F.to_date(ts).alias("day"), fields["status"].alias("status"), fields["seconds"].alias("_s"))
+    bucket = F.when(F.col("_s") > 0, F.ceil(F.ln("_s") / F.lit(math.log((1 + error) / (1 - error)))).cast("int"))
+    return rows.filter("_s IS NOT NULL AND status IS NOT NULL").groupBy("day", "status", bucket.alias("bucket")).agg(
+        F.count("*").alias("requests"), F.sum("_s").alias("seconds")
+    )
+
+
+def sketch_quantiles(sketches: DataFrame, shares: Sequence[float], keys: Sequence[str] = ("status",), error: float = ERROR) -> DataFrame:
+    """(keys, p..): quantiles of the merged sketches, each within ``error`` of the time of that rank.
+
+    The rank of share q among n times is ceil(q n).  A key has few hundred buckets, whatever
+    the number of requests.
+    """
+    merged = sketches.groupBy(*keys, "bucket").agg(F.sum("requests").alias("n"))
+    order = Window.partitionBy(*keys).orderBy(F.asc_nulls_first("bucket"))
+    upto = merged.withColumn("upto", F.sum("n").over(order)).withColumn("all", F.sum("n").over(Window.partitionBy(*keys)))
+    growth = (1 + error) / (1 - error)
+    middle = F.coalesce(F.lit(2.0) * F.pow(F.lit(growth), F.col("bucket")) / F.lit(growth + 1), F.lit(0.0))
+    at = [F.min(F.when(F.col("upto") >= F.ceil(F.col("all") * q), middle)) for q in shares]
+    return upto.groupBy(*keys).agg(*[F.round(c, 6).alias(f"p{round(100 * q)}") for c, q in zip(at, shares, strict=True)])

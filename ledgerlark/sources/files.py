@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerlark.functions.logs import LEVEL_RANK, level_rank
 from ledgerlark.functions.text import norm_code
+from ledgerlark.plans import chunked
 
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -95,6 +96,37 @@ def route_by_level(log: DataFrame, console_level: str = "WARNING") -> DataFrame:
     return log.select("*", F.explode(taken).alias("_s")).select(*log.columns, F.col("_s.sink").alias("sink"))
 
 
+def rotated(
+    lines: DataFrame, order: str, max_bytes: int, keep: int, by: str = "sink", line: str = "line", chunk_rows: int = 65_536
+) -> DataFrame:
+    """Log lines of each ``by`` with the number ``file`` of the file they go to; files beyond the newest ``keep`` are gone.
+
+    Files are planned, not filled one after the other: a line goes by the bytes of all
+    lines before it (line breaks counted), a running sum over chunks of ``order``, a
+    unique number.  Files start at multiples of ``max_bytes`` less the longest line, so
+    none exceeds ``max_bytes`` but one that holds a single longer line.
+    """
+    size = (F.octet_length(F.coalesce(line, F.lit(""))) + 1).cast("bigint")
+    placed = chunked.running_sum(
+        lines.withColumn("_size", size), [by], [F.col(order)], chunked.dense_chunk(F.col(order), chunk_rows), F.col("_size"), "_upto"
+    )
+    width = F.greatest(F.lit(max_bytes) - F.max("_size") + 1, F.lit(1))
+    widths = lines.withColumn("_size", size).groupBy(F.col(by).alias("_by")).agg(
+        width.alias("_width"), F.sum("_size").alias("_all"), F.max_by("_size", order).alias("_last")
+    )
+    placed = placed.join(widths, F.col(by).eqNullSafe(F.col("_by")))
+    number = lambda start: F.floor(start / F.col("_width")).cast("bigint")
+    newest = number(F.col("_all") - F.col("_last"))
+    placed = placed.withColumn("file", number(F.col("_upto") - F.col("_size"))).filter(newest - F.col("file") < keep)
+    return placed.drop("_size", "_upto", "_width", "_all", "_last", "_by")
+
+
+def write_rotated(planned: DataFrame, path: str, by: str = "sink", order: str = "seq") -> None:
+    """One folder for each file of :func:`rotated`, its lines in order."""
+    dealt = planned.repartition(by, "file").sortWithinPartitions(by, "file", order)
+    dealt.select(by, "file", "line").write.mode("errorifexists").partitionBy(by, "file").text(path)
+
+
 def write_logs(routed: DataFrame, path: str, max_records: int = 1_000_000, mode: str = "append") -> None:
     """One partition per sink; files roll over by record count.  Also writes batches of a stream."""
     routed.write.mode(mode).option("maxRecordsPerFile", max_records).partitionBy("sink").parquet(path)

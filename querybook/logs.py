@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlark.functions import logs as G
 from ledgerlark.operators import sessions as H
 from ledgerlark.session import fresh_path
-from ledgerlark.sources.files import route_by_level, write_logs
+from ledgerlark.sources.files import rotated, route_by_level, write_logs, write_rotated
 from querybook.base import query, table
 
 # Event type to level; one level each.
@@ -43,6 +43,32 @@ def _route(spark, sf):
     return spark.read.parquet(path).select("event_id", "level", "sink")
 
 
+_MAX_BYTES, _KEPT = 20_000, 5
+
+
+@query("rotate_logs", f"""
+WITH lines AS (
+  SELECT sink, event_id, level || ' - m' || event_id || ' - ' || strftime(ts, '%Y-%m-%d %H:%M:%S') AS line
+  FROM (SELECT event_id, ts, {_LEVEL} AS level FROM events), (SELECT unnest(['info', 'error', 'debug', 'alert']) AS sink)
+  WHERE sink = 'debug' OR sink = 'info' AND level <> 'DEBUG' OR sink = 'error' AND level IN ('ERROR', 'CRITICAL')
+     OR sink = 'alert' AND level IN ('WARNING', 'ERROR', 'CRITICAL')),
+sized AS (SELECT *, strlen(line) + 1 AS size, sum(strlen(line) + 1) OVER (PARTITION BY sink ORDER BY event_id) AS upto,
+  {_MAX_BYTES} - max(strlen(line) + 1) OVER (PARTITION BY sink) + 1 AS width FROM lines),
+placed AS (SELECT *, CAST((upto - size) // width AS BIGINT) AS file FROM sized),
+kept AS (SELECT *, max(file) OVER (PARTITION BY sink) AS newest FROM placed)
+SELECT sink, file, count(*) AS lines, CAST(sum(size) AS BIGINT) AS bytes FROM kept WHERE newest - file < {_KEPT} GROUP BY ALL""")
+def _rotate(spark, sf):
+    """Lines of every sink in files of limited size, the newest kept, written and read back."""
+    path = fresh_path(spark, "rotated")
+    routed = route_by_level(run_log(spark, sf).withColumn("m", F.concat(F.lit("m"), F.col("event_id").cast("string"))))
+    lines = routed.select("sink", F.col("event_id").alias("seq"), G.log_line(F.col("level"), F.col("m"), F.col("ts")).alias("line"))
+    write_rotated(rotated(lines, "seq", _MAX_BYTES, _KEPT), path)
+    back = spark.read.schema("value string, sink string, file bigint").format("text").load(path)
+    return back.groupBy("sink", "file").agg(
+        F.count("*").alias("lines"), F.sum(F.octet_length("value") + 1).cast("bigint").alias("bytes")
+    )
+
+
 @query("request_stats", """
 WITH r AS (SELECT CASE event_id % 10 WHEN 0 THEN 404 WHEN 1 THEN 500 ELSE 200 END AS status,
     CASE WHEN event_id % 6 <> 0 AND value <> 0 THEN round(value, 2) END AS seconds FROM events WHERE event_id % 4 <> 3)
@@ -52,6 +78,25 @@ def _stats(spark, sf):
     return H.request_stats(run_log(spark, sf))
 
 
+# Ratio of neighbouring buckets at a relative error of one per cent.
+_G = "(CAST(1.01 AS DOUBLE) / CAST(0.99 AS DOUBLE))"
+
+
+@query("request_quantiles", f"""
+WITH r AS (SELECT CASE event_id % 10 WHEN 0 THEN 404 WHEN 1 THEN 500 ELSE 200 END AS status, round(value, 2) AS seconds
+    FROM events WHERE event_id % 4 <> 3 AND event_id % 6 <> 0 AND value <> 0),
+b AS (SELECT status, CASE WHEN seconds > 0 THEN CAST(ceil(ln(seconds) / ln({_G})) AS INTEGER) END AS bucket, count(*) AS n FROM r GROUP BY ALL),
+u AS (SELECT *, sum(n) OVER (PARTITION BY status ORDER BY bucket NULLS FIRST) AS upto, sum(n) OVER (PARTITION BY status) AS total,
+    coalesce(2 * pow({_G}, bucket) / ({_G} + 1), 0) AS middle FROM b)
+SELECT status, round(min(middle) FILTER (upto >= ceil(total * CAST(0.5 AS DOUBLE))), 6) AS p50,
+  round(min(middle) FILTER (upto >= ceil(total * CAST(0.95 AS DOUBLE))), 6) AS p95 FROM u GROUP BY status""")
+def _quantiles(spark, sf):
+    """Sketches stored by day, read back and merged over all days."""
+    path = fresh_path(spark, "sketches")
+    H.request_sketches(run_log(spark, sf)).write.partitionBy("day").parquet(path)
+    return H.sketch_quantiles(spark.read.parquet(path), (0.5, 0.95))
+
+
 @query("log_line", f"""
 SELECT event_id, {_LEVEL} || ' - m' || event_id || ' - ' || strftime(ts, '%Y-%m-%d %H:%M:%S') AS info_line,
   {_LEVEL} || ' - run.py:' || (event_id % 100) || ' - m' || event_id || ' - ' || strftime(ts, '%Y-%m-%d %H:%M:%S') AS error_line,

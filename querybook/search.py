@@ -89,6 +89,15 @@ def _vector(spark, sf):
     return K.vector_topk(emb, K.query_vector(emb, 0), 10)
 
 
+@query("vector_topk_batch", """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, r.vec_id, list_cosine_similarity(q.v, r.v) AS score FROM v q JOIN v r ON q.vec_id % 20 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM ranked WHERE rank <= 10""")
+def _vector_batch(spark, sf):
+    return K.vector_topk_batch(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, 10)
+
+
 @query("hybrid_topk", f"""
 WITH {COS_SQL}, {bm25_sql('documents', ['the', 'letion', 'éreen', 'nteres'])},
 v AS (SELECT vec_id AS id, row_number() OVER (ORDER BY score DESC, vec_id) AS vec_rank FROM cs),
