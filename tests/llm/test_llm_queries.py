@@ -20,6 +20,7 @@ COLUMNS = {
     "op8_toxicity": "doc_id held_out score predicted",
     "op9_token_records": "doc_id start n_tokens ids_crc32",
     "op10_sentencepiece": "doc_id n_pieces round_trip",
+    "op11_fill_in_middle": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
 }
 
 
@@ -36,6 +37,13 @@ def test_query_has_a_row_for_each_document(spark, name):
     assert sorted(r[0] for r in got.select("doc_id").collect()) == sorted(r[0] for r in docs.select("doc_id").collect())
 
 
+def test_one_row_for_each_vector(spark):
+    got = QUERIES["op13_embedding_dedup"](spark, SMALL).collect()
+    vectors = spark.read.parquet(f"{SMALL}/embeddings.parquet")
+    assert sorted(r["vec_id"] for r in got) == sorted(r[0] for r in vectors.select("vec_id").collect())
+    assert all(r["kept"] == (r["vec_id"] == r["component_id"]) and r["n_links"] >= 0 for r in got)
+
+
 def test_records_start_where_the_ones_before_end(spark):
     rows = sorted((r["doc_id"], r["start"], r["n_tokens"]) for r in QUERIES["op9_token_records"](spark, SMALL).collect())
     total = 0
