@@ -2,15 +2,16 @@
 
 The test items are the indexed side; each passage of each document is a query.
 
-* Items and texts are runs of letters and digits, A-Z lower-cased.  An item is a
+* Items and texts are runs of letters and digits, A-Z lower-cased; in scripts without
+  blanks each sign is a word.  An item is a
   question and an answer: two columns, or one text whose last line is the answer
   (a text of one line is a question without an answer).
 * The index has BM25 impacts divided by the item's own score, so that a passage
   with all words of an item scores 1.  Items are indexed by length, each class
   up to a quarter longer than the one before; statistics are those of all items.
   Posting lists are cut into blocks with their largest impacts.
-* Passages are windows of two cells; a cell is as long as the longest item of
-  the class, so each item-long stretch of a document lies within one passage.
+* Passages are windows of two cells; a cell is as long as an item of the class
+  can be, so each item-long stretch of a document lies within one passage.
 * Block-max WAND retrieves every item with a score of at least ``threshold``.
   Two bounds are made for many passages at once ahead of the walk.  Common terms,
   which are in most passages, add at most ``spare`` to any item's score, so the
@@ -22,12 +23,16 @@ The test items are the indexed side; each passage of each document is a query.
   question and of its answer are in the passage (parts of fewer than five words
   are one shingle of all their words).
 
-Documents are read once and not shuffled.  Items reach the tasks in parts of at
-most ``part_bytes`` of text, each an index of its own; what is beyond one part
-costs further passes over the documents, not memory.
+Documents are read once and not shuffled.  Items reach the tasks in parts of about
+``part_bytes`` of text, each an index of its own; what is beyond one part costs
+further passes over the documents, not memory.  With several parts, Spark counts the
+items that have each word, once, and each part gets the counts of its own words, so
+the parts make no difference to the result.
 
-Items of fewer than five words are not searched for: any text has them.  Null or
-empty texts hold nothing.  Items with equal texts are each reported.  Without
+Items of one to four words are no passage that BM25 could tell from ordinary text:
+they are found, with score 1, where whole lines of a document hold just their words
+in their order, question before answer.  Items without words are not searched for.
+Null or empty texts hold nothing.  Items with equal texts are each reported.  Without
 items, or documents, the result is empty.
 """
 
@@ -45,6 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.texts import LOWER, RUN, batches_of, owners, windows, word_hashes
+from ledgerlark.session import landed
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -61,7 +67,7 @@ _CLASSES = np.where(RUN == 1, 1, 0).astype(np.uint8)
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    return word_hashes([t.translate(LOWER) for t in texts], _CLASSES)
+    return word_hashes([t.translate(LOWER) for t in texts], _CLASSES, apart=True)
 
 
 def _shingles(hashes: np.ndarray) -> np.ndarray:
@@ -100,35 +106,54 @@ class Item:
     length: int
 
 
-def weigh(items: list[tuple[int, str, str]]) -> list[Item]:
-    """Items (id, question, answer) that are long enough, with BM25 impacts as shares of their own score."""
+@dataclass
+class Statistics:
+    """Of all items of at least five words: their number, their words, and how many of them have a word."""
+
+    n: int
+    words: int
+    df: dict[int, int]
+
+
+def item_words(items: list[tuple[int, str, str]]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(id, words of the question, words of the answer) of each item (id, question, answer)."""
     questions, q_at = tokens([q.encode() for _, q, _ in items])
     answers, a_at = tokens([a.encode() for _, _, a in items])
-    chosen = []
     for i, (item_id, _, _) in enumerate(items):
-        question, answer = questions[q_at[i] : q_at[i + 1]], answers[a_at[i] : a_at[i + 1]]
+        yield item_id, questions[q_at[i] : q_at[i + 1]], answers[a_at[i] : a_at[i + 1]]
+
+
+def weigh(items: list[tuple[int, str, str]], statistics: Statistics | None = None) -> list[Item]:
+    """Items of at least five words, with BM25 impacts as shares of their own score.
+
+    Without ``statistics``, these items are all there are.
+    """
+    chosen = []
+    for item_id, question, answer in item_words(items):
         if len(question) + len(answer) >= WIDTH:
             parts = [(min(WIDTH, len(p)), _shingles(p)) for p in (question, answer)]
             chosen.append((item_id, parts, Counter(np.concatenate([question, answer]).tolist())))
-    df = Counter(t for _, _, bag in chosen for t in bag)
-    n, mean = len(chosen), float(np.mean([sum(b.values()) for _, _, b in chosen] or [1]))
+    if statistics is None:
+        df = Counter(t for _, _, bag in chosen for t in bag)
+        statistics = Statistics(len(chosen), sum(sum(bag.values()) for _, _, bag in chosen), df)
+    df, n, mean = statistics.df, statistics.n, statistics.words / max(1, statistics.n)
     out = []
     for item_id, parts, bag in chosen:
         length = sum(bag.values())
         norm = K1 * (1 - B + B * length / mean)
         impact = {t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * f * (K1 + 1) / (f + norm) for t, f in bag.items()}
-        own = sum(impact.values())
+        own = math.fsum(impact.values())
         out.append(Item(item_id, parts, {t: x / own for t, x in impact.items()}, length))
     return out
 
 
 class Index:
-    """Inverted index of weighed items."""
+    """Inverted index of weighed items; ``longest`` is the most words that an item of its class can have."""
 
-    def __init__(self, items: list[Item]):
+    def __init__(self, items: list[Item], longest: int | None = None):
         self.ids = [i.item_id for i in items]
         self.parts = [i.parts for i in items]
-        self.longest = max(i.length for i in items)
+        self.longest = longest or max(i.length for i in items)
         lists: dict[int, list[tuple[int, float]]] = {}
         for i, item in enumerate(items):
             for t, x in item.impacts.items():
@@ -164,12 +189,47 @@ class Index:
         return at[known], term[known]
 
 
-def indexes(items: list[tuple[int, str, str]]) -> list[Index]:
-    """An index for each class of lengths."""
+def indexes(items: list[tuple[int, str, str]], statistics: Statistics | None = None) -> list[Index]:
+    """An index for each class of lengths; cells follow from the class alone, whichever items are in this part."""
     classes: dict[int, list[Item]] = {}
-    for item in weigh(items):
+    for item in weigh(items, statistics):
         classes.setdefault(int(math.log(item.length) / math.log(LENGTH_STEP)), []).append(item)
-    return [Index(c) for c in classes.values()]
+    return [Index(c, math.ceil(LENGTH_STEP ** (k + 1))) for k, c in classes.items()]
+
+
+class ShortItems:
+    """Items of one to four words, by the hash of their words in order."""
+
+    def __init__(self, items: list[tuple[int, str, str]]):
+        self.by_length: dict[int, dict[int, list[tuple[int, tuple]]]] = {}
+        for item_id, question, answer in item_words(items):
+            words = np.concatenate([question, answer])
+            if 0 < len(words) < WIDTH:
+                key = int(windows(words, np.array([0, len(words)]), len(words))[0][0])
+                self.by_length.setdefault(len(words), {}).setdefault(key, []).append((item_id, tuple(words.tolist())))
+
+    def search(self, texts: list[bytes]) -> Iterator[tuple]:
+        """Rows as of :func:`search_texts` for the items that stand on whole lines."""
+        if not self.by_length:
+            return
+        lines = [t.split(b"\n") for t in texts]
+        hashes, line_at = tokens([x for ls in lines for x in ls])
+        places = line_at[np.cumsum([0, *map(len, lines)])]
+        edge = np.zeros(len(hashes) + 1, bool)
+        edge[line_at] = True
+        owner, found = owners(places), set()
+        for length, wanted in self.by_length.items():
+            if len(hashes) < length:
+                continue
+            # Windows over all texts as one; those that reach into a second text are left out below.
+            keys = windows(hashes, np.array([0, len(hashes)]), length)[0]
+            begin = np.arange(len(keys))
+            whole = edge[begin] & edge[begin + length] & (owner[begin] == owner[begin + length - 1])
+            for at in np.flatnonzero(whole & np.isin(keys, np.array(list(wanted), np.uint64))).tolist():
+                here = tuple(hashes[at : at + length].tolist())
+                found.update((int(owner[at]), i) for i, words in wanted[int(keys[at])] if words == here)
+        for row, item_id in sorted(found):
+            yield row, item_id, 1.0, 1.0, 1.0
 
 
 def block_max_wand(index: Index, query: np.ndarray, threshold: float) -> list[tuple[int, float]]:
@@ -295,12 +355,14 @@ def search_texts(index: Index, words_of_texts: tuple, threshold: float, overlap:
 
 def _search(held, threshold: float, overlap: float):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = indexes(held.value)
+        items, statistics = held.value
+        classes, short = indexes(items, statistics), ShortItems(items)
         for batch in batches:
             for part, texts in batches_of(batch):
                 ids = part.column(part.schema.get_field_index("doc_id"))
                 words = tokens(texts)
                 found = [x for index in classes for x in search_texts(index, words, threshold, overlap)]
+                found.extend(short.search(texts))
                 columns = list(zip(*found, strict=True)) or [()] * 5
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -317,6 +379,40 @@ def _search(held, threshold: float, overlap: float):
 FOUND = "doc_id bigint, item_id bigint, score double, question_overlap double, answer_overlap double"
 
 
+def _asked(row) -> tuple[int, str, str]:
+    return (row["item_id"], *((row["q"], row["a"]) if row["a"] is not None else split_item(row["q"])))
+
+
+def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, term, words of the item) for each distinct word of an item of at least five words; with its first one
+    goes the number of its words, with the others 0."""
+    for batch in batches:
+        rows = batch.to_pylist()
+        for row, (_, question, answer) in zip(rows, item_words([_asked(r) for r in rows]), strict=True):
+            words = np.concatenate([question, answer])
+            if len(words) >= WIDTH:
+                term = np.unique(words).astype(np.int64)
+                length = np.zeros(len(term), np.int64)
+                length[0] = len(words)
+                part = np.full(len(term), row["part"], np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part), pa.array(term), pa.array(length)], names=["part", "term", "words"]
+                )
+
+
+def _statistics(items: DataFrame) -> Iterator[Statistics]:
+    """For each part the statistics of all items, with the counts of the part's own words."""
+    n_parts = items.agg(F.max("part")).first()[0] + 1
+    terms = landed(items.mapInArrow(_item_terms, "part int, term bigint, words bigint"), "item_terms")
+    total = terms.agg(F.count_if(F.col("words") > 0), F.coalesce(F.sum("words"), F.lit(0))).first()
+    df = terms.groupBy("term").agg(F.count("*").alias("df"))
+    counts = landed(terms.select("part", "term").distinct().join(df, "term"), "item_counts")
+    for part in range(n_parts):
+        mine = counts.filter(F.col("part") == part).select("term", "df").toArrow()  # no more than the part's words
+        of = dict(zip(mine["term"].to_numpy().astype(np.uint64).tolist(), mine["df"].to_pylist(), strict=True))
+        yield Statistics(total[0], total[1], of)
+
+
 def contaminated(
     docs: DataFrame,
     items: DataFrame,
@@ -336,11 +432,14 @@ def contaminated(
     items = items.filter("item_id IS NOT NULL").select("item_id", *cols)
     size = items.agg(F.sum(F.octet_length("q") + F.coalesce(F.octet_length("a"), F.lit(0)))).first()[0] or 0
     n_parts = max(1, -(-size // part_bytes))
+    of_part = F.pmod(F.xxhash64("item_id", "q", "a"), F.lit(n_parts)).cast("int")
+    items = items.withColumn("part", of_part)
+    # One part knows the statistics by itself.
+    statistics = {0: None} if n_parts == 1 else dict(enumerate(_statistics(items)))
     out = None
-    for part in range(n_parts):
-        mine = items.filter(F.pmod(F.xxhash64("item_id", "q"), F.lit(n_parts)) == part).orderBy("item_id", "q")
-        rows = [(r["item_id"], *((r["q"], r["a"]) if r["a"] is not None else split_item(r["q"]))) for r in mine.collect()]
-        held = spark.sparkContext.broadcast(rows)
+    for part, known in statistics.items():
+        mine = items.filter(F.col("part") == part).orderBy("item_id", "q", "a")
+        held = spark.sparkContext.broadcast(([_asked(r) for r in mine.collect()], known))
         found = docs.select("doc_id", "text").mapInArrow(_search(held, threshold, overlap), FOUND)
         out = found if out is None else out.union(found)
     return out

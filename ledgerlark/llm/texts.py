@@ -113,24 +113,50 @@ def span_prefixes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, widt
     return out
 
 
+def signs_apart(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans with each sign of a script without blanks as a span of its own.
+
+    These are Han (also beyond the basic plane), Hiragana, Katakana, Thai, Lao, Myanmar and Khmer, told by the first
+    two bytes of a sign.  What stands between two such signs inside a span is a span too.
+    """
+    lead = np.flatnonzero((buffer >= 0xE0) & (buffer <= 0xF0))
+    lead = lead[lead + 1 < len(buffer)]
+    first, second = buffer[lead], buffer[lead + 1]
+    apart = (first == 0xE3) & (second >= 0x81) | (first >= 0xE4) & (first <= 0xE9)
+    apart |= (first == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+    apart |= (first == 0xE1) & ((second >= 0x80) & (second <= 0x82) | (second == 0x9E) | (second == 0x9F))
+    apart |= (first == 0xF0) & (second >= 0xA0) & (second <= 0xB3)
+    lead = lead[apart]
+    if not len(lead):
+        return starts, ends
+    cuts = np.union1d(lead, lead + np.where(buffer[lead] == 0xF0, 4, 3))
+    cuts = np.setdiff1d(cuts, np.concatenate([starts, ends]), assume_unique=False)
+    return np.union1d(starts, cuts), np.union1d(ends, cuts)
+
+
 def word_hashes(
-    texts: list[bytes], classes: np.ndarray = WORD, of: Callable = span_hashes
+    texts: list[bytes], classes: np.ndarray = WORD, of: Callable = span_hashes, apart: bool = False
 ) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of all texts, and the places where each text's words begin (one more than texts).
 
-    ``of`` makes a 64-bit number of each span of a block.
+    ``of`` makes a 64-bit number of each span of a block; with ``apart``, signs of scripts without blanks are words.
     """
+
+    def found_in(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = spans(buffer, classes)
+        return signs_apart(buffer, *found) if apart else found
+
     out, counts = [], np.zeros(len(texts), np.int64)
     for first, last in blocks([len(t) for t in texts]):
         if last - first == 1 and len(texts[first]) > 2 * BLOCK:
             for part in _parts(texts[first]):
                 buffer = np.frombuffer(part, np.uint8)
-                found = of(buffer, *spans(buffer, classes))
+                found = of(buffer, *found_in(buffer))
                 counts[first] += len(found)
                 out.append(found)
             continue
         buffer = np.frombuffer(b" ".join(texts[first:last]), np.uint8)
-        starts, ends = spans(buffer, classes)
+        starts, ends = found_in(buffer)
         ends_of = np.cumsum([len(t) + 1 for t in texts[first:last]])
         counts[first:last] = np.diff(np.searchsorted(starts, ends_of), prepend=0)
         out.append(of(buffer, starts, ends))

@@ -489,6 +489,40 @@ def test_contaminated_against_brute_force(spark):
     assert decontaminate.contaminated(docs.limit(0), table).count() == 0
 
 
+def test_many_parts_of_items_give_the_rows_of_one(spark):
+    items = [(k, prose(500 + k % 9, 12 + 3 * k) + f"\nanswer {prose(700 + k, 4)}") for k in range(30)]
+    rows = [(100 + k, prose(k, 70) + " " + edited(t, k, 1 + k % 9) + " " + prose(k + 1, 20)) for k, t in items]
+    docs, table = docs_of(spark, rows), spark.createDataFrame(items, "item_id bigint, text string")
+
+    def found(part_bytes):
+        got = decontaminate.contaminated(docs, table, 0.5, 0.5, part_bytes).collect()
+        return sorted((r["doc_id"], r["item_id"], *(round(r[c], 9) for c in r.asDict() if c[-2:] != "id")) for r in got)
+
+    one = found(1 << 20)
+    assert len(one) > 10 and found(400) == one and found(2000) == one
+
+
+def test_items_without_blanks_and_short_items(spark):
+    chinese = "长江是中国最长的河流它从青藏高原流入东海"
+    thai = "แม่น้ำเจ้าพระยาไหลผ่านกรุงเทพมหานคร"
+    items = [(1, chinese), (2, thai), (3, "Forty\nTwo"), (4, "yes"), (5, "黄河"), (6, "--"), (7, "yes")]
+    rows = [
+        (1, "我们知道" + chinese + "。"),
+        (2, "ok " + thai),
+        (3, "a line\n forty two! \nyes\nmore"),
+        (4, "the answer is forty two, yes"),
+        (5, "forty\n\ntwo"),
+        (6, "黄河"),
+        (7, "黄河流入渤海" + prose(3, 30)),
+        (8, None),
+        (9, "长江流入东海"),
+        (10, "so forty\ntwo"),
+    ]
+    found = decontaminate.contaminated(docs_of(spark, rows), spark.createDataFrame(items, "item_id bigint, text string"))
+    want = {(1, 1), (2, 2), (3, 3), (3, 4), (3, 7), (5, 3), (6, 5)}
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == want
+
+
 def test_block_max_wand_finds_all_items_above_the_threshold(monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_POSTINGS", 3)
     items = decontaminate.weigh([(k, prose(k, 25), "") for k in range(80)])
