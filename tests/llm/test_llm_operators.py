@@ -408,6 +408,38 @@ def test_short_and_wholly_toxic_texts_are_toxic(spark):
     assert all(got[900 + k] >= 0.5 for k in range(len(dense))) and all(got[950 + k] < 0.5 for k in range(3))
 
 
+def test_toxicity_scores_with_any_size_of_the_table(spark):
+    bad = ["scoundrel", "scoundrels", "wretch"]
+    rows, labels = labelled_rows(300, lambda w, i: w[:20] + [bad[i % 3]] + w[20:40] + [bad[(i + 1) % 3]] + w[40:])
+    rows += [*((900 + k, rows[3 * k][1]) for k in range(5)), (950, None), (951, ""), (None, "wretch wretch")]
+    docs = docs_of(spark, rows).withColumns({"key": F.lit(1), "stem": F.lit("x"), "more": F.lit(2.0)})
+    known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+
+    def scores(table_rows):
+        got = toxicity.score(docs, known, table_rows=table_rows)
+        assert got.columns == [*docs.columns, "score"]
+        return sorted((r["doc_id"] or -1, round(r["score"], 9)) for r in got.collect())
+
+    assert scores(3) == scores(40) == scores(1 << 19)
+
+
+def test_toxic_words_of_other_scripts(spark):
+    rng, rows, labels = random.Random(8), [], []
+    words = ["".join(rng.choices("бвгдежзиклмнопрст", k=rng.randrange(2, 9))) for _ in range(150)]
+    words += ["дурная", *("".join(rng.choices("城市和河流山水天地人", k=6)) for _ in range(30))]
+    for i in range(400):
+        text = rng.choices(words, k=40)
+        if i % 3 == 0:
+            text[10], text[30] = "дурак", "城笨蛋市"
+        rows.append((i, " ".join(text)))
+        labels.append((i, 1, int(i % 3 == 0)))
+    known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs_of(spark, rows), known).collect()}
+    assert all((got[i] >= 0.5) == bool(t) for i, _, t in labels if held(i))
+    first, second = toxicity.stems(["дурак дурная".encode()])[0]
+    assert first != second and len(toxicity.stems(["城市和河".encode()])[0]) == 4
+
+
 def test_toxic_raw_scores_count_evidence_for_either_class():
     stem = toxicity.stems([b"wretch kindly"])[0]
     models = toxicity.Models(stem, np.array([5.0, -5.0], np.float32), 0.5, 0.5)
