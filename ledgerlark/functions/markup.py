@@ -147,6 +147,21 @@ def attribute_sql(x: str, name: str) -> str:
     return let_sql(bare, "ad", decode_sql("ad", attribute=True))
 
 
+def attributes_sql(x: str) -> str:
+    """Map of all attributes of an opening tag, names in lower case.
+
+    An attribute without a value has the empty text; of a repeated name the first one counts.
+    """
+    shape = r"""(?s)([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
+    bare = "regexp_replace(get(ats, ai), {}, '$2')".format(quoted(r"""(?s)^(["'])(.*)\1$"""))
+    value = let_sql(bare, "ad", f"IF(contains(ad, '&'), {decode_sql('ad', attribute=True)}, ad)")
+    pairs = f"transform(ans, (an, ai) -> named_struct('k', an, 'v', {value}, 'first', array_position(ans, an) = ai + 1))"
+    named = f"map_from_entries(transform(filter({pairs}, ap -> ap.first), ap -> struct(ap.k, ap.v)))"
+    names = f"transform({matches_sql('av', shape, 1)}, an -> lower(an))"
+    inner = let_sql(names, "ans", let_sql(matches_sql("av", shape, 2), "ats", named))
+    return let_sql(f"regexp_replace({x}, {quoted(r'^<[^\s/>]*')}, '')", "av", inner)
+
+
 def element_sql(x: str, cls: str, tag: str = "[a-z][a-z0-9]*") -> str:
     """Markup inside the first element of a class, up to its own closing tag; null without one.
 
@@ -270,6 +285,13 @@ def open_tag(fragment: Column) -> Column:
     return F.regexp_extract(fragment, f"(?is)^{TAG}", 0)
 
 
+def attributes(token: Column) -> Column:
+    """``map<string, string>`` of an opening tag's attributes; empty for other tokens."""
+    return F.when(token.rlike(r"^<[A-Za-z]"), applied(token, "x", attributes_sql("x"))).otherwise(
+        F.expr("cast(map() as map<string, string>)")
+    )
+
+
 def attribute(tag: Column, name: str) -> Column:
     return applied(tag, "x", attribute_sql("x", name))
 

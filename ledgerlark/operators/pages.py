@@ -17,10 +17,24 @@ PROFILE_LINKS = 20
 
 
 def html_tokens(pages: DataFrame, html: str = "html") -> DataFrame:
-    """(page columns, pos, kind, tag, token); pos starts at 0.  A generator, no shuffle."""
+    """(page columns, pos, kind, tag, token, attributes); pos starts at 0.  A generator, no shuffle.
+
+    ``attributes`` is a map; who does not select it does not pay for it.  Scripts and styles are one token
+    with their content; their own attributes are those of the opening tag.
+    """
     keep = [c for c in pages.columns if c != html]
     rows = each(pages, keep, M.tokens(F.col(html)), "pos", "token")
-    return rows.select(*keep, "pos", M.token_kind(F.col("token")).alias("kind"), M.tag_name(F.col("token")).alias("tag"), "token")
+    token = F.col("token")
+    # Text, comments and closing tags have no attributes; of a script or style only the opening tag is read.
+    opening = F.when(M.token_kind(token).isin("script", "style"), M.open_tag(token)).otherwise(token)
+    return rows.select(
+        *keep,
+        "pos",
+        M.token_kind(token).alias("kind"),
+        M.tag_name(token).alias("tag"),
+        "token",
+        M.attributes(opening).alias("attributes"),
+    )
 
 
 def with_depth(tokens: DataFrame, page_key: str) -> DataFrame:

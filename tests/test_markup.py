@@ -128,3 +128,16 @@ def test_saved_tables_fill_dates(spark):
 def test_entities(spark):
     df = spark.createDataFrame([("&lt;&#65;&#x42;&nbsp;&copy &bogus; &amp;amp; &#xD800;",)], "v string")
     assert df.select(M.decode_entities(F.col("v"))).first()[0] == "<AB\xa0© &bogus; &amp; \ufffd"
+
+
+def test_attributes_of_tokens(spark):
+    html = """<a HREF="/q?a=1&amp;b=2" title='x "y"' href=z disabled data-n = 7>t</a><br/><input checked value=a&lt;b>
+<script src="s.js">if (a < b) c = "d";</script><!-- a="b" --><p class="">x="y"</p><img alt="a>b" src=i.png />"""
+    got = pages.html_tokens(page(spark, html, "", None)).orderBy("page_id", "pos").collect()
+    by_tag = {(r["kind"], r["tag"]): r["attributes"] for r in got if r["tag"]}
+    assert by_tag["open", "a"] == {"href": "/q?a=1&b=2", "title": 'x "y"', "disabled": "", "data-n": "7"}
+    assert by_tag["open", "br"] == {} and by_tag["close", "a"] == {} and by_tag["open", "p"] == {"class": ""}
+    assert by_tag["open", "input"] == {"checked": "", "value": "a<b"}
+    assert by_tag["script", "script"] == {"src": "s.js"}
+    assert by_tag["open", "img"] == {"alt": "a>b", "src": "i.png"}
+    assert all(r["attributes"] == {} for r in got if r["kind"] in ("text", "comment"))
