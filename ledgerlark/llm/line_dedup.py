@@ -17,8 +17,9 @@ lines except those of the largest ``doc_id`` that holds the key.
 3. Documents probe the arrays.  If all shards together stay below
    ``broadcast_limit`` (their written size is summed first), each task probes
    them in memory and no text is shuffled.  Beyond that, compact probes of each
-   document meet their shard in a co-grouped task, salted by row so that no line
-   and no shard becomes one task, and only the hits return to the documents.  A row
+   document meet their shard in a co-grouped task.  A shard is copied as often as
+   its probes fill groups of ``group_bytes``, and rows are dealt to the copies, so
+   that neither a hot line nor a shard becomes one task at any size.  Only the hits return to the documents.  A row
    is named by its doc_id and a digest of its text, for rows may share an id or have
    none; rows equal in both lose the same lines and are probed once.
 
@@ -49,7 +50,7 @@ MIN_CHARS = 40
 MIN_DOCS = 5
 SHARD_KEYS = 1 << 17
 BROADCAST_LIMIT = 64 << 20
-SALTS = 16
+GROUP_BYTES = 32 << 20  # of probes that meet a shard in one task
 _BUCKET = 4  # keys of a displacement bucket, on average
 _NO_DOC = -(2**63)
 
@@ -323,6 +324,7 @@ def dedup_lines(
     min_chars: int = MIN_CHARS,
     broadcast_limit: int = BROADCAST_LIMIT,
     shard_keys: int = SHARD_KEYS,
+    group_bytes: int = GROUP_BYTES,
 ) -> DataFrame:
     """All columns of ``docs`` (doc_id, text, ...) with n_lines, n_dropped and kept_text."""
     spark = docs.sparkSession
@@ -348,9 +350,14 @@ def dedup_lines(
             "shard bigint, doc_id bigint, row string, at binary, low binary, high binary",
         )
         .dropDuplicates(["shard", "row"])
-        .withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)))
     )
-    salted = index.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    probes = landed(probes, "line_probes")
+    # A shard is copied as often as its probes fill groups; one with a hot line gets more copies.
+    held_bytes = F.sum(F.octet_length("at") + F.octet_length("low") + F.octet_length("high") + F.length("row"))
+    copies = probes.groupBy("shard").agg(F.ceil(held_bytes / F.lit(group_bytes)).cast("bigint").alias("copies"))
+    probes = probes.join(copies, "shard").withColumn("salt", F.pmod(F.xxhash64("row"), "copies")).drop("copies")
+    salted = index.join(copies, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
+    salted = salted.drop("copies")
     hits = (
         probes.groupBy("shard", "salt")
         .cogroup(salted.groupBy("shard", "salt"))

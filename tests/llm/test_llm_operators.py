@@ -169,6 +169,20 @@ def test_perfect_hash_has_no_gap_and_no_clash():
         assert sorted(slots.tolist()) == list(range(n))
 
 
+def test_a_hot_line_meets_many_copies_of_its_shard(spark):
+    hot = "the very same boilerplate line in a third of all documents"
+    rows = [(i, f"{prose(i, 9)}\n{hot}\n{prose(i + 1, 9)}" if i % 3 else prose(i, 12)) for i in range(90)]
+    rows += [(None, f"{hot}\nx"), (None, f"{hot}\nx"), (7, f"y\n{hot}"), (500, None)]
+
+    def kept(**limits):
+        got = line_dedup.dedup_lines(docs_of(spark, rows), **limits).collect()
+        return sorted((r["doc_id"] or -1, r["n_lines"], r["n_dropped"], r["kept_text"]) for r in got)
+
+    once = kept()
+    assert sum(hot in r[3] for r in once) == 1
+    assert kept(broadcast_limit=0, group_bytes=200) == once == kept(broadcast_limit=0)
+
+
 # --- 2 ------------------------------------------------------------------------------------
 
 
