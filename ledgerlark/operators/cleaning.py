@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions.text import blank_to_null
 from ledgerlark.plans import chunked
+from ledgerlark.plans.ranged import ranks_by_range
 
 # How a date column is recognised.
 DATE_WORDS = ("时间", "日期")
@@ -106,8 +107,16 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return out.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns])
 
 
-def ordinals(df: DataFrame, keys: Sequence[str], order: Sequence[Column], chunk: Column, name: str = "pos") -> DataFrame:
-    """1-based position in the group."""
+def ordinals(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], chunk: Column | None = None, name: str = "pos"
+) -> DataFrame:
+    """1-based position in the group.
+
+    ``chunk`` cuts groups where a dense unique number orders them; without it the
+    groups are cut by ranges of the order itself, whatever its values are.
+    """
+    if chunk is None:
+        return ranks_by_range(df, keys, order, name)
     return chunked.rank_within(df, keys, order, chunk, name)
 
 

@@ -137,6 +137,19 @@ def _ordinals(spark, sf):
     return ordinals(rows, ["stock_code"], [F.col("event_id")], dense_chunk(F.col("event_id")))
 
 
+@query("ordinals_by_value", """
+SELECT event_id, CAST(user_id AS VARCHAR) AS stock_code,
+       row_number() OVER (PARTITION BY user_id ORDER BY round(value), event_id DESC) AS pos FROM events""")
+def _ordinals_by_value(spark, sf):
+    """Positions by a value that many rows share; later ids go first among equals."""
+    from ledgerlark.operators.cleaning import ordinals
+
+    rows = table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("stock_code"), "event_id", F.round("value").alias("value")
+    )
+    return ordinals(rows, ["stock_code"], [F.asc("value"), F.desc("event_id")]).select("event_id", "stock_code", "pos")
+
+
 BOARD_POSTS_SELECT = f"""
 SELECT m.stock_code, title, author, time, strftime(parsed_time, '%Y-%m-%d %H:%M:%S') AS parsed_time, read_count, reply_count,
        CASE WHEN starts_with(href, '//') THEN 'http:' || href WHEN starts_with(href, '/') THEN 'http://guba.eastmoney.com' || href

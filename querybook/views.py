@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.plans import chunked
+from ledgerlark.plans.ranged import ranks_by_range
 from querybook.base import table
 
 AS_OF = "2024-01-31 00:00:00"
@@ -36,13 +36,16 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 def board_items(spark: SparkSession, sf: str) -> DataFrame:
     """Posts of each user, pages of twenty in order of falling value.
 
-    The rank is counted over value bands, so no user's posts are sorted as a whole.
+    The rank is counted over ranges of (user, value, id), so no user's posts are sorted as a whole.
     """
-    ev = table(spark, sf, "events")
+    ev = table(spark, sf, "events").select("user_id", "event_id", "ts", "value")
+    ranked = ranks_by_range(ev, ["user_id"], [F.desc("value"), F.col("event_id").asc()], "_rn")
     e = F.col("event_id")
-    raw = ev.select(
+    return ranked.select(
         F.col("user_id").cast("string").alias("stock_code"),
-        "event_id", "value",
+        (F.floor((F.col("_rn") - 1) / PER_PAGE) + 1).cast("int").alias("page"),
+        ((F.col("_rn") - 1) % PER_PAGE + 1).cast("int").alias("pos"),
+        "event_id",
         _if(e % 50 == 7, None, F.concat(F.lit("post "), (e % 900).cast("string"))).alias("title"),
         _if(e % 7 == 0, None, F.concat(F.lit("user "), (e % 40).cast("string"))).alias("author"),
         _if(e % 31 == 5, _if(e % 62 == 5, None, "刚刚"), F.date_format("ts", "MM-dd HH:mm")).alias("time"),
@@ -50,15 +53,6 @@ def board_items(spark: SparkSession, sf: str) -> DataFrame:
         _if(e % 13 == 4, None, (e % 17).cast("string")).alias("reply_count"),
         F.concat(_if(e % 3 == 0, "//caifuhao.cn/", _if(e % 3 == 1, "/news/", "news/")), e.cast("string")).alias("href"),
     )
-    ranked = chunked.rank_within(
-        raw, ["stock_code"], [F.desc("value"), F.col("event_id")], -F.floor(F.col("value") * 10).cast("bigint"), "_rn"
-    )
-    return ranked.select(
-        "stock_code",
-        (F.floor((F.col("_rn") - 1) / PER_PAGE) + 1).cast("int").alias("page"),
-        ((F.col("_rn") - 1) % PER_PAGE + 1).cast("int").alias("pos"),
-        "event_id", "title", "author", "time", "read_count", "reply_count", "href",
-    )
 
 
 BOARD_ITEMS_SQL = f"""
