@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import markup as M
 from ledgerlark.functions.text import ANNOUNCEMENT_WORDS, extract_date, has_keyword, resolve_url
-from ledgerlark.operators.cleaning import keep_first
 from ledgerlark.operators.pages import ENTITY
 from ledgerlark.operators.tables import ALIGNED_HOST, page_tables
 from ledgerlark.plans.emit import each
@@ -102,6 +101,15 @@ def union_extractors(*found: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+def _first_titles(found: str) -> str:
+    """The finds that are first of their title by method and position; null titles are equal."""
+    by_title = (
+        f"array_sort(transform({found}, x -> named_struct('title', x.title, 'm', x.m, 'pos', x.pos, "
+        "'dated', x.dated, 'href', x.href)))"
+    )
+    return M.let_sql(by_title, "ft", "filter(ft, (x, i) -> i = 0 OR NOT (get(ft, i - 1).title <=> x.title))")
+
+
 def extract_announcements(
     pages: DataFrame,
     html: str = "html",
@@ -111,7 +119,8 @@ def extract_announcements(
     """Announcements of each page, first by title in (method, position) order.
 
     The three extractors share one reading of the page: their finds are one
-    array until they leave the row.
+    array until they leave the row.  Copies of a title lie side by side once that array
+    is sorted, so only first ones leave and no page meets another.  Every row is a page.
     """
     keep = [c for c in pages.columns if c != html]
     word = M.quoted("|".join(r"\Q" + w + r"\E" for w in words))
@@ -144,8 +153,9 @@ def extract_announcements(
         f"flatten(transform(_tables, (tb, t) -> flatten(transform({rows}, "
         f"(cs, r) -> {M.let_sql(row_links_of, 'ls', in_row)}))))"
     )
-    df = df.select(*keep, F.expr(f"inline_outer(concat({by_word}, {by_cell}, {by_entity}))")).filter("m IS NOT NULL")
-    every = df.select(
+    found = f"concat({by_word}, {by_cell}, {by_entity})"
+    df = df.select(*keep, F.expr(f"inline_outer({_first_titles(found)})")).filter("m IS NOT NULL")
+    return df.select(
         *keep,
         extract_date(F.col("dated")).alias("date"),
         "title",
@@ -155,8 +165,6 @@ def extract_announcements(
         F.col("m").alias("method_rank"),
         F.col("pos").alias("method_pos"),
     )
-    first = keep_first(every, [*keep, "title"], ["method_rank", "method_pos"])
-    return first.select(*keep, *ANNOUNCEMENTS.fieldNames(), "method_rank", "method_pos")
 
 
 def project_announcements(df: DataFrame) -> DataFrame:
