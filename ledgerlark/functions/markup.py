@@ -39,6 +39,7 @@ LEAF = r"""<(?!table[\s/>])([a-z][a-z0-9]*)(?=[\s>])[^<>"']*+(?:(?:"[^"]*+"|'[^'
 LINK = r"(?is)<a(?=[\s/>]).*?(?=</a\s*>|<a[\s/>]|\z)"
 ROW = r"(?is)<tr(?=[\s/>]).*?(?=<tr[\s/>]|</tr\s*>|\z)"
 CELL = r"(?is)<t[dh](?=[\s/>]).*?(?=<t[dh][\s/>]|</t[dh]\s*>|\z)"
+CELL_OPEN = r"(?i)<t[dh][\s/>]"
 TABLE_OPEN = r"(?is)^<table[\s/>]"
 
 # A void tag takes the place of silent markup, so texts on both sides stay apart.

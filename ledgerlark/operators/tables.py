@@ -36,7 +36,12 @@ def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def page_tables(
-    pages: DataFrame, html: str = "html", titles: bool = False, skip: int = 0, outer: bool = False
+    pages: DataFrame,
+    html: str = "html",
+    titles: bool = False,
+    skip: int = 0,
+    outer: bool = False,
+    filled: int | None = None,
 ) -> DataFrame:
     """One row per table: page columns, ``index`` (1-based), ``tag``, ``body``, ``cells``.
 
@@ -45,7 +50,9 @@ def page_tables(
     ``heading`` (a usable heading before the table), ``caption`` and
     ``around`` (a title found in enclosing elements).  The first ``skip`` tables
     of a page are left out without being read; the others keep their number.
-    With ``outer`` a page without tables gives one row with null ``index``.
+    With ``outer`` a page without tables gives one row with null ``index``.  With
+    ``filled`` only the first so many tables that have a cell leave the page; cells of the
+    others are never read.
     """
     keep = [c for c in pages.columns if c != html]
     # A cheap test ahead of the structural work; pages without tables give no rows.
@@ -68,8 +75,11 @@ def page_tables(
     if skip:
         cols.remove("_tables")
         cols.append(F.slice("_tables", skip + 1, F.greatest(F.size("_tables") - skip, F.lit(0))).alias("_tables"))
-    df = df.select(*cols)
-    df = df.select("*", F.posexplode_outer("_tables").alias("_i", "_t"))
+    df = df.select(*cols).withColumn("_tables", F.transform("_tables", lambda t, i: F.struct(i.alias("i"), t.alias("t"))))
+    if filled is not None:
+        has_cell = f"exists({M.matches_sql('n.t.body', M.ROW)}, r -> r rlike {M.quoted(M.CELL_OPEN)})"
+        df = df.withColumn("_tables", F.slice(F.expr(f"filter(_tables, n -> {has_cell})"), 1, filled))
+    df = df.select(*[c for c in df.columns if c != "_tables"], F.inline_outer("_tables").alias("_i", "_t"))
     df = df if outer else df.filter(F.col("_i").isNotNull())
     return df.select(
         *keep,
@@ -190,11 +200,12 @@ def extract_tables(
 
     ``inline`` leaves out the first two tables but keeps their numbers.
     ``columns`` is the width of the first row.  With ``outer`` a page or table
-    without data gives a row with null ``index``.
+    without data gives a row with null ``index``.  ``max_tables`` ends each page after
+    so many non-empty tables, inside the row: every row of ``pages`` is a page.
     """
     skip = (INLINE_SKIP if mode == "inline" else 0) if skip is None else skip
     keep = [c for c in pages.columns if c != html]
-    tables = page_tables(pages, html, titles=titles, skip=skip, outer=outer)
+    tables = page_tables(pages, html, titles=titles, skip=skip, outer=outer, filled=max_tables)
     data = aligned_data(F.col("cells")) if mode == "aligned" else inline_data(F.col("cells"))
     title = table_title(mode) if titles else F.lit(None).cast("string")
     # Emitted by a generator, so that the size test does not compute the data again.
@@ -203,23 +214,7 @@ def extract_tables(
     )
     out = tables.select(*keep, F.inline_outer(made))
     out = out if outer else out.filter(F.col("index").isNotNull())
-    out = out.select("*", F.size("data").alias("rows"), F.size(F.get("data", 0)).alias("columns"))
-    return out if max_tables is None else cap_tables(out, keep, max_tables)
-
-
-def cap_tables(tables: DataFrame, page_keys: list[str], max_tables: int | None) -> DataFrame:
-    """At most ``max_tables`` tables per page, in order.
-
-    ``row_number() <= n`` lets Spark cut every page to ``n`` rows before the shuffle.
-    """
-    if max_tables is None:
-        return tables
-    w = Window.partitionBy(*page_keys).orderBy("index")
-    return tables.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= max_tables).drop("_n")
-
-
-def first_table(tables: DataFrame, page_keys: list[str]) -> DataFrame:
-    return cap_tables(tables, page_keys, 1)
+    return out.select("*", F.size("data").alias("rows"), F.size(F.get("data", 0)).alias("columns"))
 
 
 def table_cells(tables: DataFrame, keys: list[str]) -> DataFrame:

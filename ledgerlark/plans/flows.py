@@ -30,8 +30,7 @@ def disclosure_rows(pages: DataFrame, max_pages: int | None = None) -> DataFrame
     land before merging: row counts and rows are two reads of them.
     """
     read = pages if max_pages is None else tables.cap_pages(pages, max_pages)
-    found = tables.extract_tables(read, "inline", titles=False)
-    first = tables.first_table(found, ["stock_code", "page"])
+    first = tables.extract_tables(read, "inline", max_tables=1, titles=False)
     return tables.merge_pages(landed(first, "first_tables"))
 
 
@@ -44,8 +43,7 @@ def disclosure_merged(
     hold no table has no file and a failed result.
     """
     read = pages if max_pages is None else tables.cap_pages(pages, max_pages)
-    found = tables.first_table(tables.extract_tables(read, "inline", titles=False), ["stock_code", "page"])
-    found = landed(found, "first_tables")
+    found = landed(tables.extract_tables(read, "inline", max_tables=1, titles=False), "first_tables")
     files.write_lines(tables.merged_lines(tables.merged_pages(found)), path)
     requested = read.groupBy("stock_code").agg(F.count("*").alias("total_pages"))
     skipped = F.when(F.col("page") == 1, 0).otherwise(1)

@@ -165,14 +165,13 @@ def _total_pages(spark, sf):
 
 @query("first_table", WITH + 'SELECT pid, 3 AS "index", n + 1 AS rows, 5 AS columns FROM pids')
 def _first_table(spark, sf):
-    found = tables.extract_tables(pages_of(spark, sf), "inline", titles=False)
-    return tables.first_table(found, ["pid"]).select("pid", "index", "rows", "columns")
+    found = tables.extract_tables(pages_of(spark, sf), "inline", max_tables=1, titles=False)
+    return found.select("pid", "index", "rows", "columns")
 
 
 @query("max_tables", WITH + 'SELECT pid, idx AS "index" FROM pids, (SELECT unnest([1, 2]) AS idx)')
 def _max_tables(spark, sf):
-    found = tables.extract_tables(pages_of(spark, sf), "aligned", titles=False)
-    return tables.cap_tables(found, ["pid"], 2).select("pid", "index")
+    return tables.extract_tables(pages_of(spark, sf), "aligned", max_tables=2, titles=False).select("pid", "index")
 
 
 @query("label_classes", WITH + """
@@ -233,7 +232,7 @@ def _disclosure_merged(spark, sf):
 SELECT stock_code, page, row_number() OVER (PARTITION BY stock_code ORDER BY page, r) - 1 AS row_no, line FROM merged""")
 def _disclosure_merged_rows(spark, sf):
     pages = disclosure_pages(spark, sf).select("stock_code", "page", "html")
-    found = tables.first_table(tables.extract_tables(pages, "inline", titles=False), ["stock_code", "page"])
+    found = tables.extract_tables(pages, "inline", max_tables=1, titles=False)
     merged = tables.merged_pages(landed(found, "first_tables"))
     rows = merged.select("stock_code", "page", "row_no", F.posexplode("rows").alias("i", "row"))
     return rows.select(
@@ -289,7 +288,7 @@ SELECT true AS success, stock_code, count(*) AS total_pages, count(*) AS success
 def _multi_page(spark, sf):
     pages = disclosure_pages(spark, sf).select("stock_code", "page", "html")
     requested = pages.groupBy("stock_code").agg(F.count("*").alias("total_pages"))
-    found = tables.first_table(tables.extract_tables(pages, "inline", titles=False), ["stock_code", "page"])
+    found = tables.extract_tables(pages, "inline", max_tables=1, titles=False)
     counts = found.select("stock_code", (F.col("rows") - F.when(F.col("page") == 1, 0).otherwise(1)).alias("n_rows"))
     return tables.multi_page_results(requested, counts)
 

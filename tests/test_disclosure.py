@@ -102,3 +102,26 @@ def test_fill_inside_a_row(spark, rows, before, at):
         df = spark.createDataFrame([(rows, before)], "data array<array<string>>, b string")
         got = df.select(cleaning.ffill_rows(F.col("data"), F.lit(at), F.col("b"), blank).alias("x")).first()["x"]
         assert got == want
+
+
+@pytest.mark.parametrize("mode", ["aligned", "inline"])
+def test_capped_tables_are_the_first_with_cells(spark, mode):
+    full = "<table><tr><td>{}</td></tr></table>"
+    bare = "<table><tr></tr></table><table></table>"
+    html = [
+        bare + full.format(1) + bare + full.format(2) + full.format(3),
+        full.format(4) + full.format(5) + full.format(6) + "<table><TR><TH >7</TABLE>" + full.format(8),
+        "<table><tr><td>9<table><tr><td>in</td></tr></table></td></tr></table>",
+        bare, "<p>no table</p>", "", None,
+    ]
+    pages = spark.createDataFrame(list(enumerate(html)), "pid int, html string")
+    every = tables.extract_tables(pages, mode, titles=False)
+    for n in (1, 2, 9):
+        got = tables.extract_tables(pages, mode, max_tables=n, titles=False)
+        by_page = {}
+        for r in every.orderBy("pid", "index").collect():
+            by_page.setdefault(r.pid, []).append(r)
+        assert sorted(map(str, got.collect())) == sorted(str(r) for rows in by_page.values() for r in rows[:n])
+    outer = tables.extract_tables(pages, mode, max_tables=1, titles=False, outer=True)
+    assert {r.pid for r in outer.collect()} == set(range(len(html)))
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
