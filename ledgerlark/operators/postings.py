@@ -11,7 +11,7 @@ The index is a folder of segments.  A segment has two tables:
   content, from which the corpus statistics come and by which later loads are told
   what is there already.
 
-Terms of a document are grouped inside its row; the only shuffle of a load deals
+Terms of a document are grouped inside the task that reads it; the only shuffle of a load deals
 finished postings to buckets, a bucket with a very common term being split.  Segments
 are added without touching the others and can be merged into one.
 
@@ -21,63 +21,77 @@ A null text has no terms and no length, but counts as a document.  Documents nee
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from functools import reduce
 from operator import add as plus
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.operators.search import phrase_terms, query_terms, terms
 from ledgerlark.operators.sessions import load_docs
-from ledgerlark.plans.emit import each
+from ledgerlark.session import ship_package
 
 BUCKETS = 64
 BLOCK = 64  # places
+SORTED = 1_000_000  # terms
 
 
 def bucket_of(term: str, buckets: int = BUCKETS) -> int:
     return zlib.crc32(term.encode()) % buckets
 
 
-def _bound(value: Column, body) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), 0)
+def grouped_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, doc_id, tf, dl, blocks) for each term of each row (doc_id, ts), whose terms ``ts`` are in order.
 
-
-def grouped_terms(text: Column) -> Column:
-    """``struct<dl, groups: array<struct<term, places>>>`` of a text; places ascend from 0.
-
-    Terms sorted with their places form runs; a run ends where the next begins, so the
-    work is that of one sort.
+    Places ascend from 0, in blocks of ``BLOCK`` as distances from the first of the block.
+    Rows are told by their position, so keys may repeat or be null.  A few rows at a time
+    are sorted by (row, term) as numbers: the work is that of one stable sort, and memory
+    is bound by ``SORTED`` terms or one longer row.
     """
-
-    def groups(ts: Column) -> Column:
-        return _bound(F.array_sort(F.transform(ts, lambda t, i: F.struct(t.alias("t"), i.alias("i")))), runs)
-
-    def runs(x: Column) -> Column:
-        at = F.transform(x, lambda e, i: F.when((i == 0) | (F.get(x, i - 1)["t"] != e["t"]), i))
-        return _bound(F.array_compact(at), lambda starts: F.transform(starts, lambda a, j: run(x, starts, a, j)))
-
-    def run(x: Column, starts: Column, a: Column, j: Column) -> Column:
-        n = F.coalesce(F.get(starts, j + 1), F.size(x)) - a
-        places = F.transform(F.slice(x, a + 1, n), lambda e: e["i"])
-        return F.struct(F.get(x, a)["t"].alias("term"), places.alias("places"))
-
-    def described(ts: Column) -> Column:
-        return F.struct(F.size(ts).alias("dl"), groups(ts).alias("groups"))
-
-    return _bound(terms(F.coalesce(text, F.lit(""))), described)
-
-
-def coded(places: Column) -> Column:
-    """``array<struct<first, gaps>>``: blocks of places as distances from the first of the block."""
-    starts = F.sequence(F.lit(0), F.floor((F.size(places) - 1) / BLOCK).cast("int"))
-
-    def block(b: Column) -> Column:
-        first = F.get(places, b * BLOCK)
-        return F.struct(first.alias("first"), F.transform(F.slice(places, b * BLOCK + 1, BLOCK), lambda p: p - first).alias("gaps"))
-
-    return F.transform(starts, block)
+    for batch in batches:
+        upto = np.cumsum(pc.list_value_length(batch.column("ts")).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = upto[start - 1] if start else 0
+            end = max(int(np.searchsorted(upto, before + SORTED, side="right")), start + 1)
+            if upto[end - 1] > before:
+                yield _runs(batch.slice(start, end - start))
+            start = end
+
+
+def _runs(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows of :func:`grouped_terms` for a small batch with at least one term."""
+    lists = batch.column("ts")
+    coded = lists.flatten().dictionary_encode()
+    words, code = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+    length = pc.list_value_length(lists).to_numpy().astype(np.int64)
+    row = np.repeat(np.arange(len(lists)), length)
+    place = np.arange(len(code)) - np.repeat(np.cumsum(length) - length, length)
+    key = row * len(words) + code
+    order = np.argsort(key, kind="stable")
+    key, place = key[order], place[order]
+    run = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    tf = np.diff(np.append(run, len(key)))
+    within = np.arange(len(key)) - np.repeat(run, tf)
+    block = np.flatnonzero(within % BLOCK == 0)
+    ends = np.append(block, len(key))
+    gaps = place - np.repeat(place[block], np.diff(ends))
+    gaps = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(gaps, pa.int32()))
+    blocks = pa.StructArray.from_arrays([pa.array(place[block], pa.int32()), gaps], ["first", "gaps"])
+    of_run = np.append(0, np.cumsum(-(-tf // BLOCK)))
+    held = row[order][run]
+    columns = {
+        "term": words.take(pa.array(code[order][run])),
+        "doc_id": batch.column("doc_id").take(pa.array(held)),
+        "tf": pa.array(tf, pa.int32()),
+        "dl": pa.array(length[held], pa.int32()),
+        "blocks": pa.ListArray.from_arrays(pa.array(of_run, pa.int32()), blocks),
+    }
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def decoded(blocks: Column) -> Column:
@@ -90,21 +104,18 @@ def _shifted(places: str, by: int) -> Column:
 
 def add_segment(docs: DataFrame, path: str, segment: int, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> None:
     """Index ``docs`` as a new segment of the index at ``path``."""
-    # Emitted through a generator, so the grouping is computed once for all that reads it.
+    ship_package(docs.sparkSession)
+    ts = terms(F.coalesce(F.col(text), F.lit("")))
+    length = F.when(F.col(text).isNotNull(), F.size(ts)).alias("dl")
     content = F.sha2(text, 256).alias("content_hash")
-    found = docs.select(F.col(key).alias("doc_id"), content, F.explode(F.array(grouped_terms(F.col(text)))).alias("_g"))
-    length = F.when(F.col("content_hash").isNotNull(), F.col("_g.dl")).alias("dl")
-    found.select("doc_id", "content_hash", length).write.parquet(f"{path}/stored/segment={segment}")
-    found = found.select("doc_id", F.col("_g.dl").alias("dl"), F.col("_g.groups").alias("_gs"))
-    rows = each(found, ["doc_id", "dl"], "_gs", "_i", "_t")
-    rows = rows.select(
-        F.pmod(F.crc32(F.col("_t.term")), F.lit(buckets)).cast("int").alias("bucket"),
-        F.col("_t.term").alias("term"),
-        "doc_id",
-        F.size("_t.places").alias("tf"),
-        "dl",
-        coded(F.col("_t.places")).alias("blocks"),
+    docs.select(F.col(key).alias("doc_id"), content, length).write.parquet(f"{path}/stored/segment={segment}")
+    found = docs.select(F.col(key).alias("doc_id"), ts.alias("ts"))
+    key_type = found.schema["doc_id"].dataType.simpleString()
+    rows = found.mapInArrow(
+        grouped_terms, f"term string, doc_id {key_type}, tf int, dl int, blocks array<struct<first: int, gaps: array<int>>>"
     )
+    bucket = F.pmod(F.crc32("term"), F.lit(buckets)).cast("int").alias("bucket")
+    rows = rows.select(bucket, "term", "doc_id", "tf", "dl", "blocks")
     _write_postings(rows, f"{path}/postings/segment={segment}")
 
 

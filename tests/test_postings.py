@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -113,3 +114,24 @@ def test_a_query_reads_its_buckets_only(spark, index, capsys):
     assert regex.search(r"PartitionFilters: \[.*bucket#\d+ (?:IN|INSET)? ?.*" + str(buckets[0]), plan)
     assert "PushedFilters: [In(term" in plan and "text" not in regex.findall("ReadSchema: (.*)", plan)[0]
     assert len({r["bucket"] for r in P.postings_of(spark, path, ["the", "of"]).select("bucket").collect()}) == len(buckets)
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 1_000_000])
+def test_rows_are_grouped_a_few_at_a_time(monkeypatch, at_once):
+    """Keys that repeat or are null, rows without terms, runs over several blocks."""
+    monkeypatch.setattr(P, "SORTED", at_once)
+    rows = [(1, ["b", "a", "b"]), (1, ["a"]), (None, []), (None, ["a", "c"] * 100), (2, []), (3, ["x"] * 64)]
+    rows = pa.RecordBatch.from_pydict({"doc_id": pa.array([k for k, _ in rows], pa.int64()), "ts": [t for _, t in rows]})
+    # A slice, as its lists begin within the values.
+    got = [tuple(r.values()) for batch in P.grouped_terms(iter([rows.slice(0, 3), rows.slice(3)])) for r in batch.to_pylist()]
+    found = [(t, k, tf, dl, [b["first"] + g for b in blocks for g in b["gaps"]], [len(b["gaps"]) for b in blocks]) for t, k, tf, dl, blocks in got]
+    want = [("a", 1, 1, 3, [1], [1]), ("b", 1, 2, 3, [0, 2], [2]), ("a", 1, 1, 1, [0], [1]), ("x", 3, 64, 64, list(range(64)), [64])]
+    want += [("a", None, 100, 200, list(range(0, 200, 2)), [64, 36]), ("c", None, 100, 200, list(range(1, 200, 2)), [64, 36])]
+    assert sorted(map(str, found)) == sorted(map(str, want))
+
+
+def test_signs_and_runs_at_the_ends_of_the_fast_ranges(spark):
+    text = "az09 ßöøÿ à÷b×c ÀÖ 年a报 9日 _x-y々 ก1 ｱア ٣ a\u0301 \x7f\x80z"
+    want = regex.findall(r"(?V1)[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]|[[\p{L}\p{N}\p{M}]&&[^\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]]+", text.lower())
+    assert K.phrase_terms(text) == want
+    assert spark.createDataFrame([(text,)], "t string").select(K.terms(F.col("t"))).first()[0] == want
