@@ -25,7 +25,8 @@ def read_statements(spark: SparkSession, root: str, schema: T.StructType | None
     """Statements partitioned by code and statement; a missing partition has no rows.
 
     Codes are strings: pass a schema that says so, or leave it out and the code
-    is read as text from the partition directories.
+    is read as text from the partition directories.  Without a schema all folders are
+    listed once more and footers read, to merge the columns.
     """
     if schema is None:
         data = spark.read.option("mergeSchema", "true").parquet(root).schema

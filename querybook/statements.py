@@ -201,8 +201,9 @@ SELECT {_SINK_CODE} AS code, CASE l_returnflag WHEN 'A' THEN '利润表' WHEN 'R
   l_orderkey * 10 + l_linenumber AS row_order, CASE WHEN l_orderkey % 10 <> 0 THEN l_extendedprice END AS AMOUNT FROM lineitem""")
 def _sink(spark, sf):
     path = fresh_path(spark, "statements")
-    write_statements(_sink_rows(spark, sf).drop("FISCAL_YEAR"), path)
-    return read_statements(spark, path)
+    rows = _sink_rows(spark, sf).drop("FISCAL_YEAR")
+    write_statements(rows, path)
+    return read_statements(spark, path, rows.schema)
 
 
 @query("statement_sink_periods", f"""
@@ -211,9 +212,10 @@ FROM lineitem GROUP BY ALL""")
 def _sink_periods(spark, sf):
     """All rows as one statement, a partition for each stock and year."""
     path = fresh_path(spark, "statement_periods")
-    write_statements(_sink_rows(spark, sf).withColumn("statement", F.lit("利润表")), path, split=("FISCAL_YEAR",))
-    back = read_statements(spark, path)
-    return back.groupBy("code", F.col("FISCAL_YEAR").cast("string")).agg(
+    rows = _sink_rows(spark, sf).withColumn("statement", F.lit("利润表"))
+    write_statements(rows, path, split=("FISCAL_YEAR",))
+    back = read_statements(spark, path, rows.schema)
+    return back.groupBy("code", "FISCAL_YEAR").agg(
         F.count("*").alias("rows"), F.sum("row_order").alias("keys")
     )
 
