@@ -2,8 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
+import os
+import re
+import uuid
+from collections.abc import Iterator, Sequence
+from functools import partial
+from itertools import groupby
+from operator import itemgetter
+from pathlib import Path
+from urllib.parse import urlsplit
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +20,7 @@ from pyspark.sql import types as T
 from ledgerlark.functions.logs import LEVEL_RANK, level_rank
 from ledgerlark.functions.text import norm_code
 from ledgerlark.plans import chunked
+from ledgerlark.session import ship_package
 
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -48,19 +58,124 @@ def write_csv(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "err
     (writer.partitionBy(*by) if by else writer).csv(path)
 
 
-def write_lines(lines: DataFrame, path: str, by: str = "stock_code", order: str = "line_no") -> None:
+# What Spark calls the folder of a null, and the characters it writes as %XX in the name of a folder.
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+_ESCAPED = re.compile("[\\x01-\\x1f\"#%'*/:=?\\\\\\x7f{\\[\\]^]")
+
+
+def write_lines(
+    lines: DataFrame, path: str, by: str = "stock_code", order: str = "line_no", lines_per_file: int = 65_536
+) -> None:
     """(by, order, line) as text files, one folder for each value of ``by``, its lines in order.
 
-    Rows are dealt by ranges of (by, order): a large value's lines are spread over several
-    files whose names sort as their lines do, a small one has one file.
+    A large value's lines are spread over several files whose names sort as their lines
+    do, a small one has one file.  Below a ``file:`` folder, where Hadoop starts five
+    ``chmod`` processes for each folder with its file, tasks write the files themselves, in
+    files of ``lines_per_file``; any other store is written by Spark, rows dealt by ranges.
     """
-    out = lines.repartitionByRange(by, order).sortWithinPartitions(by, order).select(by, "line")
-    out.write.mode("errorifexists").partitionBy(by).text(path)
+    root = _local_folder(lines.sparkSession, path)
+    if root is None:
+        out = lines.repartitionByRange(by, order).sortWithinPartitions(by, order).select(by, "line")
+        out.write.mode("errorifexists").partitionBy(by).text(path)
+        return
+    os.makedirs(root)
+    ship_package(lines.sparkSession)
+    folder = F.coalesce(F.nullif(F.col(by).cast("string"), F.lit("")), F.lit(_NULL_FOLDER))
+    part = F.coalesce(F.floor(F.col(order) / lines_per_file), F.lit(0)).cast("bigint")
+    dealt = lines.select(folder.alias("folder"), part.alias("part"), F.col(order).alias("at"), F.col("line").cast("binary").alias("line"))
+    sorted_lines = dealt.repartition("folder", "part").sortWithinPartitions("folder", "part", "at").drop("at")
+    sorted_lines.mapInArrow(partial(_write_files, root=root, by=by), "files bigint").agg(F.sum("files")).collect()
+    Path(root, "_SUCCESS").touch()
+
+
+def _local_folder(spark: SparkSession, path: str) -> str | None:
+    """The folder a ``file:`` path names; null for another store."""
+    at = urlsplit(path)
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    if at.scheme == "file" or not at.scheme and default.startswith("file:"):
+        return path if not at.scheme else path.removeprefix("file://").removeprefix("file:")
+    return None
+
+
+def _write_files(batches: Iterator[pa.RecordBatch], root: str, by: str) -> Iterator[pa.RecordBatch]:
+    """Writes (folder, part, line) rows, sorted by folder and part, and gives the number of files.
+
+    A file has its name when it is whole; a task that runs again puts the same file in its place.
+    """
+    own, count = f".{uuid.uuid4().hex}", 0
+    key = out = None
+
+    def finish() -> None:
+        out.close()
+        os.replace(out.name, os.path.join(os.path.dirname(out.name), f"part-{key[1]:08d}.txt"))
+
+    try:
+        for batch in batches:
+            rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            for now, run in groupby(rows, key=itemgetter(0, 1)):
+                if now != key:
+                    if out is not None:
+                        finish()
+                    name = _ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", now[0])
+                    os.makedirs(folder := os.path.join(root, f"{by}={name}"), exist_ok=True)
+                    key, out, count = now, open(os.path.join(folder, own), "wb"), count + 1
+                out.write(b"".join((line or b"") + b"\n" for _, _, line in run))
+        if out is not None:
+            finish()
+    finally:
+        if out is not None and not out.closed:  # of a task that failed
+            out.close()
+            os.remove(out.name)
+    yield pa.RecordBatch.from_pydict({"files": [count]})
 
 
 def read_lines(spark: SparkSession, path: str, by: str = "stock_code") -> DataFrame:
-    schema = T.StructType([T.StructField("line", T.StringType()), T.StructField(by, T.StringType())])
-    return spark.read.schema(schema).format("text").load(path).select(by, "line")
+    """(by, line) of the files of :func:`write_lines`.
+
+    Below a ``file:`` folder tasks list the folders and read the files, many in one task:
+    Spark's own listing starts a task for each folder, up to 10,000, and its file scans one
+    for 32 small files.
+    """
+    root = _local_folder(spark, path)
+    if root is None:
+        schema = T.StructType([T.StructField("line", T.StringType()), T.StructField(by, T.StringType())])
+        return spark.read.schema(schema).format("text").load(path).select(by, "line")
+    ship_package(spark)
+    with os.scandir(root) as found:
+        names = [(x.name,) for x in found if x.name.startswith(f"{by}=")]
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    folders = spark.createDataFrame(spark.sparkContext.parallelize(names, tasks), "folder string", verifySchema=False)
+    # Files are dealt anew, so that the files of a large value are read by many tasks.
+    listed = folders.mapInArrow(partial(_list_files, root=root), "folder string, file string").repartition(tasks)
+    rows = listed.mapInArrow(partial(_read_files, root=root), "value string, line binary")
+    return rows.select(F.col("value").alias(by), F.col("line").cast("string").alias("line"))
+
+
+def _list_files(batches: Iterator[pa.RecordBatch], root: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        folders = batch.column(0).to_pylist()
+        found = [(f, x) for f in folders for x in os.listdir(os.path.join(root, f)) if x[0] not in "._"]
+        yield pa.RecordBatch.from_pydict({"folder": pa.array([f for f, _ in found], pa.string()), "file": pa.array([x for _, x in found], pa.string())})
+
+
+def _read_files(batches: Iterator[pa.RecordBatch], root: str, rows: int = 10_000) -> Iterator[pa.RecordBatch]:
+    values: list[str | None] = []
+    lines: list[bytes] = []
+
+    def made() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"value": pa.array(values, pa.string()), "line": pa.array(lines, pa.binary())})
+
+    for batch in batches:
+        for folder, file in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            name = folder.split("=", 1)[1]
+            value = None if name == _NULL_FOLDER else re.sub("%([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), name)
+            found = Path(root, folder, file).read_bytes().removeprefix(b"\xef\xbb\xbf").splitlines()
+            values += [value] * len(found)
+            lines += found
+            if len(lines) >= rows:
+                yield made()
+                values, lines = [], []
+    yield made()
 
 
 def write_json(df: DataFrame, path: str, by: Sequence[str] = ("stock_code",)) -> None:

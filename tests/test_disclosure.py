@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import csv
 import io
+from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerlark.operators import cleaning, tables
 from ledgerlark.plans import flows
 from ledgerlark.session import fresh_path
+from ledgerlark.sources import files
 
 FOUND = "stock_code string, page int, data array<array<string>>"
 HEAD = ["公告时间", "标题"]
@@ -125,3 +128,56 @@ def test_capped_tables_are_the_first_with_cells(spark, mode):
     outer = tables.extract_tables(pages, mode, max_tables=1, titles=False, outer=True)
     assert {r.pid for r in outer.collect()} == set(range(len(html)))
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def _by_folder(path):
+    return {d.name: [f.read_bytes() for f in sorted(d.glob("part-*"))] for d in Path(path).iterdir() if d.is_dir()}
+
+
+def test_line_files_are_those_of_spark(spark):
+    """Names of folders, nulls, breaks and order as Spark's own writer and reader have them; no Hadoop side files."""
+    stocks = ["000001", "a/b:c=%d", "é 中", "q'\"{}[]^#*?\\", "", None]
+    texts = ["x,1", "", None, "two\nlines", "cr\rcr", "三", "﻿mark"]
+    rows = [(s, n, texts[(n + i) % len(texts)]) for i, s in enumerate(stocks) for n in range(20)]
+    lines = spark.createDataFrame(rows, "stock_code string, line_no int, line string").repartition(5)
+    mine, theirs = fresh_path(spark, "mine"), fresh_path(spark, "theirs")
+    files.write_lines(lines, mine)
+    one = lines.repartition(1).sortWithinPartitions("stock_code", "line_no").select("stock_code", "line")
+    one.write.partitionBy("stock_code").text(theirs)
+    alike = lambda found: {k: sorted(b"".join(v).split(b"\n")) for k, v in found.items()}  # noqa: E731  two values share the null's folder
+    assert alike(_by_folder(mine)) == alike(_by_folder(theirs))
+    assert not [x for x in Path(mine).rglob("*") if x.is_file() and not x.name.startswith(("part-", "_"))]
+    read = spark.read.schema("line string, stock_code string").text(theirs).select("stock_code", "line")
+    for path in (mine, theirs):
+        got = files.read_lines(spark, path)
+        assert got.columns == ["stock_code", "line"]
+        order = lambda df: sorted(map(str, df.collect()))
+        assert order(got) == order(spark.read.schema("line string, stock_code string").text(path).select("stock_code", "line"))
+    assert read.count() == files.read_lines(spark, mine).count()
+    with pytest.raises(FileExistsError):
+        files.write_lines(lines, mine)
+
+
+def test_lines_of_a_large_stock_are_many_files_in_order(spark):
+    rows = spark.range(100).select(F.lit("s").alias("stock_code"), F.col("id").cast("int").alias("line_no"), F.col("id").cast("string").alias("line"))
+    path = fresh_path(spark, "large")
+    files.write_lines(rows.repartition(7), path, lines_per_file=30)
+    found = _by_folder(path)["stock_code=s"]
+    assert [len(x.splitlines()) for x in found] == [30, 30, 30, 10]
+    assert b"".join(found).split() == [str(i).encode() for i in range(100)]
+    assert files.read_lines(spark, path).distinct().count() == 100
+
+
+def test_a_task_that_runs_again_puts_the_same_file(tmp_path):
+    batch = pa.RecordBatch.from_pydict({"folder": ["a", "a", "b"], "part": [0, 0, 0], "line": [b"1", b"2", b"3"]})
+
+    def broken():
+        yield batch.slice(0, 1)
+        raise RuntimeError
+
+    with pytest.raises(RuntimeError):
+        list(files._write_files(broken(), str(tmp_path), "k"))
+    assert not [x for x in tmp_path.rglob("*") if x.is_file()]
+    for _ in range(2):
+        assert [b.to_pydict() for b in files._write_files(iter([batch]), str(tmp_path), "k")] == [{"files": [2]}]
+    assert _by_folder(tmp_path) == {"k=a": [b"1\n2\n"], "k=b": [b"3\n"]}
