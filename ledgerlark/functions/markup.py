@@ -31,15 +31,17 @@ VOID_TAGS = (
 )
 
 TAG = r"""</?[A-Za-z][^<>"']*+(?:(?:"[^"]*+"|'[^']*+')[^<>"']*+)*+>"""
-SILENT = r"<!--.*?-->|<!doctype[^>]*>|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+SILENT = r"<(?:!--.*?-->|!doctype[^>]*>|script\b.*?</script\s*>|style\b.*?</style\s*>)"
 TOKEN = rf"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|{TAG}|<[^>]+>|[^<]+|<"
 HEADING = r"<h([1-6])(?=[\s>]).*?</h\1\s*>"
 # An element without tags inside: for the stack of open elements it comes and goes at once.
 LEAF = r"""<(?!table[\s/>])([a-z][a-z0-9]*)(?=[\s>])[^<>"']*+(?:(?:"[^"]*+"|'[^']*+')[^<>"']*+)*+>[^<]*+</\2\s*>"""
-LINK = r"(?is)<a(?=[\s/>]).*?(?=</a\s*>|<a[\s/>]|\z)"
-ROW = r"(?is)<tr(?=[\s/>]).*?(?=<tr[\s/>]|</tr\s*>|\z)"
-CELL = r"(?is)<t[dh](?=[\s/>]).*?(?=<t[dh][\s/>]|</t[dh]\s*>|\z)"
-CELL_OPEN = r"(?i)<t[dh][\s/>]"
+# Each reaches to the next tag that ends it, or to the end: runs without a tag are taken at once.
+LINK = r"(?is)<a(?=[\s/>])[^<]*+(?:<(?!/a\s*>|a[\s/>])[^<]*+)*+"
+ROW = r"(?is)<tr(?=[\s/>])[^<]*+(?:<(?!tr[\s/>]|/tr\s*>)[^<]*+)*+"
+CELL = r"(?is)<t[dh](?=[\s/>])[^<]*+(?:<(?!t[dh][\s/>]|/t[dh]\s*>)[^<]*+)*+"
+# A row that holds a cell, as far as the cell's name.
+ROW_WITH_CELL = r"(?is)<tr(?=[\s/>])[^<]*+(?:<(?!tr[\s/>]|/tr\s*>|t[dh][\s/>])[^<]*+)*+<t[dh][\s/>]"
 TABLE_OPEN = r"(?is)^<table[\s/>]"
 
 # A void tag takes the place of silent markup, so texts on both sides stay apart.
@@ -195,9 +197,16 @@ def links_sql(x: str) -> str:
     return f"transform({matches_sql(x, LINK)}, la -> {link})"
 
 
-def cells_sql(x: str) -> str:
-    """``array<struct<text, links>>`` of one row."""
-    cell = f"named_struct('text', {node_text_sql('ce')}, 'links', {links_sql('ce')})"
+def first_href_sql(x: str) -> str:
+    """Like :func:`links_sql`, the first link only and without its text."""
+    href = attribute_sql(open_tag_sql("la"), "href")
+    return f"transform(slice({matches_sql(x, LINK)}, 1, 1), la -> named_struct('href', {href}))"
+
+
+def cells_sql(x: str, first_href: bool = False) -> str:
+    """``array<struct<text, links>>`` of one row; the links as :func:`first_href_sql` has them on request."""
+    links = first_href_sql("ce") if first_href else links_sql("ce")
+    cell = f"named_struct('text', {node_text_sql('ce')}, 'links', {links})"
     return f"transform({matches_sql(x, CELL)}, ce -> {cell})"
 
 
@@ -388,9 +397,9 @@ def cell_array(row: Column) -> Column:
     return applied(row, "x", cells_sql("x"))
 
 
-def cell_rows(body: Column) -> Column:
+def cell_rows(body: Column, first_href: bool = False) -> Column:
     """The cells of every row of a table."""
-    return mapped(row_array(body), "x", cells_sql("x"))
+    return mapped(row_array(body), "x", cells_sql("x", first_href))
 
 
 def cell_text(cell: Column) -> Column:

@@ -42,6 +42,7 @@ def page_tables(
     skip: int = 0,
     outer: bool = False,
     filled: int | None = None,
+    first_href: bool = False,
 ) -> DataFrame:
     """One row per table: page columns, ``index`` (1-based), ``tag``, ``body``, ``cells``.
 
@@ -52,7 +53,8 @@ def page_tables(
     of a page are left out without being read; the others keep their number.
     With ``outer`` a page without tables gives one row with null ``index``.  With
     ``filled`` only the first so many tables that have a cell leave the page; cells of the
-    others are never read.
+    others are never read.  With ``first_href`` a cell has its first link at most, as
+    ``struct<href>``: the texts of links are not read.
     """
     keep = [c for c in pages.columns if c != html]
     # A cheap test ahead of the structural work; pages without tables give no rows.
@@ -77,7 +79,7 @@ def page_tables(
         cols.append(F.slice("_tables", skip + 1, F.greatest(F.size("_tables") - skip, F.lit(0))).alias("_tables"))
     df = df.select(*cols).withColumn("_tables", F.transform("_tables", lambda t, i: F.struct(i.alias("i"), t.alias("t"))))
     if filled is not None:
-        has_cell = f"exists({M.matches_sql('n.t.body', M.ROW)}, r -> r rlike {M.quoted(M.CELL_OPEN)})"
+        has_cell = f"n.t.body rlike {M.quoted(M.ROW_WITH_CELL)}"
         df = df.withColumn("_tables", F.slice(F.expr(f"filter(_tables, n -> {has_cell})"), 1, filled))
     df = df.select(*[c for c in df.columns if c != "_tables"], F.inline_outer("_tables").alias("_i", "_t"))
     df = df if outer else df.filter(F.col("_i").isNotNull())
@@ -86,7 +88,7 @@ def page_tables(
         (F.col("_i") + skip + 1).alias("index"),
         F.col("_t.tag").alias("tag"),
         F.col("_t.body").alias("body"),
-        M.cell_rows(F.col("_t.body")).alias("cells"),
+        M.cell_rows(F.col("_t.body"), first_href).alias("cells"),
         *[F.get(c, F.col("_i") + skip).alias(c[1:]) for c in ("_heading", "_caption", "_around") if titles],
     )
 
@@ -205,7 +207,8 @@ def extract_tables(
     """
     skip = (INLINE_SKIP if mode == "inline" else 0) if skip is None else skip
     keep = [c for c in pages.columns if c != html]
-    tables = page_tables(pages, html, titles=titles, skip=skip, outer=outer, filled=max_tables)
+    inline = mode != "aligned"  # uses the first address of a cell, no text of a link
+    tables = page_tables(pages, html, titles=titles, skip=skip, outer=outer, filled=max_tables, first_href=inline)
     data = aligned_data(F.col("cells")) if mode == "aligned" else inline_data(F.col("cells"))
     title = table_title(mode) if titles else F.lit(None).cast("string")
     # Emitted by a generator, so that the size test does not compute the data again.

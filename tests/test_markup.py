@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
 from ledgerlark.functions import markup as M
@@ -141,3 +143,26 @@ def test_attributes_of_tokens(spark):
     assert by_tag["script", "script"] == {"src": "s.js"}
     assert by_tag["open", "img"] == {"alt": "a>b", "src": "i.png"}
     assert all(r["attributes"] == {} for r in got if r["kind"] in ("text", "comment"))
+
+
+def test_runs_between_tags_end_where_they_did(spark):
+    """Rows, cells and links reach as far as the lazy patterns did; a row with a cell is found by one test."""
+    old = {
+        "LINK": r"(?is)<a(?=[\s/>]).*?(?=</a\s*>|<a[\s/>]|\z)",
+        "ROW": r"(?is)<tr(?=[\s/>]).*?(?=<tr[\s/>]|</tr\s*>|\z)",
+        "CELL": r"(?is)<t[dh](?=[\s/>]).*?(?=<t[dh][\s/>]|</t[dh]\s*>|\z)",
+    }
+    pieces = ["<tr>", "<TR x>", "</tr >", "<td>", "<th\n>", "</td>", "</Th>", "<a href='1'>", "</a>", "<abbr>", "<t", "<", ">", "a\n", "<tdx>", "公", "<tr", "<a/"]
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choices(pieces, k=rnd.randrange(14))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for name, pattern in old.items():
+        assert df.filter(M.all_matches(F.col("t"), getattr(M, name)) != M.all_matches(F.col("t"), pattern)).count() == 0, name
+    had = F.exists(M.all_matches(F.col("t"), old["ROW"]), lambda r: r.rlike(r"(?i)<t[dh][\s/>]"))
+    assert df.filter(had != F.col("t").rlike(M.ROW_WITH_CELL)).count() == 0
+    silent = r"(?is)<!--.*?-->|<!doctype[^>]*>|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+    odd = ["<!--", "-->", "<!Doctype x>", "<SCRIPT>", "</script >", "<style a>", "</style>", "<scripty>", "<", "!", "x\n", ">"]
+    df = spark.createDataFrame([("".join(rnd.choices(odd, k=rnd.randrange(12))),) for _ in range(3000)], "t string")
+    assert df.filter(M.visible(F.col("t")) != F.regexp_replace("t", silent, "<wbr>")).count() == 0
+    long = spark.range(1).select(F.concat(F.lit("<tr>"), F.repeat(F.lit("<td><a>x"), 500_000)).alias("t"))
+    assert long.select(F.size(M.all_matches(F.col("t"), M.ROW)), F.size(M.all_matches(F.col("t"), M.LINK))).first()[:] == (1, 500_000)
