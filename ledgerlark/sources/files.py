@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import os
-import re
 import uuid
 from collections.abc import Iterator, Sequence
 from functools import partial
 from itertools import groupby
 from operator import itemgetter
 from pathlib import Path
-from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +19,8 @@ from ledgerlark.functions.logs import LEVEL_RANK, level_rank
 from ledgerlark.functions.text import norm_code
 from ledgerlark.plans import chunked
 from ledgerlark.session import ship_package
+from ledgerlark.sources import folders
+from ledgerlark.sources.folders import folder_column, folder_name, folder_value, local_folder
 
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -36,8 +36,13 @@ def read_statements(spark: SparkSession, root: str, schema: T.StructType | None
 
     Codes are strings: pass a schema that says so, or leave it out and the code
     is read as text from the partition directories.  Without a schema all folders are
-    listed once more and footers read, to merge the columns.
+    listed once more and footers read, to merge the columns.  With one, small files below a
+    ``file:`` folder are listed and read by tasks, many in one task.  Filters on partition
+    columns leave out files either way.
     """
+    folder = folders.readable_folder(spark, root) if schema is not None else None
+    if folder is not None and (small := folders.read_parquet(spark, folder, schema)) is not None:
+        return small
     if schema is None:
         data = spark.read.option("mergeSchema", "true").parquet(root).schema
         fields = [T.StructField("code", T.StringType()) if f.name == "code" else f for f in data.fields]
@@ -58,11 +63,6 @@ def write_csv(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "err
     (writer.partitionBy(*by) if by else writer).csv(path)
 
 
-# What Spark calls the folder of a null, and the characters it writes as %XX in the name of a folder.
-_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
-_ESCAPED = re.compile("[\\x01-\\x1f\"#%'*/:=?\\\\\\x7f{\\[\\]^]")
-
-
 def write_lines(
     lines: DataFrame, path: str, by: str = "stock_code", order: str = "line_no", lines_per_file: int = 65_536
 ) -> None:
@@ -73,30 +73,20 @@ def write_lines(
     ``chmod`` processes for each folder with its file, tasks write the files themselves, in
     files of ``lines_per_file``; any other store is written by Spark, rows dealt by ranges.
     """
-    root = _local_folder(lines.sparkSession, path)
+    root = local_folder(lines.sparkSession, path)
     if root is None:
         out = lines.repartitionByRange(by, order).sortWithinPartitions(by, order).select(by, "line")
         out.write.mode("errorifexists").partitionBy(by).text(path)
         return
     os.makedirs(root)
     ship_package(lines.sparkSession)
-    folder = F.coalesce(F.nullif(F.col(by).cast("string"), F.lit("")), F.lit(_NULL_FOLDER))
     part = F.coalesce(F.floor(F.col(order) / lines_per_file), F.lit(0)).cast("bigint")
-    dealt = lines.select(folder.alias("folder"), part.alias("part"), F.col(order).alias("at"), F.col("line").cast("binary").alias("line"))
+    dealt = lines.select(folder_column(by).alias("folder"), part.alias("part"), F.col(order).alias("at"), F.col("line").cast("binary").alias("line"))
     sorted_lines = dealt.repartition("folder", "part").sortWithinPartitions("folder", "part", "at").drop("at")
     sorted_lines.mapInArrow(partial(_write_files, root=root, by=by), "files bigint").agg(F.sum("files")).collect()
     Path(root, "_SUCCESS").touch()
 
 
-def _local_folder(spark: SparkSession, path: str) -> str | None:
-    """The folder a ``file:`` path names; null for another store."""
-    at = urlsplit(path)
-    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
-    if at.scheme == "file" or not at.scheme and default.startswith("file:"):
-        return path if not at.scheme else path.removeprefix("file://").removeprefix("file:")
-    return None
-
-
 def _write_files(batches: Iterator[pa.RecordBatch], root: str, by: str) -> Iterator[pa.RecordBatch]:
     """Writes (folder, part, line) rows, sorted by folder and part, and gives the number of files.
 
@@ -116,8 +106,7 @@ def _write_files(batches: Iterator[pa.RecordBatch], root: str, by: str) -> Itera
                 if now != key:
                     if out is not None:
                         finish()
-                    name = _ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", now[0])
-                    os.makedirs(folder := os.path.join(root, f"{by}={name}"), exist_ok=True)
+                    os.makedirs(folder := os.path.join(root, folder_name(by, now[0])), exist_ok=True)
                     key, out, count = now, open(os.path.join(folder, own), "wb"), count + 1
                 out.write(b"".join((line or b"") + b"\n" for _, _, line in run))
         if out is not None:
@@ -136,7 +125,7 @@ def read_lines(spark: SparkSession, path: str, by: str = "stock_code") -> DataFr
     Spark's own listing starts a task for each folder, up to 10,000, and its file scans one
     for 32 small files.
     """
-    root = _local_folder(spark, path)
+    root = local_folder(spark, path)
     if root is None:
         schema = T.StructType([T.StructField("line", T.StringType()), T.StructField(by, T.StringType())])
         return spark.read.schema(schema).format("text").load(path).select(by, "line")
@@ -167,8 +156,7 @@ def _read_files(batches: Iterator[pa.RecordBatch], root: str, rows: int = 10_000
 
     for batch in batches:
         for folder, file in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            name = folder.split("=", 1)[1]
-            value = None if name == _NULL_FOLDER else re.sub("%([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), name)
+            value = folder_value(folder)
             found = Path(root, folder, file).read_bytes().removeprefix(b"\xef\xbb\xbf").splitlines()
             values += [value] * len(found)
             lines += found
@@ -188,10 +176,16 @@ def write_statements(df: DataFrame, root: str, split: Sequence[str] = (), fmt: s
 
     The code is normalised to six characters.  Rows are rebalanced by partition
     column ahead of the writers: few files per partition, and a stock that is
-    too large for one task is split over several.
+    too large for one task is split over several.  Parquet below a ``file:`` folder is
+    written by the tasks themselves, anything else by Spark.
     """
     by = ["code", "statement", *split]
     out = df.withColumn("code", norm_code(F.col("code"))).hint("rebalance", *by)
+    folder = local_folder(df.sparkSession, root)
+    codec = df.sparkSession.conf.get("spark.sql.parquet.compression.codec")
+    if folder is not None and fmt == "parquet" and codec in folders.CODECS and folders.plain(out.schema, by):
+        folders.write_parquet(out, folder, by, codec)
+        return
     out.write.mode("errorifexists").format(fmt).option("header", True).partitionBy(*by).save(root)
 
 
