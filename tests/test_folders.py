@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerlark.functions.text import norm_code
 from ledgerlark.session import fresh_path
 from ledgerlark.sources import files, folders
+from querybook import BOOK
 
 
 def _rows(df):
@@ -122,3 +123,13 @@ def test_rows_are_written_in_parts():
     assert [(k, b.to_pydict()["v"]) for k, b in folders._runs(iter(batches))] == [("a", [1, 2]), ("b", [3]), ("b", [4])]
     parts = lambda rows: [t.num_rows for t in folders._parts(iter(batches), rows)]
     assert (parts(1), parts(4), parts(9)) == ([3, 1], [4], [4])
+
+
+def test_sink_codes_are_padded_as_formatted(spark, tmp_path):
+    keys = [0, 7, 10, -5, -10, 99_999, 100_010, 999_999, 1_000_000, 1_234_560, None]
+    n = F.col("l_suppkey")
+    old = F.when(n % 10 == 0, F.format_string("%05d.HK", n)).otherwise(F.format_string("%06d", n))
+    rows = spark.createDataFrame([(k, 1, 1, "A", 1.0) for k in keys], "l_suppkey bigint, l_orderkey bigint, l_linenumber int, l_returnflag string, l_extendedprice double")
+    rows.withColumn("l_shipdate", F.lit("1995-03-04").cast("timestamp")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = [r.code for r in BOOK["statement_sink"].run(spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(r[0] for r in rows.select(norm_code(old)).collect())
