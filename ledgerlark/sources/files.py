@@ -24,13 +24,37 @@ from ledgerlark.sources.folders import folder_column, folder_name, folder_value,
 
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Landed pages: a parquet table, or one UTF-8 file per page (``fmt='files'``)."""
+    """Landed pages: a parquet table, or one UTF-8 file per page (``fmt='files'``).
+
+    Files below a ``file:`` folder are listed and read by tasks, many in one task; others by Spark.
+    """
     if fmt == "parquet":
         return spark.read.parquet(path)
+    root = folders.readable_folder(spark, path)
+    if root is not None:
+        return folders.read_texts(spark, root).withColumnRenamed("text", "html")
     raw = spark.read.text(path, wholetext=True)
     return raw.select(F.input_file_name().alias("url"), F.col("value").alias("html"))
 
 
+def write_page_files(pages: DataFrame, path: str, by: str = "page_id") -> None:
+    """(by, text) as text files, one folder for each value of ``by``; a zero byte ends each text.
+
+    Each partition is written by its task, so rows should be dealt by ``by`` to all
+    cores.  Below a ``file:`` folder tasks write the files themselves, as in :func:`write_lines`.
+    """
+    root = local_folder(pages.sparkSession, path)
+    if root is None:
+        pages.write.mode("errorifexists").option("lineSep", "\u0000").partitionBy(by).text(path)
+        return
+    (text,) = (c for c in pages.columns if c != by)
+    line = F.col(text).cast("binary").alias("line")
+    dealt = pages.select(folder_column(by).alias("folder"), F.spark_partition_id().cast("bigint").alias("part"), line)
+    with folders.NewFolder(pages.sparkSession, root):
+        written = dealt.sortWithinPartitions("folder").mapInArrow(partial(_write_files, root=root, by=by, end=b"\0"), "files bigint")
+        written.agg(F.sum("files")).collect()
+
+
 def read_statements(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
     """Statements partitioned by code and statement; a missing partition has no rows.
 
@@ -87,7 +111,7 @@ def write_lines(
     Path(root, "_SUCCESS").touch()
 
 
-def _write_files(batches: Iterator[pa.RecordBatch], root: str, by: str) -> Iterator[pa.RecordBatch]:
+def _write_files(batches: Iterator[pa.RecordBatch], root: str, by: str, end: bytes = b"\n") -> Iterator[pa.RecordBatch]:
     """Writes (folder, part, line) rows, sorted by folder and part, and gives the number of files.
 
     A file has its name when it is whole; a task that runs again puts the same file in its place.
@@ -108,7 +132,7 @@ def _write_files(batches: Iterator[pa.RecordBatch], root: str, by: str) -> Itera
                         finish()
                     os.makedirs(folder := os.path.join(root, folder_name(by, now[0])), exist_ok=True)
                     key, out, count = now, open(os.path.join(folder, own), "wb"), count + 1
-                out.write(b"".join((line or b"") + b"\n" for _, _, line in run))
+                out.write(b"".join((line or b"") + end for _, _, line in run))
         if out is not None:
             finish()
     finally:

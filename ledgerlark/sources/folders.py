@@ -31,16 +31,18 @@ from ledgerlark.plans import emit
 from ledgerlark.session import ship_package
 
 # What Spark calls the folder of a null, the characters it writes as %XX in the name
-# of a folder.
+# of a folder, and those of an address.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 _ESCAPED = re.compile("[\\x01-\\x1f\"#%'*/:=?\\\\\\x7f{\\[\\]^]")
+_QUOTED = re.compile('[\\x00-\\x20"#%<>?\\[\\\\\\]^`{|}\\x7f]')
 
-# Columns that tasks write and read as Spark does, and compressions of parquet.
+# Columns that tasks write and read as Spark does, compressions of parquet, and of texts.
 _PLAIN = (
     T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType,
     T.BinaryType, T.DateType, T.TimestampNTZType,
 )
 CODECS = {"none": "none", "uncompressed": "none", "snappy": "snappy", "gzip": "gzip", "zstd": "zstd"}
+_TEXT_CODECS = {".gz": "gzip", ".bz2": "bz2", ".zst": "zstd", ".deflate": None, ".lz4": None, ".snappy": None}
 
 
 def local_folder(spark: SparkSession, path: str) -> str | None:
@@ -236,6 +238,39 @@ def _lists(tables: Sequence[pa.Table]) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(columns, fields=list(every.schema)))
 
 
+# --- texts ------------------------------------------------------------------------------------
+
+
+def read_texts(spark: SparkSession, root: str) -> DataFrame:
+    """(url, text) of each file, whole, its address as Spark's readers give it."""
+    listed = _listed(spark, root, _levels(root)).select("file")
+    texts = listed.mapInArrow(partial(_read_texts, root=root), "url string, text binary")
+    return texts.select(F.coalesce("url", F.lit("")).alias("url"), F.col("text").cast("string").alias("text"))
+
+
+def _read_texts(batches: Iterator[pa.RecordBatch], root: str, size: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    def made() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"url": pa.array(urls, pa.string()), "text": pa.array(texts, pa.binary())})
+
+    urls, texts, held = [], [], 0
+    for batch in batches:
+        for file in batch.column(0).to_pylist():
+            path, codec = os.path.join(root, file), os.path.splitext(file)[1]
+            with open(path, "rb") as raw:
+                text = raw.read()
+            if codec in _TEXT_CODECS:
+                if _TEXT_CODECS[codec] is None:
+                    raise ValueError(f"{path}: texts of this compression are not read")
+                text = pa.input_stream(pa.BufferReader(text), compression=_TEXT_CODECS[codec]).read()
+            urls.append("file://" + _QUOTED.sub(lambda m: f"%{ord(m[0]):02X}", path))
+            texts.append(text)
+            held += len(text)
+            if held >= size:
+                yield made()
+                urls, texts, held = [], [], 0
+    yield made()
+
+
 # --- names ------------------------------------------------------------------------------------
 
 

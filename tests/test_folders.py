@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import os
 from pathlib import Path
 
@@ -133,3 +134,38 @@ def test_sink_codes_are_padded_as_formatted(spark, tmp_path):
     rows.withColumn("l_shipdate", F.lit("1995-03-04").cast("timestamp")).write.parquet(f"{tmp_path}/lineitem.parquet")
     got = [r.code for r in BOOK["statement_sink"].run(spark, str(tmp_path)).collect()]
     assert sorted(got) == sorted(r[0] for r in rows.select(norm_code(old)).collect())
+
+
+def test_page_files_are_those_of_spark(spark):
+    """Names, bytes and addresses; pages that repeat are one file, nulls are empty texts."""
+    rows = [(i % 20, None if i % 7 == 0 else "" if i % 5 == 0 else f"<p>\r\né 中 {i % 20}\n") for i in range(30)] + [(None, "x")]
+    df = spark.createDataFrame(rows, "page_id bigint, html string").repartition(4, "page_id")
+    mine, theirs = fresh_path(spark, "mine"), fresh_path(spark, "theirs #%")
+    files.write_page_files(df, mine)
+    df.write.option("lineSep", "\u0000").partitionBy("page_id").text(theirs)
+    content = lambda path: {d.name: sorted(b"".join(f.read_bytes() for f in d.glob("part-*")).split(b"\0")) for d in Path(path).iterdir() if d.is_dir()}
+    assert content(mine) == content(theirs)
+    assert {x.name.split("-")[0] for x in Path(mine).rglob("*") if x.is_file()} == {"part", "_SUCCESS"}
+    for path in (mine, theirs):
+        read = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("url"), F.col("value").alias("html"))
+        ours = files.read_pages(spark, path, fmt="files")
+        assert ours.schema == read.schema and _rows(ours) == _rows(read)
+        assert "Scan" not in ours._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(FileExistsError):
+        files.write_page_files(df, mine)
+
+
+def test_pages_of_one_folder(spark, tmp_path):
+    """Files of the folder itself; hidden, empty and nested ones are passed over."""
+    (tmp_path / "a 1.html").write_bytes("﻿<p>é</p>".encode())
+    (tmp_path / "b.gz").write_bytes(gzip.compress(b"<b>"))
+    (tmp_path / "empty.html").touch()
+    for name in ("_c.html", ".d.html"):
+        (tmp_path / name).write_bytes(b"x")
+    (tmp_path / "nested").mkdir()
+    (tmp_path / "nested" / "e.html").write_bytes(b"x")
+    read = spark.read.text(str(tmp_path), wholetext=True).select(F.input_file_name().alias("url"), F.col("value").alias("html"))
+    got = files.read_pages(spark, str(tmp_path), fmt="files")
+    assert _rows(got) == _rows(read) and got.count() == 2
+    one = files.read_pages(spark, str(tmp_path / "a 1.html"), fmt="files")
+    assert one.count() == 1
