@@ -206,7 +206,7 @@ def write_statements(df: DataFrame, root: str, split: Sequence[str] = (), fmt: s
     by = ["code", "statement", *split]
     out = df.withColumn("code", norm_code(F.col("code"))).hint("rebalance", *by)
     folder = local_folder(df.sparkSession, root)
-    codec = df.sparkSession.conf.get("spark.sql.parquet.compression.codec")
+    codec = df.sparkSession.conf.get("spark.sql.parquet.compression.codec").lower()
     if folder is not None and fmt == "parquet" and codec in folders.CODECS and folders.plain(out.schema, by):
         folders.write_parquet(out, folder, by, codec)
         return
